@@ -19,8 +19,6 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType, _parse_datatype_string
 
 #: ASCII white space, as in the contracts' ``[\x20\x09-\x0D]``.
 SPACES = " \t\n\x0b\x0c\r"
@@ -83,9 +81,29 @@ def staged(frame: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def arrow_schema(ddl: str) -> tuple[StructType, pa.Schema]:
-    spark_schema = _parse_datatype_string(ddl)
-    return spark_schema, to_arrow_schema(spark_schema)
+_ARROW = {
+    "long": pa.int64(),
+    "int": pa.int32(),
+    "double": pa.float64(),
+    "boolean": pa.bool_(),
+    "string": pa.string(),
+    "binary": pa.binary(),
+    "array<long>": pa.list_(pa.int64()),
+    "array<double>": pa.list_(pa.float64()),
+    "array<int>": pa.list_(pa.int32()),
+    "array<string>": pa.list_(pa.string()),
+}
+
+
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow side of a flat DDL string such as "doc_id long, text string"; works on executors too."""
+    names = [part.strip().rsplit(" ", 1) for part in ddl.split(",")]
+    return pa.schema([(name.strip("`"), _ARROW[kind]) for name, kind in names])
+
+
+def record_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[]] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
 def map_rows(frame: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], ddl: str, slice_rows: int = 1024) -> DataFrame:
@@ -94,7 +112,7 @@ def map_rows(frame: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
     ``make`` runs once per task on the executor and returns the function that
     turns a slice into columns by name; tables such as vocabularies load there.
     """
-    spark_schema, schema = arrow_schema(ddl)
+    schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = None
@@ -104,7 +122,7 @@ def map_rows(frame: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
                 out = function(batch.slice(start, slice_rows))
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
 
-    return frame.mapInArrow(run, spark_schema)
+    return frame.mapInArrow(run, ddl)
 
 
 class WordCache(dict):

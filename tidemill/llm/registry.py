@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemill.llm import bpe, media
+from tidemill.llm import bpe, exact, media, packing
 
-_MODULES = (media, bpe)
+_MODULES = (media, bpe, packing, exact)
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
