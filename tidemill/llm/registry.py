@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemill.llm import bpe, exact, media, packing
+from tidemill.llm import bpe, exact, language, media, packing, quality, toxicity
 
-_MODULES = (media, bpe, packing, exact)
+_MODULES = (toxicity, language, quality, packing, exact, media, bpe)
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
