@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemill.llm import bpe, exact, language, media, packing, quality, sharding, toxicity
+from tidemill.llm import bpe, exact, language, media, neardup, packing, quality, sharding, toxicity
 
-_MODULES = (toxicity, language, sharding, quality, packing, exact, media, bpe)
+_MODULES = (toxicity, language, neardup, sharding, quality, packing, exact, media, bpe)
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
