@@ -38,8 +38,9 @@ def from_internal(value: Column, kind: str) -> Column:
 
 def parse_bound(text: Column, kind: Column) -> Column:
     """A bound given as text, read by the dimension's type; integers must be digits only, else null."""
-    moment = F.coalesce(text.try_cast("timestamp"), F.try_to_timestamp(text, F.lit("yyyyMMdd")))
-    number = F.when(text.rlike("^[0-9]+$"), text.try_cast("bigint"))
+    digits = text.rlike("^[0-9]+$")
+    moment = F.when(digits, F.try_to_timestamp(text, F.lit("yyyyMMdd"))).otherwise(text.try_cast("timestamp"))  # a bare year is no time
+    number = F.when(digits, text.try_cast("bigint"))
     return F.when(kind.isin(*INTEGER_TYPES), number).when(kind.isin(*TIME_TYPES), F.unix_micros(moment))
 
 
