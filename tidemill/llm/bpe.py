@@ -322,9 +322,11 @@ def decode_ids(frame: DataFrame, path: str | None = None) -> DataFrame:
 
 def unpack_ids(ids: Column) -> Column:
     """Packed ids as array<long>, with built-in functions only."""
-    digits = F.hex(ids)
-    byte = lambda i, k: F.substring(digits, i * 8 + 1 + 2 * k, F.lit(2))
-    return F.when(F.length(ids) > 0, F.transform(F.sequence(F.lit(0), (F.length(ids) / 4).cast("int") - 1), lambda i: F.conv(F.concat(byte(i, 3), byte(i, 2), byte(i, 1), byte(i, 0)), 16, 10).cast("long"))).otherwise(F.array().cast("array<long>"))
+    # slices of a binary cost their own length only, so long columns stay linear
+    byte = lambda i, k: F.hex(F.substring(ids, i * 4 + 1 + k, F.lit(1)))
+    number = lambda i: F.conv(F.concat(byte(i, 3), byte(i, 2), byte(i, 1), byte(i, 0)), 16, 10).cast("long")
+    places = F.sequence(F.lit(0), (F.length(ids) / 4).cast("int") - 1)
+    return F.when(F.length(ids) > 0, F.transform(places, number)).otherwise(F.array().cast("array<long>"))
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
