@@ -30,6 +30,11 @@ def _plan_sql(until: str, us_until: str, frm: str | None, us_from: str, types: s
 
 
 TIME_PLAN = _plan_sql(UNTIL, str(US_UNTIL), FROM, str(US_FROM), "'timestamp'", "y").replace("'''", "''''")
+#: Everything before the bound: events and orders.
+OPEN_PLAN = _plan_sql(UNTIL, str(US_UNTIL), None, "", "'timestamp'", "y").replace("'''", "''''")
+#: An interval that cuts two chunks of orders.
+O_UNTIL, O_FROM = "1999-06-15 00:00:00", "1996-02-03 04:05:06"
+ORDERS_PLAN = _plan_sql(O_UNTIL, "929404800000000", O_FROM, "823320306000000", "'timestamp'", "y").replace("'''", "''''")
 INT_PLAN = _plan_sql("5500", "5500", None, "", "'bigint'", "")
 
 
@@ -42,9 +47,9 @@ def plan_chunks(spark, sf_dir):
     return _plan(spark, sf_dir, UNTIL, FROM)
 
 
-@query(f"""WITH {CTE}, p AS ({TIME_PLAN}) SELECT hypertable, count(*) AS chunks, count("filter") AS residual FROM p GROUP BY 1""")
+@query(f"WITH {CTE} {ORDERS_PLAN}")
 def plan_residual_filter(spark, sf_dir):
-    return _plan(spark, sf_dir, UNTIL, FROM).groupBy("hypertable").agg(F.count("*").alias("chunks"), F.count("filter").alias("residual"))
+    return _plan(spark, sf_dir, O_UNTIL, O_FROM)
 
 
 @query(f"WITH {CTE} SELECT hypertable_id, chunk_id FROM chunks WHERE NOT dropped")
@@ -158,27 +163,23 @@ def chunk_dimensions_json(spark, sf_dir):
     return catalog.chunk_dimensions(rows.select("chunk_id", "slice_id"), slices, dims)
 
 
-_STAGED = "range_start % 2 = 0 AND hypertable = 'public.orders' OR hypertable = 'public.events'"
-
-
-@query(f"WITH {CTE}, p AS ({TIME_PLAN}) SELECT hypertable, chunk_id FROM p WHERE hypertable <> 'public.events'")
+@query(f"WITH {CTE}, p AS ({OPEN_PLAN}), t AS ({TIME_PLAN}) SELECT hypertable, chunk_id FROM p WHERE chunk_id NOT IN (SELECT chunk_id FROM t)")
 def enqueue_dedup(spark, sf_dir):
-    """Chunks of events are already staged, with an old filter that stays."""
-    plan = _plan(spark, sf_dir, UNTIL, FROM)
-    return taskqueue.enqueue(plan, _plan(spark, sf_dir, UNTIL).filter("hypertable = 'public.events'")).select("hypertable", "chunk_id")
+    """Some chunks are already staged, with filters that stay as they are."""
+    return taskqueue.enqueue(_plan(spark, sf_dir, UNTIL), _plan(spark, sf_dir, UNTIL, FROM)).select("hypertable", "chunk_id")
 
 
-@query(f"WITH {CTE}, p AS ({TIME_PLAN}) SELECT hypertable, chunk_id, row_number() OVER (ORDER BY range_start DESC, hypertable, chunk_id)::INTEGER AS priority FROM p")
+@query(f"WITH {CTE}, p AS ({OPEN_PLAN}) SELECT hypertable, chunk_id, row_number() OVER (ORDER BY range_start DESC, hypertable, chunk_id)::INTEGER AS priority FROM p")
 def queue_priority(spark, sf_dir):
-    return taskqueue.with_priority(_plan(spark, sf_dir, UNTIL, FROM)).select("hypertable", "chunk_id", "priority")
+    return taskqueue.with_priority(_plan(spark, sf_dir, UNTIL)).select("hypertable", "chunk_id", "priority")
 
 
-_QUEUE = f"""p AS ({TIME_PLAN}), q AS (SELECT *, row_number() OVER (ORDER BY range_start DESC, hypertable, chunk_id)::INTEGER AS priority FROM p),
+_QUEUE = f"""p AS ({OPEN_PLAN}), q AS (SELECT *, row_number() OVER (ORDER BY range_start DESC, hypertable, chunk_id)::INTEGER AS priority FROM p),
     t AS (SELECT *, CASE WHEN priority <= 3 THEN priority END AS worked, CASE WHEN priority <= 1 THEN priority END AS verified FROM q)"""
 
 
 def _tasks(spark, sf_dir):
-    tasks = taskqueue.with_priority(_plan(spark, sf_dir, UNTIL, FROM))
+    tasks = taskqueue.with_priority(_plan(spark, sf_dir, UNTIL))
     return tasks.withColumns({"worked": F.when(F.col("priority") <= 3, F.col("priority")), "verified": F.when(F.col("priority") <= 1, F.col("priority"))})
 
 
