@@ -25,7 +25,7 @@ def test_toxicity_held_out(spark, marks):
 
 
 def test_toxicity_locates_sentences():
-    texts = [f"A calm start {k}. Then vile{k % 3} words come. And it ends." for k in range(30)] + [f"A calm start {k}. Nothing here. And it ends." for k in range(60)]
+    texts = [f"A calm start {k}. Then vile{k % 3} words come. And it ends." for k in range(30)] + [f"A calm start {k}. Then kind words come. And it ends." for k in range(60)]
     model = toxicity.SentenceModel(toxicity.fit_noisy_or(texts, [1] * 30 + [0] * 60))
     text = "All is calm. Some vile1 thing. The end."
     worst = max(model.sentences(text), key=lambda s: s[2])
