@@ -64,7 +64,7 @@ def test_idents(spark):
         idents.assert_regex(spark, "(")
     assert idents.java_regex("[[:alpha:]_][^[:space:]]") == r"[\p{Alpha}_][^\p{Space}]"
     assert idents.quoted_table('a"b', "c") == '"a""b"."c"'
-    assert idents.prefixed("abc") == "bf_abc" and len(idents.prefixed("x" * 63)) == 63
+    assert idents.prefixed("abc") == "tm_abc" and len(idents.prefixed("x" * 63)) == 63
 
 
 def test_replace_range_is_idempotent_and_keeps_nulls(spark):

@@ -59,6 +59,6 @@ def assert_regex(spark: SparkSession, pattern: str) -> None:
         raise
 
 
-def prefixed(name: str, longest: int = 63, prefix: str = "bf_") -> str:
+def prefixed(name: str, longest: int = 63, prefix: str = "tm_") -> str:
     """A prefix for generated names; where it would exceed the longest name, it takes the place of the name's beginning."""
     return prefix + (name[len(prefix) :] if len(name) + len(prefix) >= longest else name)
