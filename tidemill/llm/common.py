@@ -12,6 +12,8 @@ Conventions that hold for every operator here, unless its docstring says more:
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -77,7 +79,9 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     key = context.applicationId
     if key not in _own_dirs:
-        _own_dirs[key] = "file://" + tempfile.mkdtemp(prefix="tidemill-")
+        made = tempfile.mkdtemp(prefix="tidemill-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        _own_dirs[key] = f"file://{made}"
     return _own_dirs[key]
 
 
