@@ -18,7 +18,9 @@ each on its own; an empty table gives no piece.
 from __future__ import annotations
 
 import itertools
+import json
 import re
+import struct
 from collections.abc import Callable
 
 import numpy as np
@@ -37,6 +39,27 @@ CELL_ROWS = 16_384
 WORD_MEMO = 800_000
 
 
+def word_end_bpe(path: str) -> Callable[[bytes], list[int]]:
+    """Ids of a piece that is closed by a line feed, from the merges in a tokenizer file.
+
+    A line feed stands for the end of a word: it never occurs within one. A
+    byte and the end join first, then merges follow in their order, which is
+    that of the ids; so a rank-based encoder gives the tokenizer's ids.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        vocabulary = json.load(file)["model"]["vocab"]
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    byte_of = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(sorted(set(range(256)) - set(shown)))}
+    ranks = {}
+    for token, number in vocabulary.items():
+        stem = token.removesuffix("</w>")
+        if all(c in byte_of for c in stem) and number < 49406:
+            ranks[bytes(byte_of[c] for c in stem) + (b"\n" if stem != token else b"")] = number
+    return tiktoken.Encoding("words", pat_str="", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+
 class WordTokenizer:
     """Ids of whole texts from a tokenizer that drops white space.
 
@@ -48,11 +71,17 @@ class WordTokenizer:
     _spaces = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
     _not_spaces = re.compile("[\x1c-\x1f]")
 
+    #: Words that normalising leaves alone but for lower case, without numbers other than digits.
+    _plain = re.compile("[!-~\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f]+")
+    #: The tokenizer's pattern, for such words.
+    _pieces = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+
     def __init__(self, path: str, memo: int = WORD_MEMO):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self._merge = word_end_bpe(path)
         self.known: dict[str, bytes] = {}
         self.memo = memo
 
@@ -62,6 +91,16 @@ class WordTokenizer:
         return text.split()
 
     def _learn(self, words: list[str]) -> None:
+        plain = [w for w in words if self._plain.fullmatch(w)]
+        for word in plain:
+            ids: list[int] = []
+            for piece in self._pieces.findall(word.lower()):
+                ids += self._merge(piece.encode() + b"\n")
+            self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
+        if len(plain) < len(words):
+            self._learn_others([w for w in words if not self._plain.fullmatch(w)])
+
+    def _learn_others(self, words: list[str]) -> None:
         for first in range(0, len(words), 20_000):
             part = words[first : first + 20_000]
             starts = np.cumsum([0, *[len(w) + 1 for w in part]])
