@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 from tidemill.llm.common import arrow_schema, documents, id_and_text, record_batch, staged
 
 SHARDS = 8
-#: Groups of a bucket, about, and bundles of all buckets together, about.
-BUCKET_GROUPS, BUNDLES = 50_000, 4096
+#: Groups of a bucket, about; bundles of a bucket, and of all buckets together, about. Differencing a bucket holds
+#: a sum and a place for each bundle at each of its groups.
+BUCKET_GROUPS, BUCKET_BUNDLES, BUNDLES = 50_000, 64, 4096
 #: A group is large if it has this part of all bytes or of all rows.
 LARGE_PART = 1 / 2048
 #: Rows that get their slots in one task, about.
@@ -63,7 +64,7 @@ def difference(sizes: list[int], parts: int) -> list[int]:
         joined = sums_of(first) + sums_of(second)[::-1]  # both in falling order
         order = np.argsort(-joined, kind="stable")
         node = len(sizes) + len(children)
-        children.append((first, second, order))
+        children.append((first, second, order.astype(np.uint16)))
         joined = joined[order]
         sums[node] = joined
         heapq.heappush(heap, (int(joined[-1] - joined[0]), node))
@@ -95,7 +96,7 @@ def group_shards(rows: DataFrame, shards: int = SHARDS, bucket_groups: int = BUC
     is_large = (F.col("bytes") >= all_bytes * LARGE_PART) | (F.col("n") >= all_rows * LARGE_PART)
     large = [(bytes(r[0]), r[1]) for r in groups.filter(is_large).select("grp", "bytes").orderBy(F.desc("bytes"), "grp").collect()]  # 2 / LARGE_PART at most
     buckets = max(1, -(-count // bucket_groups))
-    each = max(1, bundles // buckets)
+    each = max(1, min(BUCKET_BUNDLES, bundles // buckets))
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema, by = arrow_schema("grp binary, bucket int, bundle int, bytes long"), {}
