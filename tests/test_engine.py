@@ -7,9 +7,11 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
+from tidemill.catalogue import QUERIES
 from tidemill.cli import Migration
 from tidemill.functions import idents, times
 from tidemill.operators.copying import range_delete, replace_range, route
+from tidemill.operators.ranking import row_numbers
 from tidemill.operators.rollups import Rollup, refresh
 from tidemill.operators.verification import difference_report, select_list, summary
 from tidemill.plans import planner
@@ -94,6 +96,22 @@ def test_copy_routes(state, steps):
     assert route(*state) == steps
 
 
+def test_row_numbers_over_ranges(spark):
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 3 != 0, F.col("id") * 7 % 11).alias("u"))
+    orders = {f"n{d:d}{f:d}": [("u", d, f), ("id", False, False)] for d in (True, False) for f in (True, False)}
+    numbered = row_numbers(rows, orders, 200)
+    assert numbered.columns == ["id", "u", *orders]
+    found, pairs = {r.id: r for r in numbered.collect()}, [tuple(r) for r in rows.collect()]
+    for name, ((_, desc, first), _) in orders.items():
+        key = lambda r, desc=desc, first=first: ((r[1] is None) != first, 0 if r[1] is None else -r[1] if desc else r[1], r[0])
+        assert [found[i][name] for i, _ in sorted(pairs, key=key)] == list(range(1, 3001))
+    assert row_numbers(rows.limit(0), orders).count() == 0
+
+
+def test_orderby_nulls_ranks_all_events(spark, sf_dir):
+    assert QUERIES["orderby_nulls_all"](spark, sf_dir).count() == spark.read.parquet(f"{sf_dir}/events.parquet").count()
+
+
 def test_select_list_by_type(spark):
     frame = spark.sql("SELECT 1 AS i, 1.5D AS d, CAST(1.5 AS DECIMAL(5,2)) AS m, 'x' AS s, true AS b, array(1) AS a, DATE'2020-01-01' AS t, X'00' AS y")
     found = {}

@@ -8,6 +8,7 @@ from tidemill.functions.idents import always_quoted, qualified, quote_ident, quo
 from tidemill.functions.times import CHUNK, DAY, HOUR, ORIGIN, chunk_start, from_internal, internal, month_bucket, time_bucket
 from tidemill.operators import compression, validation, verification
 from tidemill.operators.copying import range_delete, replace_range
+from tidemill.operators.ranking import row_numbers
 from tidemill.operators.rollups import Rollup, refresh
 from tidemill.plans import planner
 from tidemill.plans.catalog import json_records
@@ -91,14 +92,22 @@ _NULLED = "SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN user_id END AS u FR
 _RANK = "row_number() OVER (ORDER BY u {0}, event_id)"
 
 
+def _four_orders(rows):
+    rows = rows.select("event_id", F.when(F.col("event_id") % 5 != 0, F.col("user_id")).alias("u"))
+    by = lambda desc, first: [("u", desc, first), ("event_id", False, False)]
+    return row_numbers(rows, {"d_first": by(True, True), "d_last": by(True, False), "a_first": by(False, True), "a_last": by(False, False)}).drop("u")
+
+
 @query(f"SELECT event_id, {_RANK.format('DESC NULLS FIRST')} AS d_first, {_RANK.format('DESC NULLS LAST')} AS d_last, {_RANK.format('ASC NULLS FIRST')} AS a_first, {_RANK.format('ASC NULLS LAST')} AS a_last FROM ({_NULLED}) WHERE event_id < 50")
 def orderby_nulls(spark, sf_dir):
-    """The four orders over a small fixed range of events, by rank."""
-    from pyspark.sql import Window
+    """The four orders over a small fixed range of events, by rank; the range is that of the SQL."""
+    return _four_orders(table(spark, sf_dir, "events").filter("event_id < 50"))
+
 
-    rows = table(spark, sf_dir, "events").filter("event_id < 50").select("event_id", F.when(F.col("event_id") % 5 != 0, F.col("user_id")).alias("u"))
-    rank = lambda desc, first: F.row_number().over(Window.orderBy(compression.ordering("u", desc, first), "event_id")).cast("bigint")
-    return rows.select("event_id", rank(True, True).alias("d_first"), rank(True, False).alias("d_last"), rank(False, True).alias("a_first"), rank(False, False).alias("a_last"))
+@query(f"SELECT event_id, {_RANK.format('DESC NULLS FIRST')} AS d_first, {_RANK.format('DESC NULLS LAST')} AS d_last, {_RANK.format('ASC NULLS FIRST')} AS a_first, {_RANK.format('ASC NULLS LAST')} AS a_last FROM ({_NULLED})")
+def orderby_nulls_all(spark, sf_dir):
+    """The four orders over all events."""
+    return _four_orders(table(spark, sf_dir, "events"))
 
 
 def _summary_sql(rows: str, by: str) -> str:
