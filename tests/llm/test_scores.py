@@ -49,6 +49,12 @@ def test_quality_held_out(spark, marks):
     assert sum(held) > 0.95 * len(held)
 
 
+def test_quality_counts_the_commonest_of_all_words():
+    at = quality.FEATURES.index("commonest")
+    assert quality.features("a title line " + "buy this " * 20)[at] == quality.features("buy this " * 20 + "a title line")[at] == 20 / 43
+    assert quality.features("")[at] == 0 and quality.features("one")[at] == 1
+
+
 def test_ngrams_count_both_ways():
     few, many = "abc de, f", "".join(chr(0x4E00 + k) for k in range(90)) + " ab"
     for text in (few, many):
