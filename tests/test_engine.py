@@ -5,10 +5,11 @@ import json
 import threading
 
 import pytest
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.catalogue import QUERIES
-from tidemill.cli import Migration
+from tidemill.cli import Migration, main
 from tidemill.functions import idents, times
 from tidemill.operators.copying import range_delete, replace_range, route
 from tidemill.operators.ranking import row_numbers
@@ -195,6 +196,37 @@ def test_migration_end_to_end(spark, metrics, tmp_path):
         migration.stage("whenever")
 
 
+def test_refresh_command(spark, metrics, tmp_path, monkeypatch):
+    rollups = [
+        {"name": "public.six", "of": "public.metrics", "width": 6 * times.HOUR, "keys": ["device_id"], "aggregates": ["count(*) AS n"]},
+        {"name": "other.day", "of": "public.six", "width": times.DAY, "keys": ["device_id"], "aggregates": ["sum(n) AS n"]},
+    ]
+    config = {"source": str(tmp_path / "s"), "target": str(tmp_path / "t"), "queue": str(tmp_path / "q.json"), "tables": [{"name": "public.metrics", "time": "time", "width": times.CHUNK}], "rollups": rollups}
+    (tmp_path / "c.json").write_text(json.dumps(config))
+    source = {**config, "target": config["source"], "watermarks": str(tmp_path / "m.json")}
+    made, migration = Migration(spark, source), Migration(spark, config)
+    made.source["public.metrics"].append(metrics)
+    for name in ("public.six", "other.day"):
+        made._refresh_one(name, made._beginning(name), 2**61 // times.DAY * times.DAY + times.ORIGIN % times.DAY)
+    assert migration.stage("2023-06-01", pattern="^other[.]day$") == (5, 0)
+    migration.queue.clean()
+    assert migration.stage("2023-05-16", pattern="^other[.]day$", down=True) == (9, 0)
+    migration.queue.clean()
+    assert migration.stage("2023-05-16", pattern="metrics") == (3, 0) and migration.copy(2) == 3
+    rows = lambda side, name: sorted(map(tuple, side[name].read().drop(KEY).collect()))
+    # raw rows until May 16, then the rest: the second refresh goes on from the stored mark
+    assert migration.refresh("six", up=True) == 2
+    assert json.loads((tmp_path / "q.json.watermarks").read_text())["other.day"] == 1684108800000000
+    assert [r for r in rows(migration.source, "other.day") if r[0] < dt.datetime(2023, 5, 16)] == rows(migration.target, "other.day")
+    migration.queue.clean()
+    assert migration.stage("2023-06-10", "2023-05-15", pattern="metrics") == (3, 0) and migration.copy(2) == 3
+    monkeypatch.setattr(SparkSession.Builder, "getOrCreate", lambda _: spark)
+    assert main(["refresh", "--config", str(tmp_path / "c.json"), "--filter", "day", "--cascade-down"]) == 0
+    for name in migration.rollups:
+        assert rows(migration.target, name) == rows(migration.source, name)
+    assert set(json.loads((tmp_path / "q.json.watermarks").read_text())) == set(migration.rollups) and migration.refresh() == 0
+
+
 def test_streamed_rollup(spark, metrics, tmp_path):
     daily = Rollup("d", "time", times.DAY, ("device_id",), ("max(val) AS m", "count(*) AS n"))
     metrics.write.parquet(str(tmp_path / "in"))

@@ -2,6 +2,17 @@
 
 The configuration is JSON: source and target folders, the queue's and the
 event log's files, and tables with name, time column, type and chunk width.
+Rollups, each after what it is built on, have name, of (a table or a rollup),
+width, keys, aggregates, and the chunk width of their storage; their bucket is
+stored as a value of the table's time type. The target's watermarks are kept in
+a file of their own, by default next to the queue's.
+
+A refresh recomputes, level by level, what lies between the target's watermark
+and the source's. Without a stored watermark the target's is the end of its last
+bucket, and an empty rollup is computed from its parent's beginning. Where the
+target's parent ends before the source's watermark, the stored one is the start
+of the last bucket, and the next refresh goes on there. Rows that are copied
+below a target's watermark don't lower it.
 """
 
 from __future__ import annotations
@@ -9,6 +20,7 @@ from __future__ import annotations
 import argparse
 import json
 import logging
+import os
 import signal
 import threading
 import time
@@ -17,9 +29,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.idents import assert_regex
+from tidemill.functions.times import CHUNK, INTEGER_TYPES, ORIGIN, from_internal, internal
+from tidemill.operators.rollups import Rollup, refresh
 from tidemill.operators.validation import assert_same_columns, signatures
 from tidemill.operators.verification import difference_report, summary
-from tidemill.plans.planner import check_bound, plan_chunks
+from tidemill.plans.planner import check_bound, closure, plan_chunks, refresh_plan, seeds
 from tidemill.plans.taskqueue import TaskQueue, with_priority
 from tidemill.sources.store import KEY, ChunkedTable
 from tidemill.telemetry import Event, human_seconds, report
@@ -33,32 +47,47 @@ class Migration:
     def __init__(self, spark: SparkSession, config: dict):
         self.spark, self.config = spark, config
         self.queue = TaskQueue(config["queue"])
-        side = lambda folder: {t["name"]: ChunkedTable(spark, f"{config[folder]}/{t['name']}", t["time"], t.get("kind", "timestamp"), t["width"]) for t in config["tables"]}
+        self.tables, self.rollups, self.parent = list(config["tables"]), {}, {}
+        for r in config.get("rollups", []):
+            above = next(t for t in self.tables if t["name"] == r["of"])
+            kind = above.get("kind", "timestamp")
+            self.tables.append({"name": r["name"], "time": "bucket", "kind": kind, "width": r.get("chunk", CHUNK)})
+            self.rollups[r["name"]] = Rollup(r["name"], above["time"], r["width"], tuple(r["keys"]), tuple(r["aggregates"]), kind)
+            self.parent[r["name"]] = r["of"]
+        self.marks = config.get("watermarks", f"{config['queue']}.watermarks")
+        side = lambda folder: {t["name"]: ChunkedTable(spark, f"{config[folder]}/{t['name']}", t["time"], t.get("kind", "timestamp"), t["width"]) for t in self.tables}
         self.source, self.target = side("source"), side("target")
 
     def _catalogue(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        tables = [(k, *t["name"].split(".", 1)) for k, t in enumerate(self.config["tables"])]
-        dims = [(k, k, t["time"], t.get("kind", "timestamp")) for k, t in enumerate(self.config["tables"])]
+        tables = [(k, *t["name"].split(".", 1)) for k, t in enumerate(self.tables)]
+        dims = [(k, k, t["time"], t.get("kind", "timestamp")) for k, t in enumerate(self.tables)]
         chunks = None
-        for k, t in enumerate(self.config["tables"]):
+        for k, t in enumerate(self.tables):
+            if t["name"] in self.rollups and not self.source[t["name"]].exists():
+                continue  # never refreshed
             own = self.source[t["name"]].chunks().select(F.lit(k).alias("hypertable_id"), F.concat(F.lit(f"{t['name']}/"), "range_start").alias("chunk_id"), "range_start", "range_end", F.lit(False).alias("dropped"))
             chunks = own if chunks is None else chunks.unionByName(own)
         return chunks, self.spark.createDataFrame(tables, "id int, schema_name string, table_name string"), self.spark.createDataFrame(dims, "id int, hypertable_id int, column_name string, column_type string")
 
-    def stage(self, until: str, frm: str | None = None, pattern: str | None = None) -> tuple[int, int]:
-        from tidemill.plans.planner import seeds
+    def _rollup_frame(self) -> DataFrame:
+        at = {t["name"]: k for k, t in enumerate(self.tables)}
+        rows = [(at[n], at[self.parent[n]], *n.split(".", 1)) for n in self.rollups]
+        return self.spark.createDataFrame(rows, "mat_id int, raw_id int, view_schema string, view_name string")
 
+    def _chosen(self, tables: DataFrame, pattern: str, up: bool, down: bool) -> DataFrame:
+        assert_regex(self.spark, pattern)
+        return closure(seeds(tables, self._rollup_frame(), pattern), self._rollup_frame(), up, down)
+
+    def stage(self, until: str, frm: str | None = None, pattern: str | None = None, up: bool = False, down: bool = False) -> tuple[int, int]:
+        """Chunks of the tables and rollups that the pattern names; up: and of all rollups on them; down: and of all they are built on."""
         check_bound(self.spark, "until", until)
         if frm is not None:
             check_bound(self.spark, "from", frm)
-        if pattern is not None:
-            assert_regex(self.spark, pattern)
         chunks, tables, dims = self._catalogue()
         if pattern is not None:
-            none = self.spark.createDataFrame([], "mat_id int, raw_id int, view_schema string, view_name string")
-            tables = tables.join(seeds(tables, none, pattern), "id", "left_semi")
+            tables = tables.join(self._chosen(tables, pattern, up, down), "id", "left_semi")
         planned = with_priority(plan_chunks(chunks, tables, dims, until, frm)).orderBy("priority").collect()
-        both = {n: t for n, t in self.target.items() if t.exists()}
+        both = {n: t for n, t in self.target.items() if t.exists() and (n not in self.rollups or self.source[n].exists())}
         bare = lambda side: signatures(self.spark, {n: side[n].read().drop(KEY) for n in both})
         if both:
             assert_same_columns(bare(self.source), bare(self.target))
@@ -94,6 +123,62 @@ class Migration:
         done = self.queue.drain(self.verify_one, parallelism, True, stop)
         return done, sum((t["message"] or "").startswith("differs") for t in self.queue.tasks)
 
+    def _stored(self, side: dict[str, ChunkedTable], name: str, *bounds: int) -> DataFrame | None:
+        """A rollup's rows with the bucket as internal time."""
+        table = side[name]
+        return table.read(*bounds).drop(KEY).withColumn("bucket", internal(F.col("bucket"), table.kind)) if table.exists() else None
+
+    def _saved(self) -> dict[str, int]:
+        if not os.path.exists(self.marks):
+            return {}
+        with open(self.marks) as file:
+            return json.load(file)
+
+    def _watermarks(self, side: dict[str, ChunkedTable]) -> dict[str, int]:
+        found = {n: self._stored(side, n) for n in self.rollups}
+        rows = {n: self.rollups[n].watermark(f).first() for n, f in found.items() if f is not None}
+        return {n: r.watermark for n, r in rows.items() if r is not None}
+
+    def _beginning(self, name: str) -> int:
+        """A bucket edge before all time."""
+        rollup = self.rollups[name]
+        shift = 0 if rollup.kind in INTEGER_TYPES else ORIGIN % rollup.width
+        return shift - (2**61 // rollup.width) * rollup.width
+
+    def refresh(self, pattern: str | None = None, up: bool = False, down: bool = False) -> int:
+        """Brings the target's rollups up to the source's watermarks, parents first; returns the windows refreshed."""
+        if not self.rollups:
+            return 0
+        rollups = self._rollup_frame().withColumn("view_name", F.concat_ws(".", "view_schema", "view_name"))
+        own = {n: self._beginning(n) for n in self.rollups} | self._watermarks(self.target) | self._saved()
+        marks = lambda found: self.spark.createDataFrame([(n, m) for n, m in found.items() if n in self.rollups], "view_name string, watermark long")
+        plan = refresh_plan(rollups, marks(self._watermarks(self.source)), marks(own))
+        if pattern is not None:
+            tables = self.spark.createDataFrame([(k, *t["name"].split(".", 1)) for k, t in enumerate(self.tables)], "id int, schema_name string, table_name string")
+            chosen = rollups.join(self._chosen(tables, pattern, up, down).withColumnRenamed("id", "mat_id"), "mat_id", "left_semi")
+            plan = plan.join(chosen, "view_name", "left_semi")
+        windows = plan.orderBy("lvl", "window_start", "view_name").collect()
+        for w in windows:
+            self._refresh_one(w.view_name, w.window_start, w.window_end)
+        return len(windows)
+
+    def _refresh_one(self, name: str, start: int, end: int) -> None:
+        rollup, table, above = self.rollups[name], self.target[name], self.target[self.parent[name]]
+        if not above.exists():
+            raise ValueError(f"{name}: {self.parent[name]} is missing in the target")
+        parent = above.read(start, end).drop(KEY)
+        stored = self._stored(self.target, name, start, end)
+        new = refresh(rollup, rollup.of(parent).limit(0) if stored is None else stored, parent, start, end)
+        count = table.overwrite(new.withColumn("bucket", from_internal(F.col("bucket"), rollup.kind)), start, end)
+        last = rollup.watermark(self._stored(self.target, name, start, end).filter(F.col("bucket") < end)).first() if count else None
+        # a parent that isn't copied up to the source's watermark may end within its last bucket
+        mark = start if last is None else end if last.watermark >= end else max(start, last.watermark - rollup.width)
+        aside = f"{self.marks}.new"
+        with open(aside, "w") as file:
+            json.dump(self._saved() | {name: mark}, file)
+        os.replace(aside, self.marks)
+        log.warning("refreshed %s in [%d, %d)", name, start, end)
+
 
 def graceful(spark: SparkSession) -> threading.Event:
     """First interrupt: finish what runs. Second: cancel all jobs."""
@@ -110,11 +195,13 @@ def graceful(spark: SparkSession) -> threading.Event:
 
 def main(args: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="tidemill", description=__doc__)
-    parser.add_argument("command", choices=["stage", "copy", "verify", "clean"])
+    parser.add_argument("command", choices=["stage", "copy", "verify", "refresh", "clean"])
     parser.add_argument("--config", required=True)
     parser.add_argument("--until")
     parser.add_argument("--from", dest="frm")
     parser.add_argument("--filter")
+    parser.add_argument("--cascade-up", action="store_true")
+    parser.add_argument("--cascade-down", action="store_true")
     parser.add_argument("--parallelism", type=int, default=8)
     options = parser.parse_args(args)
     with open(options.config) as file:
@@ -123,11 +210,13 @@ def main(args: list[str] | None = None) -> int:
     event, migration = Event(options.command), Migration(spark, config)
     try:
         if options.command == "stage":
-            staged, skipped = migration.stage(options.until, options.frm, options.filter)
+            staged, skipped = migration.stage(options.until, options.frm, options.filter, options.cascade_up, options.cascade_down)
             event.tasks = staged
             log.warning("staged %d chunks, skipped %d", staged, skipped)
         elif options.command == "clean":
             migration.queue.clean()
+        elif options.command == "refresh":
+            event.tasks = migration.refresh(options.filter, options.cascade_up, options.cascade_down)
         elif options.command == "copy":
             event.tasks = migration.copy(options.parallelism, graceful(spark))
         else:

@@ -48,20 +48,29 @@ class ChunkedTable:
 
     def replace(self, source: DataFrame, chunk: int, predicate: Column | None = None) -> int:
         """Replace the chunk's rows in the range by the source's; returns the rows the chunk then has."""
-        spark = self.spark
         own = self.keyed(source).filter(F.col(KEY) == chunk)
         kept = self.read().filter(F.col(KEY) == chunk) if self.exists() else own.limit(0)
         new = replace_range(kept, own, F.col(KEY) == chunk, predicate)
+        return self._write(new, {chunk})
+
+    def overwrite(self, rows: DataFrame, lower: int, upper: int) -> int:
+        """Make rows the whole content of all chunks that overlap [lower, upper); returns their count."""
+        known = {r[0] for r in self.read(lower, upper).select(KEY).distinct().collect()} if self.exists() else set()
+        return self._write(self.keyed(rows), known)
+
+    def _write(self, new: DataFrame, chunks: set[int]) -> int:
+        """Overwrite the chunks of the keyed rows, and empty those of the given ones that have no row."""
+        spark = self.spark
         aside = f"{self.path}_staging/{uuid.uuid4().hex}"
         new.write.parquet(aside)
         staged = spark.read.schema(new.schema).parquet(aside)
-        count = staged.count()
-        if count:
+        counts = {r[0]: r[1] for r in staged.groupBy(KEY).count().collect()}  # a row a chunk
+        if counts:
             staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(KEY).parquet(self.path)
-        else:
+        for chunk in chunks - set(counts):
             self._remove(f"{self.path}/{KEY}={chunk}")
         self._remove(aside)
-        return count
+        return sum(counts.values())
 
     def _remove(self, path: str) -> None:
         place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
