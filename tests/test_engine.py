@@ -138,6 +138,15 @@ def test_refresh_needs_bucket_edges(spark, metrics):
     assert daily.watermark(stored.limit(0)).count() == 0
 
 
+def test_incremental_refresh_reaches_the_last_event(spark, sf_dir, tmp_path):
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    later = rows.withColumn("ts", F.expr("ts + INTERVAL 1 YEAR")).withColumn("event_id", F.col("event_id") + 1_000_000)
+    for name, some in (("long", rows.unionByName(later)), ("short", rows.filter("ts < '2024-01-10'")), ("none", rows.limit(0))):
+        some.write.parquet(f"{tmp_path}/{name}/events.parquet")
+        full, found = (sorted(map(repr, QUERIES[q](spark, f"{tmp_path}/{name}").collect())) for q in ("cagg_6h", "cagg_refresh_incremental"))
+        assert found == full
+
+
 def test_store_prunes_and_replaces(spark, metrics, tmp_path):
     table = ChunkedTable(spark, str(tmp_path / "t"), "time")
     table.append(metrics)

@@ -220,7 +220,8 @@ def cagg_refresh_incremental(spark, sf_dir):
     """A rollup that stops in the middle, refreshed from there on, equals one computed in full."""
     rows = events(spark, sf_dir)
     stored = EV_6H.of(rows.filter(F.col("ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")))
-    return _rounded(refresh(EV_6H, stored, rows, _MID, _MID + 60 * DAY))
+    end = EV_6H.watermark(rows.select(time_bucket(F.col("ts"), EV_6H.width).alias("bucket"))).first()
+    return _rounded(stored if end is None or end.watermark <= _MID else refresh(EV_6H, stored, rows, _MID, end.watermark))
 
 
 @query(f"SELECT {CK} AS range_start, max(epoch_us(ts)) + 1 AS range_end FROM events WHERE ts < TIMESTAMP '2024-01-15' AND event_id % 13 = 0 GROUP BY 1")
