@@ -4,7 +4,8 @@ Every stage takes (spark, docs, sf_dir) and works on all that its predecessor
 kept; all but the last return the columns of documents.
 
 * language: documents whose language is unknown (null text or no letter) go.
-  Profiles are learned from the training rows of the documents themselves.
+  Profiles are learned from the training rows of the documents themselves;
+  where these give none, every text with a letter stays.
 * exact: of equal texts (up to white space) the smallest doc_id stays.
 * near: of each group of near-duplicates (word shingles of five, similarity
   0.8 or more) the smallest doc_id stays.
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.common import staged
 from tidemill.llm.exact import drop_copies
-from tidemill.llm.language import UNKNOWN, fit_profiles, predicted_language, training_rows
+from tidemill.llm.language import UNKNOWN, fit_profiles, has_letter, predicted_language, training_rows
 from tidemill.llm.neardup import drop_near_copies
 from tidemill.llm.packing import pack_documents
 from tidemill.llm.substring import remove_repeats
@@ -30,6 +31,8 @@ NEAR_PERCENT = 80
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     profiles = fit_profiles(training_rows(docs))
+    if not profiles.languages:
+        return docs.filter(has_letter(F.col("text")))
     return docs.filter(predicted_language(F.col("text"), profiles, spark) != UNKNOWN)
 
 

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import brute
@@ -41,3 +42,9 @@ def test_stages_on_odd_rows(spark, odd, nothing):
             assert docs.columns == start.columns
         rows = corpus_pipeline.STAGES[-1][1](spark, docs, "").collect()
         assert max(Counter((r.sequence_id, r.offset) for r in rows).values(), default=1) == 1
+
+
+def test_texts_stay_without_any_language(spark, odd, odd_rows):
+    kept = corpus_pipeline.known_language(spark, odd.withColumn("lang", F.lit(None).cast("string")), "").collect()
+    wanted = [(i, t) for i, t in odd_rows if t and any(c.isalpha() for c in t)]
+    assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == sorted(wanted, key=repr) and wanted

@@ -200,6 +200,16 @@ def predicted_language(text: Column, profiles: Profiles, spark: SparkSession) ->
     return predicted(F.coalesce(text, F.lit("")))
 
 
+def has_letter(text: Column) -> Column:
+    """Whether there is a letter in the text, as n-grams count letters."""
+
+    @F.pandas_udf("boolean")
+    def found(texts):  # noqa: ANN001, ANN202
+        return texts.map(lambda t: any(map(str.isalpha, t)))
+
+    return found(F.coalesce(text, F.lit("")))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = predict_languages(docs, fit_profiles(training_rows(docs)))
