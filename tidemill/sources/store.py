@@ -1,4 +1,4 @@
-"""Chunked tables as Parquet folders: one partition folder a chunk and tier.
+"""Chunked tables as Parquet folders: one partition folder a chunk, of the row tier only.
 
 Replacing a range writes only the chunk's own partition, by dynamic partition
 overwrite; the new content is staged first, so that no path is read and
