@@ -2,6 +2,9 @@
 
 import random
 
+import numpy as np
+import pytest
+
 from tests.llm import brute
 from tidemill.llm import exact, neardup, substring
 
@@ -117,15 +120,146 @@ def test_substring_on_odd_rows(odd, odd_rows):
     assert left.columns == odd.columns and left.count() == len(odd_rows)
 
 
-def test_substring_index_in_batches(spark):
-    """Runs merge: what recurs in a later batch is found, and compaction adds counts."""
-    index = substring.FingerprintIndex(fan_in=2)
-    hashes = lambda *x: spark.createDataFrame([(v,) for v in x], "h long")
-    assert index.append(hashes(1, 2, 2)).count() == 0
-    assert {r.h for r in index.append(hashes(1, 5)).collect()} == {1}
-    assert {r.h for r in index.append(hashes(5, 7)).collect()} == {5}
-    assert len(index.runs) == 1
-    assert {r.h for r in index.repeated().collect()} == {1, 2, 5}
+def _thue_morse(a, b):
+    word, other = a, b
+    for _ in range(9):
+        word, other = word + other, other + word
+    return word
+
+
+def test_words_that_a_shared_base_would_confuse(spark):
+    """Thue-Morse words and their complements agree under any polynomial modulo a power of two."""
+    x, y = _thue_morse("a", "b"), _thue_morse("b", "a")
+    assert len(x) == 512 and x != y
+    words = [f"w{k}" for k in range(40)]
+    rows = [(1, " ".join(words[:20] + [x * 2] + words[20:])), (2, " ".join(words[:20] + [y * 2] + words[20:])), (3, "a b c " + x * 2 + " d e f"), (4, "a b c " + y * 2 + " d e f")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.n_removed for r in substring.without_repeats(frame).collect()} == {0}
+    assert all(r.kept for r in neardup.near_groups(frame).collect())
+
+
+class _Weak(substring.WordHasher):
+    """Under the first two seeds, words of the same length look alike."""
+
+    def words_of(self, texts):
+        hashes, begins = super().words_of(texts)
+        if self.seed != substring.SEEDS[2]:
+            hashes = np.array([len(w) for t in texts for w in t.split()], np.uint64)
+        return hashes, begins
+
+
+def test_words_decide_not_hashes(spark, monkeypatch):
+    """What hashes match is compared as text; where words differ, the next seed is taken."""
+    r = random.Random(9)
+    passage = brute.made_up(r, 60)
+    texts = [" ".join(brute.made_up(r, 50) + (passage if k % 3 == 0 else []) + brute.made_up(r, 30)) for k in range(12)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    wanted = brute.substring(texts)
+    # Anchored itself, without Spark, under each seed
+    data = [t.encode() for t in texts]
+    for weak in (False, True):
+        found = substring.Anchored(data, (_Weak if weak else substring.WordHasher)(61, lower=False))
+        assert found.n_words.tolist() == [n for n, _, _ in wanted]
+        for k in range(len(found.start)):
+            assert len(found.windows_of(k)) == found.size[k]
+    rows = substring.keyed(frame)
+    scratch = substring.Scratch(spark)
+    false = spark.createDataFrame([(0, 3, 1, 1, 4)], "key long, start int, size int, at_key long, at_start int")
+    assert substring._verified(false, rows.select("key", "text"), scratch, 35) is None
+    true = spark.createDataFrame([(0, 50, 26, 3, 50), (3, 50, 26, 3, 50)], "key long, start int, size int, at_key long, at_start int")
+    gone = {x.key: x.gone for x in substring._verified(true, rows.select("key", "text"), scratch, 35).collect()}
+    assert gone == {0: [50, 110], 3: [50, 110]}
+    scratch.clear()
+    tried, verified = [], substring._verified
+
+    def once(*args):
+        tried.append(verified(*args))
+        return None if len(tried) == 1 else tried[-1]
+
+    monkeypatch.setattr(substring, "_verified", once)
+    got = sorted(substring.without_repeats(frame).select("doc_id", "n_words", "n_removed").collect())
+    assert [tuple(x) for x in got] == [(k, n, m) for k, (n, m, _) in enumerate(wanted)] and len(tried) == 2
+    monkeypatch.setattr(substring, "_verified", lambda *_: None)
+    with pytest.raises(RuntimeError, match="every seed"):
+        substring.without_repeats(frame, seeds=(61,))
+
+
+def test_substring_by_small_parameters(spark, odd, odd_rows, monkeypatch):
+    """Keys that are joined by a shuffle, hot anchors that are sent to all, many passages asked of one document."""
+    import functools
+
+    from pyspark.sql import functions as F
+
+    from tidemill.llm import common
+
+    monkeypatch.setattr(substring, "SEND_KEYS", 0)
+    monkeypatch.setattr(substring, "CUTS", 2)
+    monkeypatch.setattr(substring, "join_hot", functools.partial(common.join_hot, hot_part=0.0, hot_rows=4))
+    found = substring.without_repeats(odd, batches=3).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256)).collect()
+    wanted = [(i, *x) for (i, _), x in zip(odd_rows, brute.substring([t for _, t in odd_rows]), strict=True)]
+    assert sorted(map(tuple, found), key=repr) == sorted(wanted, key=repr)
+
+
+def test_substring_over_block_edges():
+    """Spans of a text of more windows than a block has are those of the plain rule."""
+    r = random.Random(3)
+    words = [f"{r.randrange(10**5)}" for _ in range(70_000)]
+    hasher = substring.WordHasher(61, lower=False)
+    found = substring.Anchored([b"short", " ".join(words).encode(), b""], hasher)
+    assert found.size.sum() == 70_000 - 34 and set(found.text.tolist()) == {1}
+    assert (np.diff(found.start) == found.size[:-1]).all() and found.start[0] == 0
+    at = int(np.searchsorted(found.start, 65_536)) - 1
+    near = substring.Anchored([" ".join(words[65_000:66_000]).encode()], hasher)
+    assert found.sign[at] in near.sign and found.hash[at] in near.hash
+
+
+def test_index_in_batches(spark, tmp_path):
+    """Runs are merge-joined: what recurs in a later batch is found, also by an index opened anew, and compaction adds counts."""
+    spans = lambda *x: spark.createDataFrame([(h, s, k, 0, 1) for k, (h, s) in enumerate(x)], substring._SPANS)
+    heads = lambda frame: {r.h: (r.n, r.kinds) for r in frame.collect()}
+    index = substring.FingerprintIndex(spark, str(tmp_path), buckets=3)
+    assert heads(index.append(spans((1, 1), (2, 1), (2, 2)))) == {2: (2, 2)}
+    second = substring.FingerprintIndex(spark, str(tmp_path)).append(spans((1, 1), (5, 1)))
+    assert heads(second) == {1: (2, 2)}
+    plan = second._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    index = substring.FingerprintIndex(spark, str(tmp_path))
+    assert (index.batches, index.buckets, len(index.names)) == (2, 3, 2)
+    index.compact()
+    assert len(index.names) == 1
+    assert heads(index.append(spans((5, 7), (6, 1)))) == {5: (2, 2)}
+    found = index.classes(spark.createDataFrame([(1, 2, 1), (5, 2, 2)], "h long, n long, kinds long")).collect()
+    assert sorted((r.h, r.sign, r.n) for r in found) == [(1, 1, 2), (5, 1, 1), (5, 7, 1)]
+    index.drop()
+
+
+def test_batches_against_history(spark, tmp_path):
+    """A second and third call clean new batches against all that is on disk."""
+    r = random.Random(6)
+    passages = [brute.made_up(r, 45) for _ in range(3)]
+    batches = [[(k, " ".join(brute.made_up(r, 30) + (passages[(k + b) % 3] if b + k else []) + brute.made_up(r, 10 * k))) for k in range(4)] for b in range(3)]
+    seen: set = set()
+    for rows in batches:
+        cleaner = substring.IncrementalDedup(spark, str(tmp_path), fan_in=1)
+        found = {x.doc_id: (x.n_words, x.n_removed, x.kept) for x in cleaner.add(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        split = {k: brute.WORD.findall(t) for k, t in rows}
+        windows = {k: [tuple(w[a : a + 35]) for a in range(len(w) - 34)] for k, w in split.items()}
+        counts: dict = {}
+        for w in (x for ws in windows.values() for x in ws):
+            counts[w] = counts.get(w, 0) + 1
+        for k, words in split.items():
+            gone = {a + d for a, w in enumerate(windows[k]) if counts[w] > 1 or w in seen for d in range(35)}
+            assert found[k] == (len(words), len(gone), " ".join(w for a, w in enumerate(words) if a not in gone))
+        seen |= set(counts)
+    assert any(n for _, n, _ in found.values())
+
+
+def test_names_of_helper_columns(spark):
+    """Columns that have the helpers' names come back as they were."""
+    rows = [(k, " ".join(f"w{j}" for j in range(40)), "a", "b", "c", "d") for k in range(3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, repeat_key string, repeat_gone string, __key string, __sha string")
+    left = substring.remove_repeats(frame).collect()
+    assert sorted(tuple(x) for x in left) == [(k, "", "a", "b", "c", "d") for k in range(3)]
 
 
 def test_empty_tables(nothing):

@@ -232,22 +232,23 @@ class TextEncoder:
     """Whole texts: the pattern's matches, each encoded on its own.
 
     No match of the pattern reaches over the start of a space before a
-    non-space, so texts are cut there and the parts' ids are kept in a memo.
+    non-space, so texts are cut there and the ids of short parts are kept in
+    memos of bounded memory.
     """
 
     _odd = re.compile(r" (?:\s|\Z)")
     _cut = re.compile(r"(?= \S)")
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
 
         self.encoder, self.find = PrefixEncoder(ranks), regex.compile(pattern).findall
-        self.pieces = WordCache(self._piece, memo)
-        self.first = WordCache(self._part, 10_000)
-        self.spaced = WordCache(self._spaced, memo)
+        self.pieces = WordCache(self._piece)
+        self.first = WordCache(self._part, 8 << 20)
+        self.spaced = WordCache(self._spaced)
         #: a space and letters are one match of the pattern
         self.plain = r"| ?\p{L}+|" in pattern
-        self.others = WordCache(self._part, 10_000)
+        self.others = WordCache(self._part, 8 << 20)
 
     def _piece(self, piece: str) -> bytes:
         ids = self.encoder.encode_piece(piece.encode())

@@ -19,6 +19,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,14 +86,93 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dirs[key]
 
 
-def staged(frame: DataFrame, tag: str) -> DataFrame:
+def staged(frame: DataFrame, tag: str, scratch: Scratch | None = None) -> DataFrame:
     """Write once to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = frame.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     frame.write.option("compression", "zstd").parquet(path)
+    if scratch is not None:
+        scratch.paths.append(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a folder of a store that Spark can reach."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+class Scratch:
+    """Staged folders that are deleted once what was built from them has been written itself.
+
+    Only folders that no frame in use reads may be given up; what a lazy
+    result still reads stays in the shared folder.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def clear(self) -> None:
+        for path in self.paths:
+            delete(self.spark, path)
+        self.paths.clear()
+
+
+#: A key with at least this part of all rows is hot; so there are at most its inverse of them.
+HOT_PART = 1 / 1000
+#: Rows below which no key is hot.
+HOT_ROWS = 1000
+
+
+def join_hot(frame: DataFrame, table: DataFrame, on: list[str], weight: str, total: int, hot_part: float = HOT_PART, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Inner join of frame with a staged table of one row a key, where some keys may have very many rows in frame.
+
+    ``weight`` is the table's column with at most as many rows as frame has of
+    that key, and ``total`` their sum. The few hot keys (at most 1 / hot_part)
+    are sent to all tasks; the rows of all others are shuffled.
+    """
+    least = max(hot_rows, int(total * hot_part))
+    hot, cold = table.filter(F.col(weight) >= least), table.filter(F.col(weight) < least)
+    rest = frame.join(F.broadcast(hot.select(*on)), on, "left_anti")
+    return frame.join(F.broadcast(hot), on).unionByName(rest.join(cold, on))
+
+
+def confirm_names(bodies: DataFrame) -> None:
+    """RuntimeError if some name stands for two different bodies (name binary, body binary), compared in full.
+
+    Least and greatest body come from partial aggregates, so a common name is
+    never gathered.
+    """
+    clash = bodies.groupBy("name").agg(F.min("body").alias("a"), F.max("body").alias("b")).filter("a <> b")
+    if not clash.isEmpty():
+        raise RuntimeError("two different texts have the same SHA-256")
+
+
+def fresh(frame: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns that the frame doesn't have, whatever their case."""
+    have = {c.lower() for c in frame.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in have:
+            name = f"_{name}"
+        have.add(name.lower())
+        out.append(name)
+    return out
+
+
+def slices(batch: pa.RecordBatch, text: int, rows: int = 512, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with at most so many rows and about so many bytes in column ``text``; a long text comes alone."""
+    sizes = pc.binary_length(batch.column(text).cast(pa.large_binary())).fill_null(0).to_pylist()
+    start = held = 0
+    for k, n in enumerate(sizes):
+        if k > start and (k - start >= rows or held + n > size):
+            yield batch.slice(start, k - start)
+            start, held = k, 0
+        held += n
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 _ARROW = {
     "long": pa.int64(),
     "int": pa.int32(),
@@ -138,15 +218,22 @@ def map_rows(frame: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
 
 
 class WordCache(dict):
-    """A memo for one function of a string; starts over at ``limit`` entries, so memory is bounded."""
+    """A memo for one function of a string, of bounded memory.
+
+    It starts over once keys and values hold about ``limit`` bytes; keys longer
+    than ``longest`` are computed each time and never kept.
+    """
 
-    def __init__(self, function: Callable[[str], object], limit: int = 400_000):
+    def __init__(self, function: Callable[[str], object], limit: int = 64 << 20, longest: int = 64):
         super().__init__()
-        self.function = function
-        self.limit = limit
+        self.function, self.limit, self.longest, self.held = function, limit, longest, 0
 
     def __missing__(self, key: str) -> object:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[key] = self.function(key)
+        value = self.function(key)
+        if len(key) <= self.longest:
+            self.held += 200 + 2 * len(key) + (len(value) if isinstance(value, bytes) else 64)
+            if self.held > self.limit:
+                self.clear()
+                self.held = 0
+            self[key] = value
         return value

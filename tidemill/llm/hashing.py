@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import xxhash
 
 from tidemill.llm.common import SPACES
 
 _MASK = (1 << 64) - 1
 #: Texts are hashed in segments of about so many bytes, cut at white space.
 SEGMENT = 1 << 20
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 64
 
 
 def _numbers(seed: int, n: int) -> np.ndarray:
@@ -23,60 +28,78 @@ def _numbers(seed: int, n: int) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
-_IS_SPACE = np.zeros(256, bool)
-_IS_SPACE[[ord(c) for c in SPACES]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_ZERO, _ONE = np.zeros(1, np.uint64), np.ones(1, np.uint64)  # a plain 0 or 1 would turn the rest into floats
-_BASE = 0x2545F4914F6CDD1D
-_INVERSE = pow(_BASE, -1, 1 << 64)
+_IN_WORD = np.ones(256, bool)
+_IN_WORD[[ord(c) for c in SPACES]] = False
+_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+#: Of the eight bytes from a place on, those that belong to a word of so many bytes left.
+_LANES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 class WordHasher:
-    """Hashes of words ``[^\\x20\\x09-\\x0D]+``; two hashers of different seeds are independent."""
+    """Hashes of words ``[^\\x20\\x09-\\x0D]+``.
+
+    Eight bytes of a word at a time are added to a state that is then mixed by
+    a bijection, so words of up to eight bytes never collide; long words take
+    xxHash. Every byte and the length enter under the seed. Equal hashes are
+    candidates only: what must be equal is compared as text by the callers.
+    """
 
     def __init__(self, seed: int, lower: bool):
-        self.seed = seed
-        table = _numbers(seed, 256)
-        self.values = table[_LOWER] if lower else table
+        self.seed, self.lower = seed, lower
         self.steps = _numbers(seed + 1, 64) | np.uint64(1)
-        self._powers = self._inverses = np.ones(1, np.uint64)
-
-    def _ready(self, n: int) -> None:
-        if len(self._powers) < n:
-            n = max(n, 2 * len(self._powers))
-            with np.errstate(over="ignore"):
-                self._powers, self._inverses = (np.cumprod(np.concatenate((_ONE, np.full(n - 1, b, np.uint64))), dtype=np.uint64) for b in (np.uint64(_BASE), np.uint64(_INVERSE)))
-
-    def _segment(self, data: np.ndarray) -> np.ndarray:
-        inside = np.concatenate(([False], ~_IS_SPACE[data], [False]))
-        edges = np.flatnonzero(inside[1:] != inside[:-1])
-        starts, ends = edges[::2], edges[1::2]
-        self._ready(len(data) + 1)
-        sums = np.concatenate((_ZERO, np.cumsum(self.values[data] * self._powers[: len(data)], dtype=np.uint64)))
-        return mix((sums[ends] - sums[starts]) * self._inverses[starts] + (ends - starts).astype(np.uint64) * self.steps[0])
-
-    def words(self, text: bytes) -> np.ndarray:
-        data = np.frombuffer(text, np.uint8)
-        if len(data) <= SEGMENT:
-            return self._segment(data)
-        out, at = [], 0
-        while at < len(data):
-            end = min(len(data), at + SEGMENT)
-            while end < len(data) and not _IS_SPACE[data[end]]:
+        self._start = _numbers(seed, 2)
+
+    def _segment(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes, first bytes) of the words of a segment."""
+        data = np.frombuffer(b" " + text + b" " * 8, np.uint8)
+        inside = _IN_WORD[data]
+        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        starts, sizes = edges[::2], edges[1::2] - edges[::2]
+        lanes = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+        with np.errstate(over="ignore"):
+            out = mix((lanes[starts] & _LANES[np.minimum(sizes, 8)]) + self._start[0] + sizes.astype(np.uint64) * self._start[1])
+            left = np.flatnonzero((sizes > 8) & (sizes <= LONG_WORD))
+            at = 8
+            while len(left):
+                rest = sizes[left] - at
+                out[left] = mix(out[left] + (lanes[starts[left] + at] & _LANES[np.minimum(rest, 8)]))
+                left, at = left[rest > 8], at + 8
+        for k in np.flatnonzero(sizes > LONG_WORD).tolist():
+            first = int(starts[k]) - 1
+            out[k] = xxhash.xxh3_64_intdigest(text[first : first + int(sizes[k])], self.seed)
+        return out, starts - 1
+
+    def _segments(self, text: bytes) -> Iterator[tuple[bytes, int]]:
+        """(segment, its first byte), cut behind words."""
+        if self.lower:
+            text = text.translate(_LOWER)
+        at = 0
+        while len(text) - at > SEGMENT:
+            end = at + SEGMENT
+            while end < len(text) and _IN_WORD[text[end]]:
                 end += 1
-            out.append(self._segment(data[at:end]))
+            yield text[at:end], at
             at = end
-        return np.concatenate(out)
+        yield text[at:], at
+
+    def words(self, text: bytes) -> np.ndarray:
+        return np.concatenate([self._segment(part)[0] for part, _ in self._segments(text)])
+
+    def words_of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The words of all texts in one array, and where each text's words begin (and the last one's end)."""
+        found = [(hashes, places + at) for part, at in self._segments(b" ".join(texts)) for hashes, places in [self._segment(part)]]
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        begins = np.concatenate(([0], np.cumsum(lengths)))
+        return np.concatenate([h for h, _ in found]), np.searchsorted(np.concatenate([p for _, p in found]), begins)
 
-    def runs(self, words: np.ndarray, size: int) -> np.ndarray:
-        """The hash of each run of ``size`` consecutive words, by start."""
+    def runs(self, words: np.ndarray, size: int, shift: int = 0) -> np.ndarray:
+        """The hash of each run of ``size`` consecutive words, by start; another shift gives another hash."""
         n = len(words) - size + 1
         if n <= 0:
             return np.empty(0, np.uint64)
         total = np.zeros(n, np.uint64)
         for k in range(size):
-            total += words[k : k + n] * self.steps[1 + k]
+            total += words[k : k + n] * self.steps[(1 + k + shift) % len(self.steps)]
         return mix(total)
 
 

@@ -53,13 +53,13 @@ def fit_noisy_or(texts: list[str], marks: list[int], steps: int = STEPS, rate: f
         return {}
     split = [[set(_words.findall(s)) for s in _sentences.findall(t.lower())] for t in texts]
     seen: dict[str, int] = {}
-    features = WordCache(word_features, 1_000_000)
+    features = WordCache(word_features)
     for sentences in split:
         for f in {f for words in sentences for w in words for f in features[w]}:
             seen[f] = seen.get(f, 0) + 1
     names = [f for f, n in seen.items() if n >= LEAST_DOCS]
     number = {f: k for k, f in enumerate(names)}
-    numbers = WordCache(lambda w: [number[f] for f in features[w] if f in number], 1_000_000)
+    numbers = WordCache(lambda w: [number[f] for f in features[w] if f in number])
     ids: list[int] = []
     starts, owner = [], []
     for doc, sentences in enumerate(split):
@@ -120,7 +120,7 @@ class SentenceModel:
     def __init__(self, weights: dict[str, float]):
         self.weights, self.bias = weights, weights.get("", -30.0)
         get = weights.get
-        self.of_word = WordCache(lambda w: sum([get(f, 0.0) for f in word_features(w)]), 300_000)
+        self.of_word = WordCache(lambda w: sum([get(f, 0.0) for f in word_features(w)]))
 
     def sentences(self, text: str) -> list[tuple[int, int, float]]:
         """(start, end, probability) of every sentence with a word."""
