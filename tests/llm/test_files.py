@@ -49,11 +49,67 @@ def test_shards_of_odd_rows(odd, odd_rows, law):
         assert all(r.grown_shard in (r.shard, 8) for r in rows)
 
 
+def _plain_difference(sizes, parts):
+    """Differencing as it is defined, on lists of sets."""
+    nodes = [[(s, [k])] + [(0, [])] * (parts - 1) for k, s in enumerate(sizes)]
+    while len(nodes) > 1:
+        nodes.sort(key=lambda n: n[-1][0] - n[0][0])
+        a, b = nodes.pop(0), nodes.pop(0)
+        nodes.append(sorted([(x[0] + y[0], x[1] + y[1]) for x, y in zip(a, reversed(b), strict=True)], key=lambda p: -p[0]))
+    return nodes[0]
+
+
+def _spread(rows):
+    """Bytes between the largest and the smallest of 8 shards, by plain differencing of all groups."""
+    by = {}
+    for _, t in rows:
+        by[t or ""] = by.get(t or "", 0) + len((t or "").encode()) + 1
+    sizes = list(by.values())
+    sums = np.bincount(sharding.difference(sizes, 8), sizes, 8)
+    return int(sums.max() - sums.min())
+
+
+@pytest.mark.parametrize("parts", [1, 2, 3, 8, 40])
+def test_differencing_is_the_plain_one(parts):
+    r = random.Random(parts)
+    for n, top in ((1, 50), (2, 50), (parts, 50), (3 * parts + 1, 50), (90, 50), (90, 1), (200, 1)):
+        sizes = r.sample(range(1, 10**6), n)  # without ties every step is determined
+        sizes[0] *= top
+        part, plain = sharding.difference(sizes, parts), _plain_difference(sizes, parts)
+        sums = sorted(np.bincount(part, sizes, parts).astype(int).tolist(), reverse=True)
+        assert sums[0] - sums[-1] == plain[0][0] - plain[-1][0]
+
+
+def test_shards_by_a_tree_of_buckets(spark):
+    """Small buckets: several levels of bundles, hot groups, many cells; groups stay whole and shards nearly equal."""
+    r = random.Random(2)
+    texts = ["x" * r.randrange(1, 400) + str(k) for k in range(3000)] + ["the same " * 40] * 200
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sharding.shard_documents(frame, slot_rows=100, bucket_groups=300, each=40, bundles=60, singles=100).collect()
+    assert sorted(x.doc_id for x in rows) == list(range(3200)) and len({x.shard for x in rows if x.doc_id >= 3000}) == 1
+    sums = np.bincount([x.shard for x in rows], [x.size for x in rows], 8)
+    assert sums.max() - sums.min() <= _spread(list(enumerate(texts))) + 8
+    for law in ("rows", "key"):
+        rows = sharding.shard_documents(frame, law, slot_rows=3).collect()
+        for k in range(8):
+            slots = sorted(x.slot for x in rows if x.shard == k)
+            assert slots == list(range(len(slots)))
+
+
+def test_names_are_confirmed(spark):
+    from tidemill.llm.common import confirm_names
+
+    confirm_names(spark.createDataFrame([(b"a", b"x"), (b"a", b"x"), (b"b", b"y")], "name binary, body binary"))
+    with pytest.raises(RuntimeError, match="SHA-256"):
+        confirm_names(spark.createDataFrame([(b"a", b"x"), (b"a", b"y")], "name binary, body binary"))
+
+
 def test_shard_query(spark, sf_dir, documents_here):
     rows = sharding.op4_shards(spark, sf_dir).collect()
     assert sorted(r.doc_id for r in rows) == sorted(i for i, _ in documents_here)
     sums = np.bincount([r.shard for r in rows], [r.size for r in rows], 8)
-    assert sums.max() - sums.min() <= 0.02 * sums.sum() / 8
+    assert sums.max() - sums.min() <= _spread(documents_here) + 4
+    assert all(sorted(r.slot for r in rows if r.shard == k) == list(range(sum(r.shard == k for r in rows))) for k in range(8))
 
 
 def test_shards_of_nothing(nothing):

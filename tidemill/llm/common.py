@@ -58,11 +58,11 @@ def held_out(modulus: int, remainder: int, column: Column | None = None) -> Colu
 
 
 def hash_share(share: float, column: Column | None = None) -> Column:
-    """True for about this share of ids, the same ones each time: those of least hash."""
-    column = F.col("doc_id") if column is None else column
+    """True for about this share of ids (or names), the same ones each time: those of least hash."""
+    column = F.col("doc_id").cast("string") if column is None else column
     if share >= 1:
         return F.lit(True)
-    return F.xxhash64(column.cast("string")) < F.lit(int(share * 2**64) - 2**63)
+    return F.xxhash64(column) < F.lit(int(share * 2**64) - 2**63)
 
 
 def shared_dir(spark: SparkSession) -> str:
