@@ -123,9 +123,7 @@ def test_shards_of_nothing(nothing):
 def tokenizer():
     from tokenizers import Tokenizer
 
-    made = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
 
 
 def _ids(tokenizer, text):
@@ -141,15 +139,22 @@ def test_word_ids_are_the_tokenizers(tokenizer, documents_here):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_special_tokens_and_long_words(tokenizer):
+    """Special tokens are the tokenizer's, within words too; words too long to keep are encoded all the same."""
+    own = packing.WordTokenizer(public_tokenizers.path(packing.TOKENIZER), memo=100)
+    texts = ["a <|endoftext|> b", "x<|startoftext|>y<|ENDOFTEXT|>", "<|endoftext|", "long " + "abc" * 400 + " x", "é" * 90 + " été <|endoftext|>", "", "  ", "long again " + "abc" * 400]
+    assert np.frombuffer(own.encode_all(texts[:1])[0], "<u4").tolist() == [320, 49407, 321]
+    for _ in range(3):
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode_all(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert all(len(w) <= packing.LONGEST for w in own.known)
+
+
 def test_vocabulary_by_both_ways():
     own = packing.WordTokenizer(public_tokenizers.path(packing.TOKENIZER))
     r = random.Random(5)
     parts = [t.removesuffix("</w>") for t in own.tokenizer.get_vocab() if t.isascii()]
-    words = list({w for w in parts + ["".join(r.choice(parts) for _ in range(r.randrange(1, 5))) for _ in range(20_000)] if own._plain.fullmatch(w)})
-    own._learn(words)
-    fast = {w: own.known[w] for w in words}
-    own._learn_others(words)
-    assert fast == own.known
+    words = list({w for w in parts + ["".join(r.choice(parts) for _ in range(r.randrange(1, 5))) for _ in range(20_000)] if own._plain.fullmatch(w) and not own.special.search(w)})
+    assert own._learn_plain(words) == own._learn_others(words)
 
 
 def test_fullest_against_all_subsets():
@@ -173,6 +178,7 @@ def test_pack_query(spark, sf_dir, documents_here, tokenizer):
 
 
 def test_pack_odd_rows(odd, odd_rows, nothing, tokenizer):
+    assert packing.pack(packing.token_pieces(odd).select("doc_id", "piece", "length"), cell_rows=2).count() == packing.token_pieces(odd).count()
     brute.packed_right(packing.pack_documents(odd).collect(), [(i, _ids(tokenizer, t)) for i, t in odd_rows])
     assert packing.pack_documents(nothing).count() == 0
 
@@ -193,6 +199,49 @@ def test_png_round_trip_and_damage():
         media.png_decode(b"no image")
 
 
+def test_malformed_images():
+    """Whatever doesn't fit is a ValueError, never another error."""
+    header = lambda body: media._chunk(b"IHDR", body)
+    good, end = struct.pack(">IIBBBBB", 2, 1, 8, 0, 0, 0, 0), media._chunk(b"IEND", b"")
+    data = media._chunk(b"IDAT", zlib.compress(b"\0ab"))
+    assert media.png_decode(media.SIGNATURE + header(good) + media._chunk(b"tEXt", b"x") + data + end).tolist() == [[97, 98]]
+    for parts in (
+        [header(b"abc"), data, end],
+        [header(struct.pack(">IIBBBBB", 2, 0, 8, 0, 0, 0, 0)), media._chunk(b"IDAT", zlib.compress(b"")), end],
+        [header(struct.pack(">IIBBBBB", 0, 1, 8, 0, 0, 0, 0)), media._chunk(b"IDAT", zlib.compress(b"\0")), end],
+        [header(struct.pack(">IIBBBBB", 2, 1, 16, 0, 0, 0, 0)), data, end],
+        [data, header(good), end],
+        [header(good), header(good), data, end],
+        [header(good), data],
+        [header(good), end],
+        [header(good), data, end, b"more"],
+        [header(good), data, media._chunk(b"tEXt", b"x"), data, end],
+        [header(good), media._chunk(b"PLTE", b"xyz"), data, end],
+        [header(good), media._chunk(b"IDAT", zlib.compress(b"\0abc")), end],
+        [header(good), media._chunk(b"IDAT", zlib.compress(b"\0a")), end],
+        [header(good), media._chunk(b"IDAT", zlib.compress(b"\7ab")), end],
+        [header(good), media._chunk(b"IDAT", b"nothing"), end],
+    ):
+        with pytest.raises(ValueError):
+            media.png_decode(media.SIGNATURE + b"".join(parts))
+
+
+def test_cosine_hash_by_its_definition():
+    """Every coefficient summed sample by sample; heights beyond those whose tables are kept too."""
+    r = np.random.default_rng(4)
+    for height in (1, 5, 64, media.SMALL + 3):
+        image = r.integers(0, 256, (height, 64)).astype(np.uint8)
+        low = []
+        for u in range(8):
+            for v in range(8):
+                a = np.cos(np.pi * u * (2 * np.arange(height) + 1) / (2 * height)) * np.sqrt(2 / height)
+                b = np.cos(np.pi * v * (2 * np.arange(64) + 1) / 128) * np.sqrt(2 / 64)
+                low.append(round(float((image * np.outer(a, b)).sum()), 6) + 0.0)
+        low = low[1:]
+        middle = sorted(low)[31]
+        assert media.cosine_hash(image) == f"{int(''.join('01'[x > middle] for x in low), 2):016x}"
+
+
 def test_all_filters_are_undone():
     r = np.random.default_rng(0)
     rows = r.integers(0, 256, (40, 64)).astype(np.uint8)
@@ -221,6 +270,9 @@ def test_media_query(spark, sf_dir, documents_here):
     for r in media.op9_media(spark, sf_dir).collect():
         payload = media.pad_payload((texts[r.doc_id] or "").encode())
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len((texts[r.doc_id] or "").encode()), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        stored = media.png_encode(payload)
+        assert (r.media_bytes, r.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest())
+        assert r.feature == media.cosine_hash(np.frombuffer(payload, np.uint8).reshape(-1, 64))
 
 
 # tokens

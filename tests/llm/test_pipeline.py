@@ -29,7 +29,6 @@ def test_stages(spark, sf_dir, documents_here):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
-    tokenizer.encode_special_tokens = True
     ids = [(i, np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 1], "<u4").tobytes()) for i, t in cleaned]
     brute.packed_right(corpus_pipeline.run(spark, sf_dir).collect(), ids)
 

@@ -198,8 +198,8 @@ def record_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def map_rows(frame: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], ddl: str, slice_rows: int = 1024) -> DataFrame:
-    """mapInArrow in slices of bounded rows.
+def map_rows(frame: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], ddl: str, slice_rows: int = 1024, text: int | None = None) -> DataFrame:
+    """mapInArrow in slices of bounded rows, and of bounded bytes of the column numbered ``text``.
 
     ``make`` runs once per task on the executor and returns the function that
     turns a slice into columns by name; tables such as vocabularies load there.
@@ -209,9 +209,10 @@ def map_rows(frame: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = None
         for batch in batches:
-            for start in range(0, batch.num_rows, slice_rows):
+            parts = (batch.slice(k, slice_rows) for k in range(0, batch.num_rows, slice_rows)) if text is None else slices(batch, text, slice_rows)
+            for part in parts:
                 function = function or make()
-                out = function(batch.slice(start, slice_rows))
+                out = function(part)
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
 
     return frame.mapInArrow(run, ddl)

@@ -18,7 +18,6 @@ each on its own; an empty table gives no piece.
 from __future__ import annotations
 
 import itertools
-import json
 import re
 import struct
 from collections.abc import Callable
@@ -34,37 +33,19 @@ CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Rows of one length that are ranked in one task.
-CELL_ROWS = 16_384
-#: Words whose ids a task remembers; the memo starts over when it is full.
-WORD_MEMO = 800_000
-
-
-def word_end_bpe(path: str) -> Callable[[bytes], list[int]]:
-    """Ids of a piece that is closed by a line feed, from the merges in a tokenizer file.
-
-    A line feed stands for the end of a word: it never occurs within one. A
-    byte and the end join first, then merges follow in their order, which is
-    that of the ids; so a rank-based encoder gives the tokenizer's ids.
-    """
-    import tiktoken
-
-    with open(path, encoding="utf-8") as file:
-        vocabulary = json.load(file)["model"]["vocab"]
-    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
-    byte_of = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(sorted(set(range(256)) - set(shown)))}
-    ranks = {}
-    for token, number in vocabulary.items():
-        stem = token.removesuffix("</w>")
-        if all(c in byte_of for c in stem) and number < 49406:
-            ranks[bytes(byte_of[c] for c in stem) + (b"\n" if stem != token else b"")] = number
-    return tiktoken.Encoding("words", pat_str="", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+CELL_ROWS = 1024
+#: Bytes of words and ids that a task remembers, about; the memo starts over when it is full. Longer words are not kept.
+WORD_MEMO, LONGEST = 160 << 20, 64
 
 
 class WordTokenizer:
     """Ids of whole texts from a tokenizer that drops white space.
 
-    Its pattern never reaches over white space, so a text's ids are those of
-    its words one after the other. Words not yet known are encoded together.
+    Neither its pattern nor its special tokens reach over white space, so a
+    text's ids are those of its words one after the other. Words not yet known
+    are encoded together. Most words are plain: normalising only lower-cases
+    them. These are cut by the tokenizer's pattern here, and its own model
+    gives the ids of each piece; all other words go through the whole tokenizer.
     """
 
     #: What the tokenizer's \\s holds, and Python's split() holds besides.
@@ -80,27 +61,33 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self._merge = word_end_bpe(path)
+        self.model = self.tokenizer.model
+        self.special = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or "(?!)")
+        # the byte-level alphabet: printable bytes stand for themselves, the others for letters from 256 on
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+        self.letters = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(shown)))}
         self.known: dict[str, bytes] = {}
-        self.memo = memo
+        self.memo, self.held = memo, 0
 
     def words(self, text: str) -> list[str]:
         if self._not_spaces.search(text):
             return [w for w in self._spaces.split(text) if w]
         return text.split()
 
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if self._plain.fullmatch(w)]
-        for word in plain:
-            ids: list[int] = []
-            for piece in self._pieces.findall(word.lower()):
-                ids += self._merge(piece.encode() + b"\n")
-            self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
-        if len(plain) < len(words):
-            self._learn_others([w for w in words if not self._plain.fullmatch(w)])
-
-    def _learn_others(self, words: list[str]) -> None:
+    def _piece(self, piece: str) -> list[int]:
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(piece)]
+
+    def _learn_plain(self, words: list[str]) -> dict[str, bytes]:
+        found: dict[str, bytes] = {}
+        for word in words:
+            ids = [i for piece in self._pieces.findall(word.lower()) for i in self._piece(piece)]
+            found[word] = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+    def _learn_others(self, words: list[str]) -> dict[str, bytes]:
+        found: dict[str, bytes] = {}
         for first in range(0, len(words), 20_000):
             part = words[first : first + 20_000]
             starts = np.cumsum([0, *[len(w) + 1 for w in part]])
@@ -108,17 +95,25 @@ class WordTokenizer:
             at = np.fromiter(itertools.chain.from_iterable(coded.offsets), np.int64, 2 * len(coded.ids))[::2]
             ids, bounds = np.array(coded.ids, "<u4").tobytes(), (4 * np.searchsorted(at, starts)).tolist()
             for word, a, b in zip(part, bounds, bounds[1:], strict=False):
-                self.known[word] = ids[a:b]
+                found[word] = ids[a:b]
+        return found
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, packed as little-endian unsigned 32-bit integers."""
-        if len(self.known) > self.memo:
+        if self.held > self.memo:
             self.known.clear()
+            self.held = 0
         split = [self.words(t) for t in texts]
         new = set(itertools.chain.from_iterable(split)).difference(self.known)
-        if new:
-            self._learn(list(new))
-        ids_of = self.known.__getitem__
+        plain = [w for w in new if self._plain.fullmatch(w) and not self.special.search(w)]
+        found = self._learn_plain(plain)
+        if len(plain) < len(new):
+            found |= self._learn_others([w for w in new if w not in found])
+        short = {w: ids for w, ids in found.items() if len(w) <= LONGEST}
+        self.known |= short
+        self.held += sum(map(len, short)) * 2 + 200 * len(short)
+        long = found if len(short) < len(found) else None
+        ids_of = self.known.__getitem__ if long is None else lambda w: long.get(w) or self.known.get(w, b"")
         return [b"".join(map(ids_of, words)) for words in split]
 
 
@@ -143,7 +138,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         return run
 
-    return map_rows(id_and_text(docs, id_col, text_col), make, "doc_id long, piece int, start long, length long, ids binary", 512)
+    return map_rows(id_and_text(docs, id_col, text_col), make, "doc_id long, piece int, start long, length long, ids binary", 512, text=1)
 
 
 def fullest(available: list[tuple[int, int]], room: int) -> dict[int, int]:
@@ -215,10 +210,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, cell_rows: int = CELL_ROWS
     cells_of = spark.createDataFrame([(n, -(-c // cell_rows)) for n, c in histogram.items()], "length long, _cells long")
     celled = pieces.join(F.broadcast(cells_of), "length").withColumn("_cell", F.pmod(F.xxhash64("doc_id", "piece"), "_cells"))
     before = Window.partitionBy("length").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    # one row for each length and each cell_rows pieces: small enough to send to all tasks
+    # one row for each length and each cell_rows pieces; the join and the ranks share one shuffle
     offsets = celled.groupBy("length", "_cell").agg(F.count("*").alias("_n")).select("length", "_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     within = Window.partitionBy("length", "_cell").orderBy("doc_id", "piece")
-    ranked = celled.join(F.broadcast(offsets), ["length", "_cell"]).withColumn("_rank", F.col("_before") + F.row_number().over(within) - 1)
+    ranked = celled.join(offsets, ["length", "_cell"]).withColumn("_rank", F.col("_before") + F.row_number().over(within) - 1)
     keys = (table[:, 0] << 44) + table[:, 1]
     names = [c for c in pieces.columns]
     plain = {"bigint": "long"}
