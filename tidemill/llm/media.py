@@ -27,6 +27,8 @@ from tidemill.llm.common import documents, id_and_text, map_rows
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 WIDTH = 64
 LOW = 8
+#: Heights up to which the tables of cosines are kept, so that a task's 512 tables take 16 MB at most.
+SMALL = 512
 
 
 def pad_payload(data: bytes) -> bytes:
@@ -63,19 +65,8 @@ def png_encode(payload: bytes, width: int = WIDTH, level: int = 6) -> bytes:
     return SIGNATURE + _chunk(b"IHDR", header) + _chunk(b"IDAT", zlib.compress(lines.tobytes(), level)) + _chunk(b"IEND", b"")
 
 
-def _paeth_row(line: np.ndarray, above: np.ndarray, below: np.ndarray) -> None:
-    left = upper_left = 0
-    for i, (value, up) in enumerate(zip(line.tolist(), above.tolist(), strict=True)):
-        guess = left + up - upper_left
-        to_left, to_up, to_both = abs(guess - left), abs(guess - up), abs(guess - upper_left)
-        near = left if to_left <= to_up and to_left <= to_both else up if to_up <= to_both else upper_left
-        left = below[i] = (value + near) & 255
-        left = int(left)
-        upper_left = up
-
-
 def _unfilter(lines: np.ndarray) -> np.ndarray:
-    """Undo the five filters; runs of one vectorisable filter are undone at once."""
+    """Undo the five filters; runs of one filter are undone at once."""
     kinds, data = lines[:, 0], lines[:, 1:]
     out = np.empty_like(data)
     above = np.zeros(data.shape[1], np.uint8)
@@ -89,27 +80,38 @@ def _unfilter(lines: np.ndarray) -> np.ndarray:
         elif kind == 2:
             out[start:end] = np.cumsum(part, axis=0, dtype=np.uint8) + above
         elif kind in (3, 4):
-            for k in range(start, end):
-                up = out[k - 1] if k else above
-                if kind == 4:
-                    _paeth_row(data[k], up, out[k])
-                else:
-                    left = 0
-                    for i, (value, high) in enumerate(zip(data[k].tolist(), up.tolist(), strict=True)):
-                        left = (value + ((left + high) >> 1)) & 255
-                        out[k, i] = left
+            out[start:end] = _undo_diagonals(part, above, kind)
         else:
             raise ValueError(f"unknown row filter {kind}")
         above = out[end - 1]
     return out
 
 
+def _undo_diagonals(part: np.ndarray, above: np.ndarray, kind: int) -> np.ndarray:
+    """Rows under filter 3 (average) or 4 (Paeth): a sample needs those on its left and above, so one diagonal follows the other."""
+    n, width = part.shape
+    done = np.zeros((n + 1, width + 1), np.int16)  # a row above, a column of zeros on the left
+    done[0, 1:] = above
+    for diagonal in range(n + width - 1):
+        rows = np.arange(max(0, diagonal - width + 1), min(n, diagonal + 1))
+        columns = diagonal - rows
+        left, up, corner = done[rows + 1, columns], done[rows, columns + 1], done[rows, columns]
+        if kind == 3:
+            near = (left + up) >> 1
+        else:
+            guess = left + up - corner
+            to_left, to_up, to_corner = np.abs(guess - left), np.abs(guess - up), np.abs(guess - corner)
+            near = np.where((to_left <= to_up) & (to_left <= to_corner), left, np.where(to_up <= to_corner, up, corner))
+        done[rows + 1, columns + 1] = (part[rows, columns] + near) & 255
+    return done[1:, 1:].astype(np.uint8)
+
+
 def png_decode(data: bytes) -> np.ndarray:
     """The samples of an 8-bit greyscale PNG, as rows; ValueError if anything doesn't fit."""
     if data[:8] != SIGNATURE:
         raise ValueError("no PNG signature")
-    at, packed, shape, ended = 8, [], None, False
-    while at < len(data) and not ended:
+    at, packed, shape, kinds = 8, [], None, []
+    while kinds[-1:] != [b"IEND"]:
         if at + 12 > len(data):
             raise ValueError("cut off within a chunk")
         (size,), kind = struct.unpack_from(">I", data, at), data[at + 4 : at + 8]
@@ -118,30 +120,48 @@ def png_decode(data: bytes) -> np.ndarray:
         body = data[at + 8 : at + 8 + size]
         if zlib.crc32(kind + body) != struct.unpack_from(">I", data, at + 8 + size)[0]:
             raise ValueError(f"wrong checksum of chunk {kind!r}")
+        if (kind == b"IHDR") != (not kinds):
+            raise ValueError("the header must come first, and once")
         if kind == b"IHDR":
+            if size != 13:
+                raise ValueError("a header has 13 bytes")
             width, height, *rest = struct.unpack(">IIBBBBB", body)
             if rest != [8, 0, 0, 0, 0]:
                 raise ValueError("only plain 8-bit greyscale is read")
+            if not width or not height:
+                raise ValueError("an image has at least one sample")
             shape = height, width
         elif kind == b"IDAT":
+            if packed and kinds[-1] != b"IDAT":
+                raise ValueError("the data chunks must follow each other")
             packed.append(body)
-        elif kind == b"IEND":
-            ended = True
+        elif kind != b"IEND" and kind[:1].isupper():
+            raise ValueError(f"unknown critical chunk {kind!r}")
+        kinds.append(kind)
         at += 12 + size
-    if shape is None or not ended:
-        raise ValueError("no header or no end")
+    if at != len(data):
+        raise ValueError("bytes behind the end")
+    wanted, inflate = shape[0] * (shape[1] + 1), zlib.decompressobj()
     try:
-        raw = zlib.decompress(b"".join(packed))
+        raw = inflate.decompress(b"".join(packed), wanted + 1)  # no more than the image may hold
     except zlib.error as error:
         raise ValueError(str(error)) from error
-    if len(raw) != shape[0] * (shape[1] + 1):
+    if len(raw) != wanted or not inflate.eof:
         raise ValueError("the data don't fill the image")
     return _unfilter(np.frombuffer(raw, np.uint8).reshape(shape[0], shape[1] + 1))
 
 
-@lru_cache(maxsize=512)
 def _cosines(n: int) -> np.ndarray:
-    """The first LOW rows of the orthonormal cosine transform over n samples."""
+    """The first LOW rows of the orthonormal cosine transform over n samples; small tables are kept."""
+    return _small_cosines(n) if n <= SMALL else _made_cosines(n)
+
+
+@lru_cache(maxsize=512)
+def _small_cosines(n: int) -> np.ndarray:
+    return _made_cosines(n)
+
+
+def _made_cosines(n: int) -> np.ndarray:
     k, x = np.arange(LOW)[:, None], np.arange(n)[None, :]
     return np.cos(np.pi * k * (2 * x + 1) / (2 * n)) * np.sqrt(2 / n)
 
@@ -168,7 +188,7 @@ def encode_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         return run
 
-    return map_rows(id_and_text(docs, id_col, text_col), make, "doc_id long, n_bytes long, media binary", 256)
+    return map_rows(id_and_text(docs, id_col, text_col), make, "doc_id long, n_bytes long, media binary", 256, text=1)
 
 
 def read_media(frame: DataFrame) -> DataFrame:
