@@ -298,7 +298,7 @@ def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         return run
 
-    return map_rows(id_and_text(docs, id_col, text_col), make, "doc_id long, n_tokens long, ids binary", 256)
+    return map_rows(id_and_text(docs, id_col, text_col), make, "doc_id long, n_tokens long, ids binary", 256, text=1)
 
 
 def decode_ids(frame: DataFrame, path: str | None = None) -> DataFrame:
