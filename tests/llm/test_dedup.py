@@ -41,6 +41,24 @@ def test_exact_small_blocks(spark, odd, odd_rows, monkeypatch):
     assert sorted(got, key=repr) == brute.exact(odd_rows)
 
 
+def test_exact_hot_text(spark, odd, odd_rows, monkeypatch):
+    """Texts with more carriers than allowed are merged in salted groups first."""
+    rows = [(k, "hot text  here" if k % 3 else "hot text here") for k in range(40)] + [(None, "hot text here"), (None, "other")] + [(k, f"x{k}") for k in range(5)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(12)
+    for docs, wanted in ((frame, rows), (odd, odd_rows)):
+        found = exact.equal_groups(docs, hot_carriers=1).select("doc_id", "keep_id", "group_size", "kept", "sha").collect()
+        assert sorted(((*r[:4], bytes(r[4]).hex()) for r in found), key=repr) == brute.exact(wanted)
+
+
+def test_exact_keeps_one_of_equal_ids(spark):
+    """The same id with texts that differ in white space only: the least text stays, and other columns keep their names."""
+    rows = [(1, "a  b", {"x": 1}, "q"), (1, "a b", {"x": 2}, "r"), (1, "a\tb", {"x": 3}, "s"), (2, None, None, "t"), (2, "", None, "u")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, copy_row map<string,int>, copy_sha string").repartition(3)
+    left = exact.drop_copies(frame)
+    assert left.columns == frame.columns
+    assert sorted((r.doc_id, r.text, r.copy_sha) for r in left.collect()) == [(1, "a\tb", "s"), (2, "", "u")]
+
+
 def test_near_query(spark, sf_dir, documents_here):
     wanted = brute.near_groups(documents_here)
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.op3_neardup(spark, sf_dir).collect()}
