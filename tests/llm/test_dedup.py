@@ -87,25 +87,43 @@ def test_near_blocks_lose_no_link(spark):
         rows.append((k, brute.mutated(rows[-1][1], r, 0.012)))
     rows = [(i, " ".join(w)) for i, w in rows]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    signed = neardup.signatures(frame).filter("bands is not null")
-    vertices = signed.selectExpr("doc_id AS v", "n_shingles AS n", "bands", "sketch").dropDuplicates(["v"])
-    links = neardup.confirmed_links(frame, vertices, 85, "doc_id", "text", block_shingles=400)
-    up = {i: i for i, _ in rows}
-
-    def root(i):
-        while up[i] != i:
-            i = up[i]
-        return i
-
-    for a, b in links.collect():
-        x, y = sorted((root(a), root(b)))
-        up[y] = x
     wanted = brute.near_groups(rows)
-    same = {tuple(neardup.shingle_hashes(t.encode()).tolist()): i for i, t in reversed(rows)}
-    for i, t in rows:
-        j = same[tuple(neardup.shingle_hashes(t.encode()).tolist())]
-        assert wanted[i][1] == wanted[j][1]
-    assert {i: root(i) for i in up if same[tuple(neardup.shingle_hashes(dict(rows)[i].encode()).tolist())] == i} == {i: c for i, (_, c) in wanted.items() if same[tuple(neardup.shingle_hashes(dict(rows)[i].encode()).tolist())] == i}
+    found = neardup.near_groups(frame, block_shingles=400, bucket_rows=2).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in found} == wanted
+
+
+def test_near_shared_ids(spark):
+    """Rows that share an id are one document, linked with whatever any of its texts is linked with."""
+    r = random.Random(7)
+    a, b, c = (" ".join(brute.made_up(r, 40)) for _ in range(3))
+    rows = [(5, a), (5, b), (3, a), (9, b), (9, ""), (7, c), (7, None), (4, ""), (8, c + " ")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sorted((x.doc_id, x.n_shingles, x.component_id, x.kept) for x in neardup.near_groups(frame).collect())
+    assert found == [(3, 36, 3, True), (4, 0, 4, True), (5, 36, 3, False), (5, 36, 3, False), (7, 0, 7, True), (7, 36, 7, True), (8, 36, 7, False), (9, 0, 3, False), (9, 36, 3, False)]
+    assert sorted(x.doc_id for x in neardup.drop_near_copies(frame, 85).collect()) == [3, 4, 7, 7]
+
+
+def test_near_by_small_parameters(spark, odd, odd_rows, monkeypatch):
+    """Ids that are joined by a shuffle, and hubs, leads and copies that are sent to all tasks."""
+    import functools
+
+    from tidemill.llm import common, components
+
+    monkeypatch.setattr(neardup, "SEND_IDS", 0)
+    for module in (neardup, components):
+        monkeypatch.setattr(module, "join_hot", functools.partial(common.join_hot, hot_part=0.0, hot_rows=3))
+    wanted = brute.near_groups([(i, t) for i, t in odd_rows if i is not None])
+    found = neardup.near_groups(odd, block_shingles=300, bucket_rows=3).collect()
+    assert len(found) == len(odd_rows)
+    assert all((x.n_shingles, x.component_id) == wanted[x.doc_id] for x in found if x.doc_id is not None)
+
+
+def test_equal_sets_in_another_order(spark):
+    """Equal sets of shingles of different texts are linked by comparing the sets."""
+    words = [f"w{k}" for k in range(30)]
+    rows = [(1, " ".join(words * 2)), (2, " ".join(words * 3)), (3, " ".join(reversed(words)))]
+    found = {x.doc_id: (x.n_shingles, x.component_id) for x in neardup.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == brute.near_groups(rows) and found[2] == (30, 1)
 
 
 def test_sketch_never_dismisses_a_link():

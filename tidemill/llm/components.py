@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import staged
+from tidemill.llm.common import Scratch, join_hot, staged
 
 ROUNDS = 60
 
@@ -15,23 +15,30 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star steps: the edges end as stars around
     the smallest vertices, after a number of rounds logarithmic in the longest
-    path. Minima come from partial aggregates; the rows of a vertex with very
-    many neighbours are never gathered in one place.
+    path. Minima come from partial aggregates, and the minima of vertices with
+    very many edges are sent to all tasks instead of gathering their edges.
     """
+    spark = edges.sparkSession
     edges = staged(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    state = None
+    state, old = _digest(edges), Scratch(spark)
     for _ in range(ROUNDS):
+        now = Scratch(spark)
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = staged(large.filter("a <> b").distinct(), "large")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        edges = staged(small.filter("a <> b").distinct(), "small")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
+        least = staged(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("n")), "least", old)
+        large = join_hot(both.filter("b > a"), least, ["a"], "n", 2 * state[0]).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = staged(large.filter("a <> b").distinct(), "large", old)
+        least = staged(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")), "least", old)
+        small = join_hot(large, least, ["a"], "n", state[0]).select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
+        edges = staged(small.filter("a <> b").distinct(), "small", now)
+        old.clear()
+        was, state, old = state, _digest(edges), now
+        if was == state:
             break
-        state = now
     else:
         raise RuntimeError("components did not settle")
     return edges.select(F.col("a").alias("v"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("v"), F.col("b").alias("component")).distinct())
+
+
+def _digest(edges: DataFrame) -> tuple:
+    """Number and sum of hashes: equal before and after a round that changed nothing."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
