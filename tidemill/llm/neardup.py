@@ -50,7 +50,7 @@ SKETCH_BITS = 512
 #: Least similarity in percent that links two documents.
 PERCENT = 85
 #: Shingles that a block of a cluster holds, about.
-BLOCK_SHINGLES = 250_000
+BLOCK_SHINGLES = 100_000
 #: Vertices of a bucket that are joined with each other in one place, at most about.
 BUCKET_ROWS = 512
 #: Ids up to this number are sent to all tasks (8 bytes each), names a quarter of it; more are joined by a shuffle.
