@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from tidemill.catalogue import QUERIES
 from tidemill.cli import Migration, main
 from tidemill.functions import idents, times
-from tidemill.operators.copying import range_delete, replace_range, route
+from tidemill.operators.copying import range_delete, replace_range, route, upsert_arrays
 from tidemill.operators.ranking import row_numbers
 from tidemill.operators.rollups import Rollup, refresh
-from tidemill.operators.verification import difference_report, select_list, summary
+from tidemill.operators.verification import agree, difference_report, select_list, summary
 from tidemill.plans import planner
 from tidemill.plans.taskqueue import TaskQueue
 from tidemill.sources.store import KEY, ChunkedTable, generated_series
@@ -40,8 +40,8 @@ def test_chunk_goldens(spark, metrics):
     assert metrics.count() == 744
     assert _plan(spark, metrics, "2023-06-01").count() == 5
     one = _plan(spark, metrics, "2023-05-11", "2023-05-04").collect()
-    assert len(one) == 1 and one[0]["filter"] == "\"time\" >= '2023-05-04'"
-    assert {r["filter"] for r in _plan(spark, metrics, "2023-05-26").collect()} == {None, "\"time\" < '2023-05-26'"}
+    assert len(one) == 1 and one[0]["filter"] == "\"time\" >= '2023-05-04 00:00:00'"
+    assert {r["filter"] for r in _plan(spark, metrics, "2023-05-26").collect()} == {None, "\"time\" < '2023-05-26 00:00:00'"}
     assert _plan(spark, metrics, "5500").count() == 0
 
 
@@ -205,6 +205,98 @@ def test_migration_end_to_end(spark, metrics, tmp_path):
         migration.stage("whenever")
 
 
+def test_bounds_in_filters_read_back(spark, metrics):
+    """A bound typed as yyyyMMdd becomes one that every engine reads; integers and dates by their types."""
+    plan = _plan(spark, metrics, "20230526").filter("filter is not null").first()
+    assert plan["filter"] == "\"time\" < '2023-05-26 00:00:00'"
+    assert metrics.filter(F.expr(plan["filter"].replace('"', "`"))).count() == 600
+    kinds = spark.createDataFrame([("bigint",), ("date",), ("timestamp",), ("timestamptz",)], "k string")
+    text = times.bound_text(times.parse_bound(F.lit("20230526"), F.col("k")), F.col("k"))
+    assert [r[0] for r in kinds.select(text).collect()] == ["20230526", "2023-05-26", "2023-05-26 00:00:00", "2023-05-26 00:00:00+00"]
+    late = times.parse_bound(F.lit("2023-05-26 13:00:00"), F.col("k"))
+    assert [r[0] for r in kinds.select(times.bound_text(late, F.col("k"))).collect()][1:3] == ["2023-05-26", "2023-05-26 13:00:00"]
+
+
+def test_refresh_plan_tells_schemas_apart(spark):
+    rollups = spark.createDataFrame([(2, 1, "a", "day"), (3, 1, "b", "day")], "mat_id int, raw_id int, view_schema string, view_name string")
+    marks = lambda *x: spark.createDataFrame([("a", "day", "timestamp", x[0]), ("b", "day", "timestamp", x[1])], "view_schema string, view_name string, column_type string, watermark long")
+    found = planner.refresh_plan(rollups, marks(times.DAY, 2 * times.DAY), marks(0, 0)).collect()
+    assert [(r.view_schema, r.window_end, r.end_text) for r in found] == [("a", times.DAY, "1970-01-02 00:00:00"), ("b", 2 * times.DAY, "1970-01-03 00:00:00")]
+
+
+def test_refresh_filters_the_parent(spark, metrics, tmp_path):
+    """The window reaches the parent's scan, for every type of time."""
+    metrics.write.parquet(str(tmp_path / "m"))
+    parent, daily = spark.read.parquet(str(tmp_path / "m")), Rollup("d", "time", times.DAY, ("device_id",), ("max(val) AS m",))
+    stored = daily.of(metrics)
+    low, high = 1683504000000000, 1683504000000000 + 2 * times.DAY
+    found = refresh(daily, stored.limit(0), parent, low, high)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(time," in plan and "LessThan(time," in plan
+    assert sorted(map(tuple, found.collect())) == sorted(tuple(r) for r in stored.filter(F.col("bucket").between(low, high - 1)).collect())
+    days = metrics.withColumn("time", F.col("time").cast("date"))
+    of_days = Rollup("d", "time", 6 * times.HOUR, ("device_id",), ("count(*) AS n",), "date")
+    some = refresh(of_days, of_days.of(days).limit(0), days, low + 6 * times.HOUR, high + 6 * times.HOUR)
+    assert {r.bucket for r in some.collect()} == {low + times.DAY, high}
+
+
+def test_compressed_chunks_are_copied(spark, metrics, tmp_path):
+    """Batches go over as they are; a cut chunk is decompressed, replaced and compressed again; both tiers of a partial chunk count."""
+    config = {"source": str(tmp_path / "s"), "target": str(tmp_path / "t"), "queue": str(tmp_path / "q.json"), "tables": [{"name": "public.metrics", "time": "time", "width": times.CHUNK}]}
+    migration = Migration(spark, config)
+    source, target = migration.source["public.metrics"], migration.target["public.metrics"]
+    source.append(metrics)
+    chunks = sorted(r.range_start for r in source.chunks().collect())
+    with pytest.raises(ValueError, match="no compression settings"):
+        source.compress_chunk(chunks[0])
+    source.configure(["device_id"], [("time", True, True)])
+    for chunk in chunks[:3]:
+        source.compress_chunk(chunk, 50)
+    assert source.tiers(chunks[0]) == (False, True) and source.read().count() == 744
+    late = metrics.filter("time < '2023-05-02'").withColumn("device_id", F.lit(9))
+    source.append(late)  # the first chunk is partial now
+    assert source.tiers(chunks[0]) == (True, True)
+    batches = source.batches(chunks[1]).select("_batch", "_rows").first()
+    assert [r["time"] for r in batches._rows] == sorted((r["time"] for r in batches._rows), reverse=True)
+    assert migration.stage("2023-05-13 12:00:00") == (3, 0) and migration.copy(2) == 3 and migration.verify(2) == (3, 0)
+    routes = {t["range_start"]: t for t in TaskQueue(config["queue"]).tasks}
+    assert set(routes) == set(chunks[:3])
+    assert target.tiers(chunks[0]) == (True, True) and target.tiers(chunks[1]) == (False, True)
+    both = source.read().filter("time < '2023-05-13 12:00:00'")
+    content = lambda frame: sorted(map(tuple, frame.select("time", "device_id", "val").collect()))
+    assert content(target.read()) == content(both)
+    migration.queue.clean()
+    # again, now that the target has batches: nothing is doubled, and the cut chunk is compressed again
+    assert target.settings() == source.settings()
+    target.compress_chunk(chunks[2])
+    assert migration.stage("2023-05-13 12:00:00") == (3, 0) and migration.copy(1) == 3 and migration.verify(1) == (3, 0)
+    assert content(target.read()) == content(both) and target.tiers(chunks[2]) == (False, True)
+    migration.queue.clean()
+    target.configure(["device_id"], ["time"])
+    with pytest.raises(ValueError, match="compression settings differ"):
+        migration.stage("2023-06-01")
+    target.configure(["device_id"], [("time", True, True)], version=0)
+    with pytest.raises(ValueError, match="format"):
+        migration.stage("2023-06-01")
+    migration.clean()
+    assert not (tmp_path / "t" / "public.metrics_staging").exists() and not (tmp_path / "q.json").exists()
+
+
+def test_sums_agree_by_tolerance(spark):
+    from decimal import Decimal
+
+    schema = spark.createDataFrame([], "x decimal(38,9), y long").schema
+    row = lambda x, y=3: {"total_count": 1000, "count_x": 1000, "count_y": 1000, "sum_x": x, "sum_y": y, "min_y": 1}
+    assert agree(schema, row(Decimal("1.00005")), row(Decimal("1.00015"))) and not agree(schema, row(Decimal(1)), row(Decimal(2)))
+    assert agree(schema, row(None), row(None)) and not agree(schema, row(None), row(Decimal(0))) and not agree(schema, row(None, 3), row(None, 4))
+
+
+def test_upsert_of_arrays(spark):
+    rows = lambda *x: spark.createDataFrame(list(x), "key string, value string")
+    found = upsert_arrays(rows(("a", "[1,2]"), ("b", "[]"), ("c", "[5]")), rows(("a", "[3]"), ("b", "[4]"), ("d", "[]"), ("c", "[]")))
+    assert sorted(map(tuple, found.collect())) == [("a", "[1,2,3]"), ("b", "[4]"), ("c", "[5]"), ("d", "[]")]
+
+
 def test_refresh_command(spark, metrics, tmp_path, monkeypatch):
     rollups = [
         {"name": "public.six", "of": "public.metrics", "width": 6 * times.HOUR, "keys": ["device_id"], "aggregates": ["count(*) AS n"]},

@@ -1,5 +1,11 @@
 """Commands over a configuration file: stage, copy, verify, refresh, clean.
 
+Each ends with a line that says what it did. Chunks are copied by a route that
+depends on both sides' tiers: compressed chunks that are wanted whole go over
+as batches, unread; where a range cuts a chunk, rows are replaced and the
+target is compressed again. Staging checks columns, the format's version and
+compression settings of both sides.
+
 The configuration is JSON: source and target folders, the queue's and the
 event log's files, and tables with name, time column, type and chunk width.
 Rollups, each after what it is built on, have name, of (a table or a rollup),
@@ -30,9 +36,11 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.idents import assert_regex
 from tidemill.functions.times import CHUNK, INTEGER_TYPES, ORIGIN, from_internal, internal
+from tidemill.operators.compression import assert_same_settings
+from tidemill.operators.copying import route
 from tidemill.operators.rollups import Rollup, refresh
 from tidemill.operators.validation import assert_same_columns, signatures
-from tidemill.operators.verification import difference_report, summary
+from tidemill.operators.verification import agree, difference_report, summary
 from tidemill.plans.planner import check_bound, closure, plan_chunks, refresh_plan, seeds
 from tidemill.plans.taskqueue import TaskQueue, with_priority
 from tidemill.sources.store import KEY, ChunkedTable
@@ -89,31 +97,59 @@ class Migration:
         planned = with_priority(plan_chunks(chunks, tables, dims, until, frm)).orderBy("priority").collect()
         both = {n: t for n, t in self.target.items() if t.exists() and (n not in self.rollups or self.source[n].exists())}
         bare = lambda side: signatures(self.spark, {n: side[n].read().drop(KEY) for n in both})
+        for name in both:
+            assert_same_settings(name, self.source[name].settings(), self.target[name].settings())
         if both:
             assert_same_columns(bare(self.source), bare(self.target))
+        for name, table in self.target.items():  # a table that the target lacks is made like the source's, before any worker runs
+            if not table.exists() and self.source[name].exists() and (kept := self.source[name].settings())["segment_by"] is not None:
+                table.configure(kept["segment_by"], [tuple(o) for o in kept["order_by"]])
         return self.queue.enqueue([{"hypertable": r.hypertable, "chunk_id": r.chunk_id, "table": r.chunk_id.rsplit("/", 1)[0], "range_start": r.range_start, "filter": r["filter"]} for r in planned])
 
     def _range(self, task: dict):
         return F.expr(task["filter"].replace('"', "`")) if task["filter"] else None
 
     def copy_one(self, task: dict) -> str:
-        began, source = time.time(), self.source[task["table"]].read().filter(F.col(KEY) == task["range_start"])
-        if source.isEmpty():
+        began, chunk, within = time.time(), task["range_start"], self._range(task)
+        source, target = self.source[task["table"]], self.target[task["table"]]
+        (rows, batches), (target_rows, target_batches) = source.tiers(chunk), target.tiers(chunk)
+        if not rows and not batches:
             return "skipped: the source chunk is gone"
-        rows = self.target[task["table"]].replace(source.drop(KEY), task["range_start"], self._range(task))
-        return f"{rows} rows in {human_seconds(time.time() - began)}"
+        steps, count = route(within is not None, batches, target_batches, target_rows, rows), 0
+        for step in steps:
+            if step == "decompress target":
+                target.decompress_chunk(chunk)
+            elif step == "compress target":
+                target.compress_chunk(chunk)
+            elif step == "replace range from both tiers":
+                count += target.replace(source.content(chunk).drop(KEY), chunk, within)
+            elif step in ("append compressed batches", "create compressed chunk with batches"):
+                target._remove(f"{target.path}_batches/{KEY}={chunk}")  # a whole chunk replaces what was there
+                count += target.append_batches(source.batches(chunk).drop(KEY), chunk)
+            elif rows or target_rows:  # the row tier, as a whole or in the range
+                own = source.rows(chunk)
+                count += target.replace((target.rows(chunk).limit(0) if own is None else own).drop(KEY), chunk, within)
+        seconds = time.time() - began
+        return f"{count} rows and batches in {human_seconds(seconds)} ({count / max(seconds, 1e-9):.0f} a second), {', '.join(steps)}"
 
     def verify_one(self, task: dict) -> str:
         sides = []
         for name, side in (("source", self.source), ("target", self.target)):
-            table = side[task["table"]]
-            rows = table.read().filter(F.col(KEY) == task["range_start"]).drop(KEY) if table.exists() else None
-            if rows is None or rows.isEmpty():
+            rows = side[task["table"]].content(task["range_start"])
+            if rows is None:
                 return f"{name} chunk is missing"
-            within = self._range(task)
+            rows, within = rows.drop(KEY), self._range(task)
+            schema = rows.schema
             sides.append(summary(rows if within is None else rows.filter(within)).first().asDict())
-        difference = difference_report(*sides)
-        return f"differs\n{difference}" if difference else "ok"
+        return "ok" if agree(schema, *sides) else f"differs\n{difference_report(*sides)}"
+
+    def clean(self) -> None:
+        """Removes the queue, stored watermarks, and what broken-off runs left in the target."""
+        self.queue.clean()
+        if os.path.exists(self.marks):
+            os.remove(self.marks)
+        for table in self.target.values():
+            table.clean()
 
     def copy(self, parallelism: int = 8, stop: threading.Event | None = None) -> int:
         return self.queue.drain(self.copy_one, parallelism, stop=stop)
@@ -149,17 +185,20 @@ class Migration:
         """Brings the target's rollups up to the source's watermarks, parents first; returns the windows refreshed."""
         if not self.rollups:
             return 0
-        rollups = self._rollup_frame().withColumn("view_name", F.concat_ws(".", "view_schema", "view_name"))
+        rollups = self._rollup_frame()
         own = {n: self._beginning(n) for n in self.rollups} | self._watermarks(self.target) | self._saved()
-        marks = lambda found: self.spark.createDataFrame([(n, m) for n, m in found.items() if n in self.rollups], "view_name string, watermark long")
+        marks = lambda found: self.spark.createDataFrame([(*n.split(".", 1), self.rollups[n].kind, m) for n, m in found.items() if n in self.rollups], "view_schema string, view_name string, column_type string, watermark long")
         plan = refresh_plan(rollups, marks(self._watermarks(self.source)), marks(own))
         if pattern is not None:
             tables = self.spark.createDataFrame([(k, *t["name"].split(".", 1)) for k, t in enumerate(self.tables)], "id int, schema_name string, table_name string")
             chosen = rollups.join(self._chosen(tables, pattern, up, down).withColumnRenamed("id", "mat_id"), "mat_id", "left_semi")
-            plan = plan.join(chosen, "view_name", "left_semi")
-        windows = plan.orderBy("lvl", "window_start", "view_name").collect()
-        for w in windows:
-            self._refresh_one(w.view_name, w.window_start, w.window_end)
+            plan = plan.join(chosen, ["view_schema", "view_name"], "left_semi")
+        windows = plan.orderBy("lvl", "view_schema", "view_name").collect()  # a row a rollup
+        if not windows:
+            log.warning("no rollups to refresh")
+        for number, w in enumerate(windows, 1):
+            log.warning("[%d/%d] refresh %s.%s in [%s, %s)", number, len(windows), w.view_schema, w.view_name, w.start_text, w.end_text)
+            self._refresh_one(f"{w.view_schema}.{w.view_name}", w.window_start, w.window_end)
         return len(windows)
 
     def _refresh_one(self, name: str, start: int, end: int) -> None:
@@ -207,23 +246,29 @@ def main(args: list[str] | None = None) -> int:
     with open(options.config) as file:
         config = json.load(file)
     spark = SparkSession.builder.appName("tidemill").config("spark.sql.session.timeZone", "UTC").config("spark.scheduler.mode", "FAIR").getOrCreate()
-    event, migration = Event(options.command), Migration(spark, config)
+    logging.basicConfig(level=os.environ.get("TIDEMILL_LOG", "WARNING").upper())
+    event = Event(options.command, spark=spark.version, filtered=options.filter is not None, cascade=[d for d, on in (("up", options.cascade_up), ("down", options.cascade_down)) if on], parallelism=options.parallelism, tables=len(config["tables"]), rollups=len(config.get("rollups", [])))
+    migration = Migration(spark, config)
     try:
         if options.command == "stage":
             staged, skipped = migration.stage(options.until, options.frm, options.filter, options.cascade_up, options.cascade_down)
             event.tasks = staged
             log.warning("staged %d chunks, skipped %d", staged, skipped)
         elif options.command == "clean":
-            migration.queue.clean()
+            migration.clean()
+            log.warning("removed the queue and what runs left behind")
         elif options.command == "refresh":
             event.tasks = migration.refresh(options.filter, options.cascade_up, options.cascade_down)
+            log.warning("refreshed %d windows", event.tasks)
         elif options.command == "copy":
             event.tasks = migration.copy(options.parallelism, graceful(spark))
+            log.warning("copied %d chunks, %d are pending", event.tasks, migration.queue.count_pending())
         else:
             event.tasks, failures = migration.verify(options.parallelism, graceful(spark))
+            log.warning("verified %d chunks, %d differ", event.tasks, failures)
             return int(failures > 0)
     except Exception as error:
-        event.success, event.error = False, str(error)
+        event.fail(error)
         raise
     finally:
         event.seconds = time.time() - event.began

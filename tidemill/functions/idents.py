@@ -62,3 +62,9 @@ def assert_regex(spark: SparkSession, pattern: str) -> None:
 def prefixed(name: str, longest: int = 63, prefix: str = "tm_") -> str:
     """A prefix for generated names; where it would exceed the longest name, it takes the place of the name's beginning."""
     return prefix + (name[len(prefix) :] if len(name) + len(prefix) >= longest else name)
+
+
+def version_number(text: Column) -> Column:
+    """major.minor.patch as one number; parts that are missing count as 0, and what follows the digits is ignored."""
+    part = lambda k: F.coalesce(F.regexp_extract(text, rf"^(?:\d+\.){{{k}}}(\d+)", 1).try_cast("bigint"), F.lit(0))
+    return part(0) * 10_000 + part(1) * 100 + part(2)

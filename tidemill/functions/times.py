@@ -41,9 +41,21 @@ def parse_bound(text: Column, kind: Column) -> Column:
     digits = text.rlike("^[0-9]+$")
     moment = F.when(digits, F.try_to_timestamp(text, F.lit("yyyyMMdd"))).otherwise(text.try_cast("timestamp"))  # a bare year is no time
     number = F.when(digits, text.try_cast("bigint"))
+    moment = F.when(kind == "date", F.date_trunc("day", moment)).otherwise(moment)
     return F.when(kind.isin(*INTEGER_TYPES), number).when(kind.isin(*TIME_TYPES), F.unix_micros(moment))
 
 
+def bound_text(value: Column, kind: Column) -> Column:
+    """An internal value as text that reads back as the dimension's type, however the bound was typed."""
+    moment = F.timestamp_micros(value).cast("string")
+    return (
+        F.when(kind.isin(*INTEGER_TYPES), value.cast("string"))
+        .when(kind == "date", F.substring(moment, 1, 10))
+        .when(kind == "timestamptz", F.concat(moment, F.lit("+00")))
+        .when(kind == "timestamp", moment)
+    )
+
+
 def floor_to(value: Column, width: int, origin: int = 0) -> Column:
     """The largest origin + k * width not above value; right for negative values too."""
     shifted = value - F.lit(origin)

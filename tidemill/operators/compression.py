@@ -1,4 +1,10 @@
-"""The columnar tier: batches of one segment's rows as arrays, with least and greatest values."""
+"""The columnar tier: batches of one segment's rows as arrays, with least and greatest values.
+
+An order is a list of columns, each a name (ascending, nulls last) or a triple
+(name, descending, nulls first). Rows are compressed chunk by chunk in a store,
+so a segment's window never holds more than its rows of one chunk; ``within``
+names columns that divide segments further.
+"""
 
 from __future__ import annotations
 
@@ -16,14 +22,19 @@ def ordering(column: str, descending: bool, nulls_first: bool) -> Column:
     return c.asc_nulls_first() if nulls_first else c.asc_nulls_last()
 
 
-def compress(rows: DataFrame, segment_by: list[str], order_by: list[str], batch: int = BATCH) -> DataFrame:
-    """One row a batch: segment columns, _batch, _count, _min_/_max_ of each order column, and the rows as one array of structs."""
-    others = [c for c in rows.columns if c not in segment_by]
-    window = Window.partitionBy(*segment_by).orderBy(*[ordering(c, False, False) for c in order_by])
-    numbered = rows.withColumn("_batch", ((F.row_number().over(window) - 1) / batch).cast("bigint"))
-    ranges = [f(c).alias(f"_{name}_{c}") for c in order_by for name, f in (("min", F.min), ("max", F.max))]
-    packed = F.sort_array(F.collect_list(F.struct(*order_by, *[c for c in others if c not in order_by]))).alias("_rows")
-    return numbered.groupBy(*segment_by, "_batch").agg(F.count("*").alias("_count"), *ranges, packed)
+def triples(order_by: list) -> list[tuple[str, bool, bool]]:
+    return [(c, False, False) if isinstance(c, str) else tuple(c) for c in order_by]
+
+
+def compress(rows: DataFrame, segment_by: list[str], order_by: list, batch: int = BATCH, within: tuple[str, ...] = ()) -> DataFrame:
+    """One row a batch: segment columns, _batch, _count, _min_/_max_ of each order column, and the rows in order as one array of structs."""
+    order, keys = triples(order_by), [*segment_by, *within]
+    names, others = [c for c, _, _ in order], [c for c in rows.columns if c not in keys]
+    window = Window.partitionBy(*keys).orderBy(*[ordering(*o) for o in order])
+    numbered = rows.withColumn("_rank", F.row_number().over(window)).withColumn("_batch", ((F.col("_rank") - 1) / batch).cast("bigint"))
+    ranges = [f(c).alias(f"_{name}_{c}") for c in names for name, f in (("min", F.min), ("max", F.max))]
+    ranked = F.array_sort(F.collect_list(F.struct("_rank", F.struct(*others).alias("row"))), lambda a, b: a["_rank"] - b["_rank"])
+    return numbered.groupBy(*keys, "_batch").agg(F.count("*").alias("_count"), *ranges, F.transform(ranked, lambda r: r["row"]).alias("_rows"))
 
 
 def decompress(batches: DataFrame, columns: list[str], predicate: Column | None = None) -> DataFrame:
@@ -38,6 +49,15 @@ def all_tiers(row_tier: DataFrame, batches: DataFrame) -> DataFrame:
     return row_tier.unionByName(decompress(batches, row_tier.columns))
 
 
+def assert_same_settings(table: str, source: dict, target: dict) -> None:
+    """ValueError, with what to do, unless both sides compress a table alike and have one format."""
+    if source["version"] != target["version"]:
+        raise ValueError(f"{table}: the source has format {source['version']}, the target {target['version']}: bring both to one version first")
+    if source["segment_by"] is not None and source != target:
+        shown = lambda s: "none" if s["segment_by"] is None else f"segment by {s['segment_by']}, order by {s['order_by']}"
+        raise ValueError(f"{table}: compression settings differ (source: {shown(source)}; target: {shown(target)}): decompress the target's chunks, configure it like the source, and stage again")
+
+
 def settings_differ(a: str, b: str) -> Column:
     """Whether two structs of compression settings differ; null equals null."""
     return ~F.col(a).eqNullSafe(F.col(b))

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-
 def _certain(predicate: Column | None) -> Column:
     return F.lit(True) if predicate is None else F.coalesce(predicate, F.lit(False))
 
@@ -27,7 +26,7 @@ def replace_range(target: DataFrame, source: DataFrame, chunk: Column, predicate
 
 
 def route(filtered: bool, source_compressed: bool, target_compressed: bool, target_partial: bool, source_has_rows: bool) -> list[str]:
-    """The steps that copy one chunk, by the state of both sides."""
+    """The steps that copy one chunk, by the state of both sides; ``Migration.copy_one`` does them in this order."""
     if filtered and source_compressed:
         steps = ["decompress target"] if target_compressed else []
         return [*steps, "replace range from both tiers", *(["compress target"] if target_compressed else [])]
@@ -36,3 +35,11 @@ def route(filtered: bool, source_compressed: bool, target_compressed: bool, targ
     through_root = target_compressed and not target_partial and source_has_rows
     row_step = "write rows through the table" if through_root else "replace range of the row tier"
     return [row_step, "append compressed batches" if target_compressed else "create compressed chunk with batches"]
+
+
+def upsert_arrays(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """(key, value) with JSON arrays as values: those of keys that are there get the new elements at their end."""
+    old, own = F.col("s.value"), F.col("n.value")
+    joined = F.when(old == "[]", own).when(own == "[]", old).otherwise(F.concat(F.substring(old, F.lit(1), F.length(old) - 1), F.lit(","), F.substring(own, F.lit(2), F.length(own))))
+    both = stored.alias("s").join(new.alias("n"), F.col("s.key") == F.col("n.key"), "full_outer")
+    return both.select(F.coalesce("s.key", "n.key").alias("key"), F.coalesce(joined, old, own).alias("value"))

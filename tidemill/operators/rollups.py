@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
-from tidemill.functions.times import INTEGER_TYPES, ORIGIN, time_bucket
+from tidemill.functions.times import DAY, INTEGER_TYPES, ORIGIN, time_bucket
+
+#: Moments that every bound is cut to: years 1 and 9999 in internal time.
+EARLIEST, LATEST = -62_135_596_800_000_000, 253_402_300_799_000_000
 
 
 @dataclass(frozen=True)
@@ -36,6 +40,18 @@ def refresh(rollup: Rollup, stored: DataFrame, parent: DataFrame, start: int, en
     if (start - shift) % rollup.width or (end - shift) % rollup.width:
         raise ValueError("refresh bounds must lie on bucket edges")
     inside = (F.col("bucket") >= start) & (F.col("bucket") < end)
-    # the bucket's filter is repeated on the parent's time, where it can reach the scan
-    return stored.filter(~inside).unionByName(rollup.of(parent).filter(inside))
+    return stored.filter(~inside).unionByName(rollup.of(parent.filter(between(parent, rollup, start, end))))
+
+
+def between(parent: DataFrame, rollup: Rollup, start: int, end: int) -> Column:
+    """start <= time < end on the parent's own time column, so that it reaches the scan; bounds are bucket edges, as internal time."""
+    kind, time = parent.schema[rollup.time].dataType, F.col(f"`{rollup.time}`")
+    if isinstance(kind, DateType):  # a date is the midnight it begins with
+        low, high = (F.lit(-(-b // DAY)).cast("int") for b in (start, end))
+        return (F.unix_date(time) >= low) & (F.unix_date(time) < high)
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        low, high = (F.timestamp_micros(F.lit(min(max(b, EARLIEST), LATEST))).cast(kind) for b in (start, end))
+    else:
+        low, high = (F.lit(min(max(b, -(2**63)), 2**63 - 1)).cast("bigint") for b in (start, end))
+    return (time >= low) & (time < high)
 

@@ -76,6 +76,22 @@ def verify_chunks(source: DataFrame, target: DataFrame, planned: DataFrame, key:
     return joined.select(F.col(f"p.{key}").alias(key), status.alias("status"))
 
 
+def agree(schema: T.StructType, source: dict, target: dict) -> bool:
+    """Whether two summaries agree by the rule of ``differing``: sums by tolerance, all else exactly."""
+    if set(source) != set(target):
+        return False
+    for name in source:
+        a, b = source[name], target[name]
+        kind, _, column = name.partition("_")
+        summed = kind == "sum" and column in schema.names and not isinstance(schema[column].dataType, T.DayTimeIntervalType)
+        if summed and a is not None and b is not None:
+            if abs(float(a - b)) > TOLERANCE * source[f"count_{column}"]:
+                return False
+        elif a != b:
+            return False
+    return True
+
+
 def render(row: dict) -> str:
     """A summary as text with stable order."""
     return "".join(f"{k}: {row[k]}\n" for k in sorted(row))

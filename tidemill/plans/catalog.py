@@ -45,3 +45,9 @@ def missing_chunks(source: DataFrame, matched: DataFrame) -> DataFrame:
 def json_records(text: DataFrame, column: str, schema: str) -> DataFrame:
     """The rows of a JSON array of objects."""
     return text.select(F.inline(F.from_json(column, f"array<struct<{schema}>>")))
+
+
+def with_existence(asked: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Adds there: whether a chunk (hypertable_id, range_start) is in the catalogue and not dropped."""
+    known = chunks.filter(~F.col("dropped")).select("hypertable_id", "range_start", F.lit(True).alias("there")).distinct()
+    return asked.join(known, ["hypertable_id", "range_start"], "left").select("hypertable_id", "range_start", F.coalesce("there", F.lit(False)).alias("there"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.idents import matches, qualified, quote_ident, quote_literal
-from tidemill.functions.times import INTEGER_TYPES, parse_bound
+from tidemill.functions.times import bound_text, parse_bound
 from tidemill.plans.catalog import first_dimension
 
 
@@ -36,9 +36,9 @@ def plan_chunks(chunks: DataFrame, hypertables: DataFrame, dimensions: DataFrame
     )
     if frm is not None:
         joined = joined.filter(F.col("_l") < F.col("range_end"))
-    literal = lambda text: F.when(F.col("column_type").isin(*INTEGER_TYPES), F.lit(text)).otherwise(quote_literal(F.lit(text)))
-    above = F.when(F.col("_u") < F.col("range_end"), F.concat_ws(" < ", quote_ident(F.col("column_name")), literal(until)))
-    below = F.lit(None).cast("string") if frm is None else F.when(F.col("range_start") <= F.col("_l"), F.concat_ws(" >= ", quote_ident(F.col("column_name")), literal(frm)))
+    literal = lambda bound: quote_literal(bound_text(F.col(bound), F.col("column_type")))  # noqa: E731  the value as read, not as typed
+    above = F.when(F.col("_u") < F.col("range_end"), F.concat_ws(" < ", quote_ident(F.col("column_name")), literal("_u")))
+    below = F.lit(None).cast("string") if frm is None else F.when(F.col("range_start") <= F.col("_l"), F.concat_ws(" >= ", quote_ident(F.col("column_name")), literal("_l")))
     return joined.select(qualified(F.col("schema_name"), F.col("table_name")).alias("hypertable"), "chunk_id", "range_start", "range_end", F.nullif(F.concat_ws(" and ", above, below), F.lit("")).alias("filter"))
 
 
@@ -77,21 +77,31 @@ def closure(start: DataFrame, rollups: DataFrame, up: bool, down: bool) -> DataF
 
 
 def levels(rollups: DataFrame) -> DataFrame:
-    """(mat_id, view_name, lvl): 0 for rollups of raw tables, one more for each step up."""
+    """(mat_id, view_schema, view_name, lvl): 0 for rollups of raw tables, one more for each step up."""
     spark = rollups.sparkSession
     rollups.createOrReplaceTempView("_level_rollups")
     return spark.sql("""
-        WITH RECURSIVE walk(mat_id, view_name, lvl) AS (
-            SELECT mat_id, view_name, 0 FROM _level_rollups WHERE raw_id NOT IN (SELECT mat_id FROM _level_rollups)
+        WITH RECURSIVE walk(mat_id, view_schema, view_name, lvl) AS (
+            SELECT mat_id, view_schema, view_name, 0 FROM _level_rollups WHERE raw_id NOT IN (SELECT mat_id FROM _level_rollups)
             UNION ALL
-            SELECT r.mat_id, r.view_name, w.lvl + 1 FROM walk w JOIN _level_rollups r ON r.raw_id = w.mat_id)
-        SELECT mat_id, view_name, lvl FROM walk""")
+            SELECT r.mat_id, r.view_schema, r.view_name, w.lvl + 1 FROM walk w JOIN _level_rollups r ON r.raw_id = w.mat_id)
+        SELECT mat_id, view_schema, view_name, lvl FROM walk""")
 
 
 def refresh_plan(rollups: DataFrame, source_marks: DataFrame, target_marks: DataFrame) -> DataFrame:
-    """(view_name, lvl, window_start, window_end): from the target's watermark to the source's, where that lies later."""
-    s, t = source_marks.select("view_name", F.col("watermark").alias("window_end")), target_marks.select("view_name", F.col("watermark").alias("window_start"))
-    return levels(rollups).join(t, "view_name").join(s, "view_name").filter("window_start < window_end").select("view_name", "lvl", "window_start", "window_end")
+    """(view_schema, view_name, lvl, column_type, window_start, window_end, start_text, end_text), a row a refresh in the order of levels.
+
+    From the target's watermark to the source's, where that lies later. Marks
+    are (view_schema, view_name, column_type, watermark): views are told apart
+    by schema and name, and both sides must have the same type of time. Texts
+    are the bounds as that type reads them.
+    """
+    name = ["view_schema", "view_name"]
+    s = source_marks.select(*name, "column_type", F.col("watermark").alias("window_end"))
+    t = target_marks.select(*name, "column_type", F.col("watermark").alias("window_start"))
+    planned = levels(rollups).join(t, name).join(s, [*name, "column_type"]).filter("window_start < window_end")
+    text = lambda c: bound_text(F.col(c), F.col("column_type"))
+    return planned.select(*name, "lvl", "column_type", "window_start", "window_end", text("window_start").alias("start_text"), text("window_end").alias("end_text")).orderBy("lvl", *name)
 
 
 def overlapping(intervals: DataFrame, lower: int, upper: int) -> DataFrame:

@@ -7,6 +7,7 @@ not share a queue file.
 from __future__ import annotations
 
 import json
+import logging
 import threading
 import time
 from collections.abc import Callable
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 KEYS = ["hypertable", "chunk_id"]
+log = logging.getLogger("tidemill")
 
 
 def enqueue(planned: DataFrame, tasks: DataFrame) -> DataFrame:
@@ -90,16 +92,19 @@ class TaskQueue:
 
     def drain(self, work: Callable[[dict], str], parallelism: int = 8, verify: bool = False, stop: threading.Event | None = None) -> int:
         """Work off all pending tasks; a task that raises stays pending and ends the run. stop: finish what runs, claim no more."""
-        if not self.count_pending(verify):
-            raise RuntimeError("no pending task: stage first")
+        total = self.count_pending(verify)
+        if not total:
+            raise RuntimeError("no copied chunk waits to be verified: copy first" if verify and self.tasks else "no pending task: stage first")
         stop, failed, done = stop or threading.Event(), [], []
 
         def worker() -> None:
             while not stop.is_set() and not failed and (task := self.claim(verify)):
                 began = time.time()
                 try:
-                    self.complete(task, began, work(task), verify)
+                    message = work(task)
+                    self.complete(task, began, message, verify)
                     done.append(task)
+                    log.warning("[%d/%d] %s: %s", len(done), total, task["chunk_id"], message.splitlines()[0])
                 except BaseException as error:
                     self.give_back(task)
                     failed.append(error)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemill.functions.idents import always_quoted, qualified, quote_ident, quote_literal
+from tidemill.functions.idents import qualified, quote_ident, quote_literal, version_number
 from tidemill.functions.times import CHUNK, DAY, HOUR, ORIGIN, chunk_start, from_internal, internal, month_bucket, time_bucket
 from tidemill.operators import compression, validation, verification
-from tidemill.operators.copying import range_delete, replace_range
+from tidemill.operators.copying import range_delete, replace_range, upsert_arrays
 from tidemill.operators.ranking import row_numbers
 from tidemill.operators.rollups import Rollup, refresh
 from tidemill.plans import planner
@@ -82,6 +82,17 @@ def compress_batches(spark, sf_dir):
     return packed.select("user_id", "_batch", "_count", internal(F.col("_min_ts"), "timestamp").alias("lo"), internal(F.col("_max_ts"), "timestamp").alias("hi"))
 
 
+_SEG_DESC = "SELECT user_id, event_id, (row_number() OVER (PARTITION BY user_id ORDER BY v DESC NULLS FIRST, event_id) - 1) // 100 AS _batch, v FROM (SELECT user_id, event_id, CASE WHEN value <= 80 THEN value END AS v FROM events)"
+
+
+@query(f"SELECT user_id, _batch::BIGINT AS _batch, count(*) AS _count, min(v) AS lo, max(v) AS hi, string_agg(event_id, ',' ORDER BY v DESC NULLS FIRST, event_id) AS ids FROM ({_SEG_DESC}) GROUP BY 1, 2")
+def compress_batches_descending(spark, sf_dir):
+    """Batches in descending order with nulls first, and the order of the rows within them."""
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", F.when(F.col("value") <= 80, F.col("value")).alias("v"))
+    packed = compression.compress(rows, ["user_id"], [("v", True, True), ("event_id", False, False)], 100)
+    return packed.select("user_id", "_batch", "_count", F.col("_min_v").alias("lo"), F.col("_max_v").alias("hi"), F.array_join(F.transform("_rows", lambda r: r["event_id"].cast("string")), ",").alias("ids"))
+
+
 @query(f"SELECT {EV} FROM events WHERE ts IS NOT NULL")
 def decompress_batches(spark, sf_dir):
     rows = events(spark, sf_dir)
@@ -98,10 +109,10 @@ def _four_orders(rows):
     return row_numbers(rows, {"d_first": by(True, True), "d_last": by(True, False), "a_first": by(False, True), "a_last": by(False, False)}).drop("u")
 
 
-@query(f"SELECT event_id, {_RANK.format('DESC NULLS FIRST')} AS d_first, {_RANK.format('DESC NULLS LAST')} AS d_last, {_RANK.format('ASC NULLS FIRST')} AS a_first, {_RANK.format('ASC NULLS LAST')} AS a_last FROM ({_NULLED}) WHERE event_id < 50")
+@query(f"SELECT event_id, {_RANK.format('DESC NULLS FIRST')} AS d_first, {_RANK.format('DESC NULLS LAST')} AS d_last, {_RANK.format('ASC NULLS FIRST')} AS a_first, {_RANK.format('ASC NULLS LAST')} AS a_last FROM ({_NULLED})")
 def orderby_nulls(spark, sf_dir):
-    """The four orders over a small fixed range of events, by rank; the range is that of the SQL."""
-    return _four_orders(table(spark, sf_dir, "events").filter("event_id < 50"))
+    """The four orders over all events, by rank."""
+    return _four_orders(table(spark, sf_dir, "events"))
 
 
 @query(f"SELECT event_id, {_RANK.format('DESC NULLS FIRST')} AS d_first, {_RANK.format('DESC NULLS LAST')} AS d_last, {_RANK.format('ASC NULLS FIRST')} AS a_first, {_RANK.format('ASC NULLS LAST')} AS a_last FROM ({_NULLED})")
@@ -205,14 +216,49 @@ def cagg_watermark(spark, sf_dir):
 
 
 _MID = 1705276800000000
-_MARKS = [("ev_6h", 0), ("ev_24h", DAY), ("ev_2d", 10 * DAY), ("ord_month", -DAY)]
+#: Rollups over events and orders with their widths; the target stopped before the middle of January 2024, and at 1997 for orders.
+_WIDTHS = {("public", "ev_6h"): ("events", "ts", 6 * HOUR), ("public", "ev_24h"): ("events", "ts", DAY), ("public", "ev_2d"): ("events", "ts", 2 * DAY), ("other", "ord_month"): ("orders", "o_orderdate", 30 * DAY)}
+_STOPS = {"events": "2024-01-15", "orders": "1997-01-01"}
+
+
+def _marks_sql(stop: bool) -> str:
+    one = lambda s, v, t, c, w: f"SELECT '{s}' AS view_schema, '{v}' AS view_name, max(" + _BUCKET.replace("ts", c).format(w=w, o=ORIGIN % w) + f") + {w} AS watermark FROM {t} WHERE {c} IS NOT NULL" + (f" AND {c} < TIMESTAMP '{_STOPS[t]}'" if stop else "")
+    return " UNION ALL ".join(one(s, v, *x) for (s, v), x in _WIDTHS.items())
+
 
+_PLAN = f"""WITH RECURSIVE {CTE}, walk(mat_id, view_schema, view_name, lvl) AS (
+        SELECT mat_id, view_schema, view_name, 0 FROM rollup_of WHERE raw_id NOT IN (SELECT mat_id FROM rollup_of)
+        UNION ALL SELECT r.mat_id, r.view_schema, r.view_name, w.lvl + 1 FROM walk w JOIN rollup_of r ON r.raw_id = w.mat_id),
+    s AS ({_marks_sql(False)}), t AS ({_marks_sql(True)})
+    SELECT view_schema, view_name, lvl, 'timestamp' AS column_type, t.watermark AS window_start, s.watermark AS window_end,
+           strftime(make_timestamp(t.watermark), '%Y-%m-%d %H:%M:%S') AS start_text, strftime(make_timestamp(s.watermark), '%Y-%m-%d %H:%M:%S') AS end_text
+    FROM walk JOIN t USING (view_schema, view_name) JOIN s USING (view_schema, view_name) WHERE t.watermark < s.watermark"""
 
-@query(f"""SELECT view_name, lvl, t AS window_start, s AS window_end FROM (VALUES ('ev_6h', 0, {_MID}, {_MID + 0}), ('ev_24h', 1, {_MID}, {_MID + DAY}), ('ev_2d', 2, {_MID}, {_MID + 10 * DAY}),
-    ('ord_month', 0, {_MID}, {_MID - DAY})) v(view_name, lvl, t, s) WHERE t < s""")
+
+def _marks(spark, sf_dir, stop):
+    out = None
+    for (schema, view), (name, column, width) in _WIDTHS.items():
+        rows = table(spark, sf_dir, name).filter(F.col(column).isNotNull())
+        if stop:
+            rows = rows.filter(F.col(column) < F.lit(_STOPS[name]).cast("timestamp_ntz"))
+        mark = rows.agg((F.max(time_bucket(F.col(column), width)) + width).alias("watermark")).filter("watermark is not null")
+        mark = mark.select(F.lit(schema).alias("view_schema"), F.lit(view).alias("view_name"), F.lit("timestamp").alias("column_type"), "watermark")
+        out = mark if out is None else out.unionByName(mark)
+    return out
+
+
+@query(_PLAN)
 def refresh_plan(spark, sf_dir):
-    marks = lambda rows: spark.createDataFrame(rows, "view_name string, watermark long")
-    return planner.refresh_plan(rollups(spark), marks([(v, _MID + d) for v, d in _MARKS]), marks([(v, _MID) for v, _ in _MARKS]))
+    """Windows between the watermarks of a target that stopped in the middle and of the source, both from the data."""
+    return planner.refresh_plan(rollups(spark), _marks(spark, sf_dir, False), _marks(spark, sf_dir, True))
+
+
+@query(f"SELECT * FROM ({_PLAN}) WHERE view_name IN ('ev_24h', 'ev_2d')")
+def refresh_filtered(spark, sf_dir):
+    """The same for one view and, by cascading up, those built on it."""
+    chosen = planner.closure(planner.seeds(hypertables(spark), rollups(spark), "^public[.]ev_24h$"), rollups(spark), True, False)
+    own = rollups(spark).join(chosen.withColumnRenamed("id", "mat_id"), "mat_id", "left_semi").select("view_schema", "view_name")
+    return planner.refresh_plan(rollups(spark), _marks(spark, sf_dir, False), _marks(spark, sf_dir, True)).join(own, ["view_schema", "view_name"], "left_semi")
 
 
 @query(f"SELECT {_ROUND} FROM ({_SIX})")
@@ -224,10 +270,10 @@ def cagg_refresh_incremental(spark, sf_dir):
     return _rounded(stored if end is None or end.watermark <= _MID else refresh(EV_6H, stored, rows, _MID, end.watermark))
 
 
-@query(f"SELECT {CK} AS range_start, max(epoch_us(ts)) + 1 AS range_end FROM events WHERE ts < TIMESTAMP '2024-01-15' AND event_id % 13 = 0 GROUP BY 1")
+@query(f"SELECT {CK} AS range_start, max(epoch_us(ts)) + 1 AS range_end FROM events WHERE ts < TIMESTAMP '2024-01-15' AND value > 50 GROUP BY 1")
 def invalidation_log(spark, sf_dir):
-    """What late rows (here, those of every thirteenth event) touch before the watermark."""
-    return invalidations(events(spark, sf_dir).filter("event_id % 13 = 0"), "ts", _MID, CHUNK)
+    """What late rows (here, those of high value) touch before the watermark."""
+    return invalidations(events(spark, sf_dir).filter("value > 50"), "ts", _MID, CHUNK)
 
 
 def _bucketed(name: str, width: int):
@@ -287,10 +333,10 @@ def fk_violations(spark, sf_dir):
     return validation.foreign_key_violations(table(spark, sf_dir, "orders"), parents, "o_custkey", "c_custkey").select("o_orderkey", "o_custkey")
 
 
-@query("SELECT event_type, count(*) FILTER (WHERE value > 50) AS high, list(DISTINCT user_id ORDER BY user_id) FILTER (WHERE event_id < 20) [1] AS first_user FROM events GROUP BY 1")
+@query("SELECT event_type, count(*) FILTER (WHERE value > 50) AS high, min(user_id) FILTER (WHERE value > 50) AS first_user FROM events GROUP BY 1")
 def agg_filter(spark, sf_dir):
-    first = F.get(F.array_sort(F.collect_set(F.when(F.col("event_id") < 20, F.col("user_id")))), F.lit(0))
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count_if(F.col("value") > 50).alias("high"), first.alias("first_user"))
+    high = F.col("value") > 50
+    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count_if(high).alias("high"), F.min(F.when(high, F.col("user_id"))).alias("first_user"))
 
 
 @query(f"WITH {CTE} SELECT {{0}} AS hypertable, count(*) AS chunks, count(*) FILTER (WHERE dropped) AS dropped_chunks, min(range_start) AS oldest FROM chunks c JOIN ht h ON h.id = c.hypertable_id GROUP BY 1".replace("{0}", "h.table_name"))
@@ -368,3 +414,19 @@ def fn_map_funcs(spark, sf_dir):
 def fn_concat_ws_nullif(spark, sf_dir):
     words = F.concat_ws(" and ", F.when(F.col("o_orderkey") % 2 == 0, F.lit("even")), F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderstatus")))
     return table(spark, sf_dir, "orders").select("o_orderkey", F.nullif(words, F.lit("")).alias("words"), F.coalesce(F.nullif(F.col("o_orderstatus"), F.lit("F")), F.lit("-")).alias("status"))
+
+
+@query("""SELECT event_type AS key, '[' || string_agg(n, ',' ORDER BY part) || ']' AS value FROM (
+        SELECT event_type, 0 AS part, count(*) AS n FROM events WHERE value <= 50 GROUP BY 1 UNION ALL SELECT event_type, 1, count(*) FROM events WHERE value > 50 GROUP BY 1) GROUP BY 1""")
+def telemetry_append(spark, sf_dir):
+    """Arrays of events by key: new ones are appended to those that are there, other keys are added."""
+    rows = table(spark, sf_dir, "events")
+    counted = lambda some: some.groupBy(F.col("event_type").alias("key")).agg(F.to_json(F.array(F.count("*"))).alias("value"))
+    return upsert_arrays(counted(rows.filter("value <= 50")), counted(rows.filter("value > 50")))
+
+
+@query("""SELECT n_nationkey, (n_regionkey * 10000 + n_nationkey * 100)::BIGINT AS number, (n_regionkey, n_nationkey) >= (2, 14) AS recent FROM nation""")
+def fn_version(spark, sf_dir):
+    """Version texts as numbers, and whether they reach 2.14."""
+    text = F.concat_ws(".", "n_regionkey", "n_nationkey", F.lit("0"))
+    return table(spark, sf_dir, "nation").select("n_nationkey", version_number(text).alias("number"), (version_number(text) >= version_number(F.lit("2.14"))).alias("recent"))

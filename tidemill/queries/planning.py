@@ -35,7 +35,7 @@ OPEN_PLAN = _plan_sql(UNTIL, str(US_UNTIL), None, "", "'timestamp'", "y").replac
 #: An interval that cuts two chunks of orders.
 O_UNTIL, O_FROM = "1999-06-15 00:00:00", "1996-02-03 04:05:06"
 ORDERS_PLAN = _plan_sql(O_UNTIL, "929404800000000", O_FROM, "823320306000000", "'timestamp'", "y").replace("'''", "''''")
-INT_PLAN = _plan_sql("5500", "5500", None, "", "'bigint'", "")
+INT_PLAN = _plan_sql("5500", "5500", None, "", "'bigint'", "y").replace("'''", "''''")
 
 
 def _plan(spark, sf_dir, until, frm=None, drop=True):
@@ -52,9 +52,10 @@ def plan_residual_filter(spark, sf_dir):
     return _plan(spark, sf_dir, O_UNTIL, O_FROM)
 
 
-@query(f"WITH {CTE} SELECT hypertable_id, chunk_id FROM chunks WHERE NOT dropped")
+@query(f"WITH {CTE} SELECT {FULL} AS hypertable, chunk_id FROM chunks c JOIN ht h ON h.id = c.hypertable_id WHERE NOT dropped AND h.id IN (1, 2)")
 def plan_skips_dropped(spark, sf_dir):
-    return chunks(spark, sf_dir).filter(~F.col("dropped")).select("hypertable_id", "chunk_id")
+    """A plan up to a bound after all data: every chunk of the timed tables but those dropped."""
+    return _plan(spark, sf_dir, "2100-01-01").select("hypertable", "chunk_id")
 
 
 @query(f"WITH {CTE} {INT_PLAN}")
@@ -100,7 +101,8 @@ def cascade_both(spark, sf_dir):
     return _cascade(spark, True, True)
 
 
-@query("SELECT * FROM (VALUES (4, 'ev_6h', 0), (5, 'ev_24h', 1), (6, 'ev_2d', 2), (7, 'ord_month', 0)) t(mat_id, view_name, lvl)")
+@query(f"""WITH RECURSIVE {CTE}, walk(mat_id, view_schema, view_name, lvl) AS (SELECT mat_id, view_schema, view_name, 0 FROM rollup_of WHERE raw_id NOT IN (SELECT mat_id FROM rollup_of)
+    UNION ALL SELECT r.mat_id, r.view_schema, r.view_name, w.lvl + 1 FROM walk w JOIN rollup_of r ON r.raw_id = w.mat_id) SELECT * FROM walk""")
 def cagg_levels(spark, sf_dir):
     return planner.levels(rollups(spark))
 
@@ -196,9 +198,13 @@ def queue_pending(spark, sf_dir):
     return count("copy", taskqueue.pending(tasks)).unionByName(count("verify", taskqueue.pending(tasks, True)))
 
 
-@query(f"WITH {CTE} SELECT hypertable_id, chunk_id, NOT dropped AS there FROM chunks")
+@query(f"""WITH {CTE}, asked AS (SELECT hypertable_id, range_start FROM chunks UNION ALL SELECT hypertable_id, range_start + 7 FROM chunks)
+    SELECT a.hypertable_id, a.range_start, EXISTS (SELECT 1 FROM chunks c WHERE NOT c.dropped AND c.hypertable_id = a.hypertable_id AND c.range_start = a.range_start) AS there FROM asked a""")
 def chunk_exists(spark, sf_dir):
-    return chunks(spark, sf_dir).select("hypertable_id", "chunk_id", (~F.col("dropped")).alias("there"))
+    """Probes of the catalogue: for chunks that are there, that were dropped, and that never were."""
+    known = chunks(spark, sf_dir)
+    asked = known.select("hypertable_id", "range_start").unionByName(known.select("hypertable_id", (F.col("range_start") + 7).alias("range_start")))
+    return catalog.with_existence(asked, known)
 
 
 @query(f"WITH {CTE} SELECT chunk_id, ((range_start // {YEAR})::INTEGER & 8) <> 0 AS is_partial FROM chunks WHERE hypertable_id = 2")

@@ -1,21 +1,27 @@
-"""Chunked tables as Parquet folders: one partition folder a chunk, of the row tier only.
+"""Chunked tables as Parquet folders: one partition folder a chunk, in a row tier and a compressed tier.
 
-Replacing a range writes only the chunk's own partition, by dynamic partition
+The compressed tier lies beside the rows, in ``<path>_batches``, a row a batch;
+a chunk may have rows, batches, or both (it is then partial). How a table is
+compressed is kept in ``<path>_settings`` with the format's version. Replacing a range writes only the chunk's own partition, by dynamic partition
 overwrite; the new content is staged first, so that no path is read and
 overwritten in one plan. A run that breaks off can simply be done again.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.times import CHUNK, chunk_start
+from tidemill.operators.compression import BATCH, compress, decompress, triples
 from tidemill.operators.copying import replace_range
 
 KEY = "_chunk"
+#: Version of the folders' layout; both sides of a copy must have the same.
+FORMAT = 1
 
 
 class ChunkedTable:
@@ -26,16 +32,90 @@ class ChunkedTable:
         return rows.withColumn(KEY, chunk_start(F.col(self.time), self.kind, self.width))
 
     def exists(self) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        return self._there(self.path) or self._there(f"{self.path}_batches")
+
+    def _there(self, path: str) -> bool:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(place)
+
+    def settings(self) -> dict:
+        """{version, segment_by, order_by}; a table without settings has the current version and isn't compressed."""
+        if not self._there(f"{self.path}_settings"):
+            return {"version": FORMAT, "segment_by": None, "order_by": None}
+        return json.loads(self.spark.read.text(f"{self.path}_settings").first()[0])
+
+    def configure(self, segment_by: list[str], order_by: list, version: int = FORMAT) -> None:
+        kept = json.dumps({"version": version, "segment_by": list(segment_by), "order_by": [list(o) for o in triples(order_by)]})
+        self.spark.createDataFrame([(kept,)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}_settings")
+
+    def tiers(self, chunk: int) -> tuple[bool, bool]:
+        """Whether the chunk has rows, and whether it has batches."""
+        return self._there(f"{self.path}/{KEY}={chunk}"), self._there(f"{self.path}_batches/{KEY}={chunk}")
+
+    def rows(self, chunk: int) -> DataFrame | None:
+        """The row tier of one chunk."""
+        return self.spark.read.option("basePath", self.path).parquet(f"{self.path}/{KEY}={chunk}") if self.tiers(chunk)[0] else None
+
+    def batches(self, chunk: int) -> DataFrame | None:
+        """The batches of one chunk, as they are stored."""
+        return self.spark.read.option("basePath", f"{self.path}_batches").parquet(f"{self.path}_batches/{KEY}={chunk}") if self.tiers(chunk)[1] else None
+
+    def content(self, chunk: int) -> DataFrame | None:
+        """The rows of both tiers of one chunk."""
+        rows, batches = self.rows(chunk), self.batches(chunk)
+        if batches is None:
+            return rows
+        flat = decompress(batches, self._columns(batches) if rows is None else rows.columns)
+        return flat if rows is None else rows.unionByName(flat)
+
+    @staticmethod
+    def _columns(batches: DataFrame) -> list[str]:
+        inner = [f.name for f in batches.schema["_rows"].dataType.elementType]
+        return [c for c in batches.columns if not c.startswith("_") and c not in inner] + inner + [KEY]
+
+    def append_batches(self, batches: DataFrame, chunk: int) -> int:
+        """Adds batches of one chunk to what it has, or makes its compressed tier; returns their number."""
+        old = self.batches(chunk)
+        new = batches.withColumn(KEY, F.lit(chunk).cast("bigint"))
+        self._write(new if old is None else old.unionByName(new), {chunk}, f"{self.path}_batches")
+        return new.count()
+
+    def compress_chunk(self, chunk: int, batch: int = BATCH) -> None:
+        """Moves all rows of the chunk into batches."""
+        rows, kept = self.content(chunk), self.settings()
+        if kept["segment_by"] is None:
+            raise ValueError(f"{self.path}: no compression settings")
+        if rows is not None:
+            packed = compress(rows.drop(KEY), kept["segment_by"], [tuple(o) for o in kept["order_by"]], batch)
+            self._write(packed.withColumn(KEY, F.lit(chunk).cast("bigint")), {chunk}, f"{self.path}_batches")
+            self._remove(f"{self.path}/{KEY}={chunk}")
+
+    def decompress_chunk(self, chunk: int) -> None:
+        """Moves all batches of the chunk into rows."""
+        rows = self.content(chunk)
+        if self.tiers(chunk)[1]:
+            self._write(rows, {chunk})
+            self._remove(f"{self.path}_batches/{KEY}={chunk}")
 
     def append(self, rows: DataFrame) -> None:
         """Rows are brought together by chunk, so that each task writes few files."""
         self.keyed(rows).repartition(KEY).write.mode("append").partitionBy(KEY).parquet(self.path)
 
     def read(self, lower: int | None = None, upper: int | None = None) -> DataFrame:
-        """Rows whose chunk overlaps [lower, upper) in internal time: the chunk key prunes folders, the time filter prunes row groups."""
-        rows = self.spark.read.parquet(self.path)
+        """Rows of both tiers whose chunk overlaps [lower, upper) in internal time; the chunk key prunes folders.
+
+        The frame keeps the list of files as it is now, so what is replaced
+        later doesn't change it.
+        """
+        rows = self._some(self.path, lower, upper) if self._there(self.path) else None
+        if not self._there(f"{self.path}_batches"):
+            return self._some(self.path, lower, upper) if rows is None else rows
+        packed = self._some(f"{self.path}_batches", lower, upper)
+        flat = decompress(packed, self._columns(packed) if rows is None else rows.columns)
+        return flat if rows is None else rows.unionByName(flat)
+
+    def _some(self, path: str, lower: int | None, upper: int | None) -> DataFrame:
+        rows = self.spark.read.parquet(path)
         if upper is not None:
             rows = rows.filter(F.col(KEY) < upper)
         if lower is not None:
@@ -47,9 +127,9 @@ class ChunkedTable:
         return self.read().groupBy(KEY).count().select(F.col(KEY).alias("range_start"), (F.col(KEY) + self.width).alias("range_end"), F.col("count").alias("n"))
 
     def replace(self, source: DataFrame, chunk: int, predicate: Column | None = None) -> int:
-        """Replace the chunk's rows in the range by the source's; returns the rows the chunk then has."""
-        own = self.keyed(source).filter(F.col(KEY) == chunk)
-        kept = self.read().filter(F.col(KEY) == chunk) if self.exists() else own.limit(0)
+        """Replace the rows of the chunk's row tier in the range by the source's; returns the rows it then has."""
+        own, kept = self.keyed(source).filter(F.col(KEY) == chunk), self.rows(chunk)
+        kept = own.limit(0) if kept is None else kept
         new = replace_range(kept, own, F.col(KEY) == chunk, predicate)
         return self._write(new, {chunk})
 
@@ -58,20 +138,24 @@ class ChunkedTable:
         known = {r[0] for r in self.read(lower, upper).select(KEY).distinct().collect()} if self.exists() else set()
         return self._write(self.keyed(rows), known)
 
-    def _write(self, new: DataFrame, chunks: set[int]) -> int:
+    def _write(self, new: DataFrame, chunks: set[int], path: str | None = None) -> int:
         """Overwrite the chunks of the keyed rows, and empty those of the given ones that have no row."""
-        spark = self.spark
+        spark, path = self.spark, path or self.path
         aside = f"{self.path}_staging/{uuid.uuid4().hex}"
         new.write.parquet(aside)
         staged = spark.read.schema(new.schema).parquet(aside)
         counts = {r[0]: r[1] for r in staged.groupBy(KEY).count().collect()}  # a row a chunk
         if counts:
-            staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(KEY).parquet(self.path)
+            staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(KEY).parquet(path)
         for chunk in chunks - set(counts):
-            self._remove(f"{self.path}/{KEY}={chunk}")
+            self._remove(f"{path}/{KEY}={chunk}")
         self._remove(aside)
         return sum(counts.values())
 
+    def clean(self) -> None:
+        """Removes what broken-off runs left behind."""
+        self._remove(f"{self.path}_staging")
+
     def _remove(self, path: str) -> None:
         place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import logging
+import platform
 import time
+import traceback
 import uuid
 from dataclasses import asdict, dataclass, field
 from pathlib import Path
@@ -18,8 +20,26 @@ class Event:
     seconds: float = 0.0
     success: bool = True
     error: str | None = None
+    causes: list[str] = field(default_factory=list)
+    trace: str | None = None
     tasks: int = 0
-    version: int = 1
+    tables: int = 0
+    rollups: int = 0
+    filtered: bool = False
+    cascade: list[str] = field(default_factory=list)
+    parallelism: int = 0
+    spark: str | None = None
+    python: str = field(default_factory=platform.python_version)
+    system: str = field(default_factory=platform.platform)
+    version: int = 2
+
+    def fail(self, error: BaseException) -> None:
+        """The error, what it was caused by, and where it was raised."""
+        self.success, self.error, self.trace = False, str(error), "".join(traceback.format_tb(error.__traceback__))
+        cause = error.__cause__ or error.__context__
+        while cause is not None and len(self.causes) < 10:
+            self.causes.append(str(cause))
+            cause = cause.__cause__ or cause.__context__
 
 
 def report(event: Event, path: str) -> None:
