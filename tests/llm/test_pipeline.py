@@ -47,3 +47,21 @@ def test_texts_stay_without_any_language(spark, odd, odd_rows):
     kept = corpus_pipeline.known_language(spark, odd.withColumn("lang", F.lit(None).cast("string")), "").collect()
     wanted = [(i, t) for i, t in odd_rows if t and any(c.isalpha() for c in t)]
     assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == sorted(wanted, key=repr) and wanted
+
+
+def test_queries_against_their_sql(spark, sf_dir):
+    """Every query of this part that has SQL, by names, types and values."""
+    import duckdb
+
+    from tidemill.llm import registry
+
+    connection = duckdb.connect()
+    for name in ("documents", "labels"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    assert set(registry.ORACLE_SQL) == {"op3_neardup", "op6_substring", "op8_exact"}
+    for name, sql in registry.ORACLE_SQL.items():
+        cursor, frame = connection.execute(sql), registry.QUERIES[name](spark, sf_dir)
+        kinds = {"BIGINT": "bigint", "VARCHAR": "string", "BOOLEAN": "boolean"}
+        assert dict(frame.dtypes) == {d[0]: kinds[str(d[1])] for d in cursor.description}
+        columns = [d[0] for d in cursor.description]
+        assert sorted(tuple(r[c] for c in columns) for r in frame.collect()) == sorted(cursor.fetchall())

@@ -1,5 +1,9 @@
 """Held-out accuracy of the classifiers, and their defined results."""
 
+import math
+import random
+
+import numpy as np
 import pytest
 
 from tests.llm import brute
@@ -73,6 +77,100 @@ def test_ngrams_count_both_ways():
         assert dict(zip(codes.tolist(), counts.tolist(), strict=True)) == wanted
 
 
+def _plain_ngrams(text):
+    clean = "_" + "_".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + "_"
+    found = {}
+    for n in (1, 2, 3):
+        for k in range(len(clean) - n + 1):
+            g = clean[k : k + n]
+            if g != "_" and "_" not in g[1:-1]:
+                found[g] = found.get(g, 0) + 1
+    return found
+
+
+def _plain_order(found, size):
+    code = lambda g: sum(ord(c) << 21 * k for k, c in enumerate(reversed(g)))
+    return sorted(found, key=lambda g: (-found[g], code(g)))[:size]
+
+
+def test_language_by_the_plain_rule(spark):
+    """Profiles and out-of-place distances, counted by dictionaries and lists."""
+    r = random.Random(2)
+    rows = [(k, " ".join("".join(r.choice("abcdeé" if k % 2 else "cdefgß") for _ in range(r.randrange(1, 7))) for _ in range(r.randrange(1, 30))), ("xx", "yy")[k % 2]) for k in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    profiles = language.fit_profiles(frame, size=50)
+    plain = {}
+    for lang in ("xx", "yy"):
+        total = {}
+        for _, text, own in rows:
+            if own == lang:
+                for g, n in _plain_ngrams(text).items():
+                    total[g] = total.get(g, 0) + n
+        plain[lang] = _plain_order(total, 50)
+    for _, text, _ in [*rows, (0, "Zz cde 1", None), (0, "é", None)]:
+        ordered = _plain_order(_plain_ngrams(text), 50)
+        away = {lang: sum(abs(known.index(g) - k) if g in known else 50 for k, g in enumerate(ordered)) for lang, known in plain.items()}
+        best = min(sorted(away), key=away.get)
+        assert profiles.predict(text) == (best, 1 - away[best] / (50 * len(ordered)))
+    assert language.fit_profiles(frame, languages=1).languages == ["xx"]
+
+
+def test_noisy_or_is_fitted(spark):
+    """The score is one minus the product of the sentences' complements, and no single weight can be moved to a better likelihood."""
+    r = random.Random(5)
+    say = lambda words: " ".join(r.choice(words) for _ in range(4))
+    texts = [". ".join(say(["mild", "calm", "soft", "grim"]) for _ in range(3)) + (". " + say(["grim", "vile", "mild"]) if k % 3 == 0 else "") for k in range(60)]
+    marks = [int("vile" in t or k % 20 == 1) for k, t in enumerate(texts)]
+    at, starts, owner, words = [], [], [], ["mild", "calm", "soft", "grim", "vile"]
+    counts = np.zeros(60)
+    for k, t in enumerate(texts):
+        for sentence in t.split(". "):
+            starts.append(len(at))
+            owner.append(k)
+            at += [words.index(w) for w in sorted(set(sentence.split()))]
+            counts[k] += 1
+    y = np.array(marks, float)
+    w = toxicity._descend(np.array(at, np.int32), np.array(starts), np.array(owner), y, counts, np.append(np.zeros(5), -2.0), 3000, 0.05, 0.0)
+
+    def loss(w):
+        total, clean = 0.0, [1.0] * 60
+        for k, (a, b) in enumerate(zip(starts, [*starts[1:], len(at)], strict=True)):
+            clean[owner[k]] *= 1 - 1 / (1 + math.exp(-(sum(w[at[a:b]]) + w[-1])))
+        for k in range(60):
+            weight = 60 / (2 * y.sum()) if y[k] else 60 / (2 * (60 - y.sum()))
+            total -= weight / 60 * math.log(max(1 - clean[k], 1e-9) if y[k] else clean[k])
+        return total
+
+    found = loss(w)
+    for k in range(6):
+        for step in (0.05, -0.05):
+            moved = w.copy()
+            moved[k] += step
+            assert loss(moved) >= found - 1e-5
+    model = toxicity.SentenceModel({"": -1.0, "vile": 2.0, "mild": -1.0})
+    p = [1 / (1 + math.exp(-z)) for z in (1.0, -2.0, -1.0)]
+    assert model.score(model.sentences("A vile one. Mild! Neither?")) == pytest.approx(1 - (1 - p[0]) * (1 - p[1]) * (1 - p[2]))
+
+
+def test_ranking_is_fitted_and_cut_by_quantile():
+    """Logistic loss on differences of pairs, against the gradient summed pair by pair; the cut leaves the share of good documents above."""
+    random_numbers = np.random.default_rng(1)
+    values = random_numbers.normal(size=(200, len(quality.FEATURES)))
+    marks = (values[:, 0] - 2 * values[:, 1] + random_numbers.normal(size=200) > 0.5).astype(float)
+    share = float(marks.mean())
+    ranking = quality.fit_ranking(values, marks, share, pairs=3000, steps=3000)
+    again = np.random.default_rng(quality.SEED)
+    scaled = (values - values.mean(axis=0)) / (values.std(axis=0) + 1e-6)
+    better, worse = again.choice(np.flatnonzero(marks == 1), 3000), again.choice(np.flatnonzero(marks == 0), 3000)
+    w = np.array(ranking.weights) * (values.std(axis=0) + 1e-6)
+    gradient = quality.L2 * w
+    for a, b in zip(better.tolist(), worse.tolist(), strict=True):
+        d = scaled[a] - scaled[b]
+        gradient = gradient - d / (1 + math.exp(d @ w)) / 3000
+    assert np.abs(gradient).max() < 2e-3
+    assert w[0] > 0 > w[1] and abs((ranking.score(values) >= 0.7).mean() - share) < 0.01
+
+
 def test_odd_rows(odd, odd_rows, spark):
     labels = spark.createDataFrame([(k, k % 2, (k + 1) % 2) for k in range(60)] + [(None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
     for scored in (

@@ -23,12 +23,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import arrow_schema, documents, hash_share, held_out, id_and_text, map_rows, record_batch
+from tidemill.llm.common import arrow_schema, documents, held_out, id_and_text, map_rows, record_batch
 
 #: n-grams in a profile, and of a document that are compared.
 PROFILE = 300
 #: Training rows of each language that profiles are counted on, about.
 SAMPLE = 3000
+#: Languages that are learned at most, the commonest; a column with more values holds something else besides languages.
+LANGUAGES = 1000
 UNKNOWN = "und"
 _BOUNDARY = ord("_")
 _SHIFT = 21  # bits of a code point
@@ -149,15 +151,13 @@ def _count_ngrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield flush()
 
 
-def fit_profiles(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, size: int = PROFILE) -> Profiles:
-    """Profiles from rows with a language; the driver gets ``size`` n-grams of each language."""
+def fit_profiles(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, size: int = PROFILE, languages: int = LANGUAGES) -> Profiles:
+    """Profiles from rows with a language; the driver gets ``size`` n-grams of each of so many languages at most."""
     rows = id_and_text(train, id_col, text_col, lang_col).toDF("doc_id", "text", "lang").filter(F.col("lang").isNotNull())
-    # of each language the share of least hashed ids; the driver gets one number a language
-    chosen = None
-    for lang, n in rows.groupBy("lang").count().orderBy("lang").collect():
-        part = (F.col("lang") == lang) & hash_share(sample / n)
-        chosen = part if chosen is None else chosen | part
-    chosen = rows.filter(F.lit(False) if chosen is None else chosen).select("lang", "text")
+    # of each language the share of least hashed ids
+    known = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    least = F.xxhash64(F.col("doc_id").cast("string")) < F.lit(sample) / F.col("count") * 2.0**64 - 2.0**63
+    chosen = rows.join(F.broadcast(known), "lang").filter((F.col("count") <= sample) | least).select("lang", "text")
     counts = chosen.mapInArrow(_count_ngrams, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     first = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
     top = counts.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= size)

@@ -398,4 +398,14 @@ def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op3_neardup": op3_neardup}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op3_neardup": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS words FROM documents),
+             s AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
+                   FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(1, len(words) - 4))) AS i FROM d WHERE len(words) > 0)),
+             n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+             c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+             e AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+             r(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b)
+        SELECT a AS doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, min(b) AS component_id, a = min(b) AS kept FROM r LEFT JOIN n ON n.doc_id = a GROUP BY a""",
+}

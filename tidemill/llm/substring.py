@@ -461,4 +461,15 @@ def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op6_substring": op6_substring}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op6_substring": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS words FROM documents),
+             w AS (SELECT r, unnest(generate_series(1, len(words) - 34)) AS i, words FROM d WHERE len(words) >= 35),
+             k AS (SELECT r, i, array_to_string(words[i:i + 34], ' ') AS win FROM w),
+             m AS (SELECT r, i, count(*) OVER (PARTITION BY win) AS n FROM k),
+             g AS (SELECT r, list(DISTINCT p) AS gone FROM (SELECT r, unnest(generate_series(i, i + 34)) AS p FROM m WHERE n > 1) GROUP BY r),
+             p AS (SELECT r, doc_id, words, unnest(generate_series(1, len(words))) AS p FROM d),
+             kept AS (SELECT d.r, coalesce(string_agg(d.words[p.p], ' ' ORDER BY p.p), '') AS kept, count(*) AS n
+                      FROM d JOIN p ON p.r = d.r LEFT JOIN (SELECT r, unnest(gone) AS p FROM g) x ON x.r = p.r AND x.p = p.p WHERE x.p IS NULL GROUP BY d.r)
+        SELECT d.doc_id, len(d.words)::BIGINT AS n_words, len(d.words) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.kept, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)""",
+}
