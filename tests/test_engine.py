@@ -160,6 +160,20 @@ def test_store_prunes_and_replaces(spark, metrics, tmp_path):
     assert table.read().count() == 744 - 72
 
 
+def test_chunks_are_listed_by_folder(spark, metrics, tmp_path):
+    table = ChunkedTable(spark, str(tmp_path / "t"), "time")
+    assert table.chunk_starts() == []
+    old = spark.sql("SELECT TIMESTAMP_NTZ'1960-01-01' AS time, 1 AS device_id, 2.5 AS val UNION ALL SELECT NULL, 1, 3.5")
+    table.append(metrics.unionByName(old))
+    wanted = sorted(r.range_start for r in table.chunks().collect() if r.range_start is not None)
+    assert table.chunk_starts() == wanted and wanted[0] < 0
+    table.configure(["device_id"], ["time"])
+    table.compress_chunk(wanted[1])
+    assert table.tiers(wanted[1]) == (False, True) and table.chunk_starts() == wanted
+    with pytest.raises(ValueError, match="missing in the source"):
+        Migration(spark, {"source": str(tmp_path), "target": str(tmp_path / "x"), "queue": str(tmp_path / "q.json"), "tables": [{"name": "public.none", "time": "time", "width": times.CHUNK}]}).stage("2023-05-26")
+
+
 def test_queue(tmp_path):
     queue = TaskQueue(str(tmp_path / "q.json"))
     plan = [{"hypertable": "a", "chunk_id": str(k)} for k in range(5)]
@@ -203,6 +217,10 @@ def test_migration_end_to_end(spark, metrics, tmp_path):
     assert rows.filter("time < '2023-05-26'").count() == 600 and rows.filter("time >= '2023-05-26'").count() == 361
     with pytest.raises(ValueError):
         migration.stage("whenever")
+    own = migration.session()
+    assert Migration(spark, config).session() == own
+    migration.clean()
+    assert Migration(spark, config).session() != own
 
 
 def test_bounds_in_filters_read_back(spark, metrics):

@@ -11,7 +11,8 @@ event log's files, and tables with name, time column, type and chunk width.
 Rollups, each after what it is built on, have name, of (a table or a rollup),
 width, keys, aggregates, and the chunk width of their storage; their bucket is
 stored as a value of the table's time type. The target's watermarks are kept in
-a file of their own, by default next to the queue's.
+a file of their own, by default next to the queue's, and so is the session that
+all commands from the first one to clean report.
 
 A refresh recomputes, level by level, what lies between the target's watermark
 and the source's. Without a stored watermark the target's is the end of its last
@@ -30,6 +31,7 @@ import os
 import signal
 import threading
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,18 +65,21 @@ class Migration:
             self.rollups[r["name"]] = Rollup(r["name"], above["time"], r["width"], tuple(r["keys"]), tuple(r["aggregates"]), kind)
             self.parent[r["name"]] = r["of"]
         self.marks = config.get("watermarks", f"{config['queue']}.watermarks")
+        self.session_file = config.get("session", f"{config['queue']}.session")
         side = lambda folder: {t["name"]: ChunkedTable(spark, f"{config[folder]}/{t['name']}", t["time"], t.get("kind", "timestamp"), t["width"]) for t in self.tables}
         self.source, self.target = side("source"), side("target")
 
     def _catalogue(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         tables = [(k, *t["name"].split(".", 1)) for k, t in enumerate(self.tables)]
         dims = [(k, k, t["time"], t.get("kind", "timestamp")) for k, t in enumerate(self.tables)]
-        chunks = None
+        rows = []
         for k, t in enumerate(self.tables):
-            if t["name"] in self.rollups and not self.source[t["name"]].exists():
-                continue  # never refreshed
-            own = self.source[t["name"]].chunks().select(F.lit(k).alias("hypertable_id"), F.concat(F.lit(f"{t['name']}/"), "range_start").alias("chunk_id"), "range_start", "range_end", F.lit(False).alias("dropped"))
-            chunks = own if chunks is None else chunks.unionByName(own)
+            if not self.source[t["name"]].exists():
+                if t["name"] in self.rollups:
+                    continue  # never refreshed
+                raise ValueError(f"{t['name']} is missing in the source")
+            rows += [(k, f"{t['name']}/{start}", start, start + t["width"], False) for start in self.source[t["name"]].chunk_starts()]
+        chunks = self.spark.createDataFrame(rows, "hypertable_id int, chunk_id string, range_start long, range_end long, dropped boolean")
         return chunks, self.spark.createDataFrame(tables, "id int, schema_name string, table_name string"), self.spark.createDataFrame(dims, "id int, hypertable_id int, column_name string, column_type string")
 
     def _rollup_frame(self) -> DataFrame:
@@ -143,11 +148,22 @@ class Migration:
             sides.append(summary(rows if within is None else rows.filter(within)).first().asDict())
         return "ok" if agree(schema, *sides) else f"differs\n{difference_report(*sides)}"
 
+    def session(self) -> str:
+        """The id that all commands from the first one to clean share; made where it is missing."""
+        if not os.path.exists(self.session_file):
+            aside = f"{self.session_file}.new"
+            with open(aside, "w") as file:
+                json.dump({"id": uuid.uuid4().hex, "created": time.time()}, file)
+            os.replace(aside, self.session_file)
+        with open(self.session_file) as file:
+            return json.load(file)["id"]
+
     def clean(self) -> None:
-        """Removes the queue, stored watermarks, and what broken-off runs left in the target."""
+        """Removes the queue, stored watermarks, the session, and what broken-off runs left in the target."""
         self.queue.clean()
-        if os.path.exists(self.marks):
-            os.remove(self.marks)
+        for path in (self.marks, self.session_file):
+            if os.path.exists(path):
+                os.remove(path)
         for table in self.target.values():
             table.clean()
 
@@ -171,8 +187,9 @@ class Migration:
             return json.load(file)
 
     def _watermarks(self, side: dict[str, ChunkedTable]) -> dict[str, int]:
-        found = {n: self._stored(side, n) for n in self.rollups}
-        rows = {n: self.rollups[n].watermark(f).first() for n, f in found.items() if f is not None}
+        """By rollup: the end of its last bucket, which lies in its last chunk."""
+        last = {n: starts[-1] for n in self.rollups if (starts := side[n].chunk_starts())}
+        rows = {n: self.rollups[n].watermark(self._stored(side, n, at, at + side[n].width)).first() for n, at in last.items()}
         return {n: r.watermark for n, r in rows.items() if r is not None}
 
     def _beginning(self, name: str) -> int:
@@ -249,6 +266,7 @@ def main(args: list[str] | None = None) -> int:
     logging.basicConfig(level=os.environ.get("TIDEMILL_LOG", "WARNING").upper())
     event = Event(options.command, spark=spark.version, filtered=options.filter is not None, cascade=[d for d, on in (("up", options.cascade_up), ("down", options.cascade_down)) if on], parallelism=options.parallelism, tables=len(config["tables"]), rollups=len(config.get("rollups", [])))
     migration = Migration(spark, config)
+    event.session = migration.session()
     try:
         if options.command == "stage":
             staged, skipped = migration.stage(options.until, options.frm, options.filter, options.cascade_up, options.cascade_down)

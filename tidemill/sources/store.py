@@ -2,7 +2,9 @@
 
 The compressed tier lies beside the rows, in ``<path>_batches``, a row a batch;
 a chunk may have rows, batches, or both (it is then partial). How a table is
-compressed is kept in ``<path>_settings`` with the format's version. Replacing a range writes only the chunk's own partition, by dynamic partition
+compressed is kept in ``<path>_settings`` with the format's version.
+
+Replacing a range writes only the chunk's own partition, by dynamic partition
 overwrite; the new content is staged first, so that no path is read and
 overwritten in one plan. A run that breaks off can simply be done again.
 """
@@ -10,6 +12,7 @@ overwritten in one plan. A run that breaks off can simply be done again.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -122,6 +125,16 @@ class ChunkedTable:
             rows = rows.filter(F.col(KEY) > lower - self.width)
         return rows
 
+    def chunk_starts(self) -> list[int]:
+        """Starts of the chunks in either tier, by the folders' names: no file is opened. Rows without a time are in no chunk."""
+        found = set()
+        for path in (self.path, f"{self.path}_batches"):
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            files = place.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            names = [f.getPath().getName() for f in files.listStatus(place)] if files.exists(place) else []
+            found |= {int(n.partition("=")[2]) for n in names if re.fullmatch(rf"{KEY}=-?\d+", n)}
+        return sorted(found)
+
     def chunks(self) -> DataFrame:
         """(range_start, range_end, n) of the chunks that hold rows."""
         return self.read().groupBy(KEY).count().select(F.col(KEY).alias("range_start"), (F.col(KEY) + self.width).alias("range_end"), F.col("count").alias("n"))
