@@ -255,41 +255,81 @@ def test_index_in_batches(spark, tmp_path):
     heads = lambda frame: {r.h: (r.n, r.kinds) for r in frame.collect()}
     index = substring.FingerprintIndex(spark, str(tmp_path), buckets=3)
     assert heads(index.append(spans((1, 1), (2, 1), (2, 2)))) == {2: (2, 2)}
-    second = substring.FingerprintIndex(spark, str(tmp_path)).append(spans((1, 1), (5, 1)))
+    index.commit()
+    lost = substring.FingerprintIndex(spark, str(tmp_path))
+    lost.append(spans((1, 1), (9, 9)))  # never committed
+    again = substring.FingerprintIndex(spark, str(tmp_path))
+    second = again.append(spans((1, 1), (5, 1)))
     assert heads(second) == {1: (2, 2)}
+    again.commit("two")
     plan = second._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Exchange" not in plan
     index = substring.FingerprintIndex(spark, str(tmp_path))
-    assert (index.batches, index.buckets, len(index.names)) == (2, 3, 2)
-    index.compact()
-    assert len(index.names) == 1
+    assert (index.labels, index.buckets, len(index.names)) == (["", "two"], 3, 2)
+    index.fan_in = 2  # the next batch meets a compacted run
     assert heads(index.append(spans((5, 7), (6, 1)))) == {5: (2, 2)}
+    assert len(index.names) == 1
     found = index.classes(spark.createDataFrame([(1, 2, 1), (5, 2, 2)], "h long, n long, kinds long")).collect()
     assert sorted((r.h, r.sign, r.n) for r in found) == [(1, 1, 2), (5, 1, 1), (5, 7, 1)]
     index.drop()
 
 
-def test_batches_against_history(spark, tmp_path):
-    """A second and third call clean new batches against all that is on disk."""
-    r = random.Random(6)
-    passages = [brute.made_up(r, 45) for _ in range(3)]
-    batches = [[(k, " ".join(brute.made_up(r, 30) + (passages[(k + b) % 3] if b + k else []) + brute.made_up(r, 10 * k))) for k in range(4)] for b in range(3)]
-    seen: set = set()
+def _history(batches):
+    """What each batch loses and keeps, by the plain rule: (n_words, n_removed, kept) by doc_id."""
+    seen, out = set(), []
     for rows in batches:
-        cleaner = substring.IncrementalDedup(spark, str(tmp_path), fan_in=1)
-        found = {x.doc_id: (x.n_words, x.n_removed, x.kept) for x in cleaner.add(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-        split = {k: brute.WORD.findall(t) for k, t in rows}
+        split = {k: brute.WORD.findall(t or "") for k, t in rows}
         windows = {k: [tuple(w[a : a + 35]) for a in range(len(w) - 34)] for k, w in split.items()}
         counts: dict = {}
         for w in (x for ws in windows.values() for x in ws):
             counts[w] = counts.get(w, 0) + 1
-        for k, words in split.items():
-            gone = {a + d for a, w in enumerate(windows[k]) if counts[w] > 1 or w in seen for d in range(35)}
-            assert found[k] == (len(words), len(gone), " ".join(w for a, w in enumerate(words) if a not in gone))
+        gone = {k: {a + d for a, w in enumerate(windows[k]) if counts[w] > 1 or w in seen for d in range(35)} for k in split}
+        out.append({k: (len(w), len(gone[k]), " ".join(x for a, x in enumerate(w) if a not in gone[k])) for k, w in split.items()})
         seen |= set(counts)
+    return out
+
+
+def _batches(seed):
+    r = random.Random(seed)
+    passages = [brute.made_up(r, 45) for _ in range(3)]
+    return [[(k, " ".join(brute.made_up(r, 30) + (passages[(k + b) % 3] if b + k else []) + brute.made_up(r, 10 * k))) for k in range(4)] for b in range(3)]
+
+
+def _added(cleaner, rows, name=None):
+    frame = cleaner.spark.createDataFrame(rows, "doc_id long, text string")
+    return {x.doc_id: (x.n_words, x.n_removed, x.kept) for x in cleaner.add(frame, name=name).collect()}
+
+
+def test_batches_against_history(spark, tmp_path):
+    """A second and third call clean new batches against all that is on disk, also after an empty batch."""
+    batches = _batches(6)
+    batches.insert(1, [])
+    for rows, wanted in zip(batches, _history(batches), strict=True):
+        found = _added(substring.IncrementalDedup(spark, str(tmp_path), fan_in=1), rows)
+        assert found == wanted
     assert any(n for _, n, _ in found.values())
 
 
+@pytest.mark.parametrize("step", ["_gone", "_write", "commit", "matched", "_keep"])
+def test_a_batch_that_broke_off_is_added_again(spark, tmp_path, monkeypatch, step):
+    """An add that fails at some step leaves the past as it was; done again, it gives the plain result."""
+    owner = substring if step in ("_gone", "matched") else substring.FingerprintIndex
+    works, batches = getattr(owner, step), _batches(7)[:2]
+
+    def fails(*args, **more):
+        raise OSError("lost")
+
+    for number, (rows, wanted) in enumerate(zip(batches, _history(batches), strict=True)):
+        monkeypatch.setattr(owner, step, fails)
+        with pytest.raises(OSError, match="lost"):
+            _added(substring.IncrementalDedup(spark, str(tmp_path)), rows)
+        monkeypatch.setattr(owner, step, works)
+        assert _added(substring.IncrementalDedup(spark, str(tmp_path)), rows, f"batch {number}") == wanted
+        # its result was lost: by its name it isn't a new batch
+        assert _added(substring.IncrementalDedup(spark, str(tmp_path)), rows, f"batch {number}") == wanted
+    assert any(n for _, n, _ in wanted.values())
+
+
 def test_names_of_helper_columns(spark):
     """Columns that have the helpers' names come back as they were."""
     rows = [(k, " ".join(f"w{j}" for j in range(40)), "a", "b", "c", "d") for k in range(3)]

@@ -49,8 +49,10 @@ from tidemill.llm.common import Scratch, arrow_schema, delete, documents, fresh,
 from tidemill.llm.hashing import WordHasher, mix
 
 WINDOW, ANCHOR = 35, 8
-#: Batches that a whole table is indexed in, and runs that an index keeps before it compacts them.
-BATCHES, FAN_IN = 2, 4
+#: Batches that a whole table is indexed in, and runs that its index keeps before it compacts them.
+BATCHES, TABLE_FAN_IN = 3, 2
+#: Runs that an incremental index keeps before it compacts them.
+FAN_IN = 4
 #: Seeds of the hashes: the next is taken if words show that hashes met by chance.
 SEEDS = (61, 62, 63)
 #: Passages of one document that one row asks for at most, about.
@@ -136,21 +138,27 @@ class FingerprintIndex:
     Heads are bucketed and sorted by the anchor's hash, spans by that and the
     span's sign, so runs are merge-joined without a shuffle, and an anchor with
     very many spans doesn't fall into one bucket. ``at`` is the place (key,
-    start) of one such span. ``append`` writes a batch's run and merge-joins it
-    with those of the past. The list of runs is kept by generations, of which
-    the last one counts; a job that breaks off leaves the index as it was.
+    start) of one such span. ``append`` compacts the past where it has
+    ``fan_in`` runs, writes a batch's run and merge-joins it with those of the
+    past. The run is part of the index only after ``commit``: the list of runs
+    is kept by generations, of which the last one counts, so a job that breaks
+    off leaves the index as it was, and the batch can be appended again.
     """
 
     def __init__(self, spark: SparkSession, path: str, fan_in: int = FAN_IN, buckets: int | None = None):
         self.spark, self.path, self.fan_in = spark, path, fan_in
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.generation, self.batches, self.names = 0, 0, []
+        self.generation, self.names, self.labels, self.open = 0, [], [], None
         try:
-            last = spark.read.schema("generation int, batches int, buckets int, names array<string>").json(f"{path}/generations").orderBy(F.desc("generation")).first()
+            last = spark.read.schema("generation int, buckets int, names array<string>, labels array<string>").json(f"{path}/generations").orderBy(F.desc("generation")).first()
         except AnalysisException:  # a new index
             last = None
         if last is not None:
-            self.generation, self.batches, self.buckets, self.names = last.generation, last.batches, last.buckets, list(last.names)
+            self.generation, self.buckets, self.names, self.labels = last.generation, last.buckets, list(last.names), list(last.labels)
+
+    @property
+    def batches(self) -> int:
+        return len(self.labels)
 
     def _table(self, name: str, kind: str) -> DataFrame:
         columns, by = (_HEADS, "h") if kind == "heads" else (_CLASSES, "h, sign")
@@ -173,25 +181,41 @@ class FingerprintIndex:
         write(self.spans(name).groupBy("h").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")), "heads", "h")
         return name
 
-    def _keep(self, names: list[str], batches: int) -> None:
-        self.generation, self.names, self.batches = self.generation + 1, names, batches
-        row = self.spark.createDataFrame([(self.generation, batches, self.buckets, names)], "generation int, batches int, buckets int, names array<string>")
+    def _keep(self, names: list[str], labels: list[str]) -> None:
+        self.generation, self.names, self.labels = self.generation + 1, names, labels
+        row = self.spark.createDataFrame([(self.generation, self.buckets, names, labels)], "generation int, buckets int, names array<string>, labels array<string>")
         row.coalesce(1).write.mode("append").json(f"{self.path}/generations")
 
     def append(self, spans: DataFrame) -> DataFrame:
-        """Adds a batch of spans; returns (h, n, kinds) of those of its anchors that occur twice, in it or in it and the past."""
-        name = self._write(spans.groupBy("h", "sign").agg(F.count("*").alias("n"), F.min(F.struct("key", "start")).alias("at")))
-        found, n, kinds = self.heads(name), F.col("n"), F.col("kinds")
+        """Writes a batch's run; returns (h, n, kinds) of those of its anchors that occur twice, in it or in it and the past.
+
+        The frame reads the runs as they are now: stage it before the next ``append``.
+        """
+        if len(self.names) >= self.fan_in:
+            self.compact()
+        self.open = self._write(spans.groupBy("h", "sign").agg(F.count("*").alias("n"), F.min(F.struct("key", "start")).alias("at")))
+        found, n, kinds = self.heads(self.open), F.col("n"), F.col("kinds")
         for k, old in enumerate(self.names):
             found = found.join(self.heads(old).toDF("h", f"n{k}", f"kinds{k}").hint("merge"), "h", "left")
             n, kinds = n + F.coalesce(f"n{k}", F.lit(0)), kinds + F.coalesce(f"kinds{k}", F.lit(0))
-        self._keep([*self.names, name], self.batches + 1)
         return found.select("h", n.alias("n"), kinds.alias("kinds")).filter("n > 1")
 
+    def commit(self, label: str = "") -> None:
+        """Makes the run that was appended last a part of the index; label: the batch's name."""
+        if self.open is not None:
+            self._keep([*self.names, self.open], [*self.labels, label])
+            self.open = None
+
+    def give_up(self) -> None:
+        """Deletes a run that was appended and not committed."""
+        if self.open is not None:
+            self._delete([self.open])
+            self.open = None
+
     def classes(self, anchors: DataFrame) -> DataFrame:
         """(h, sign, n, at) over all runs of these anchors: a staged frame of distinct h with the number of their kinds."""
         total, found = anchors.agg(F.sum("kinds")).first()[0] or 0, None
-        for name in self.names:
+        for name in [*self.names, *([self.open] if self.open else [])]:
             own = join_hot(self.spans(name), anchors.select("h", "kinds"), ["h"], "kinds", total).drop("kinds")
             found = own if found is None else found.unionByName(own)
         return found.groupBy("h", "sign").agg(F.sum("n").alias("n"), F.min("at").alias("at"))
@@ -206,17 +230,19 @@ class FingerprintIndex:
             both = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.sign") == F.col("b.sign")), "full_outer")
             one = lambda c: F.coalesce(f"a.{c}", f"b.{c}").alias(c)
             merged = both.select(one("h"), one("sign"), (F.coalesce("a.n", F.lit(0)) + F.coalesce("b.n", F.lit(0))).alias("n"), F.least("a.at", "b.at").alias("at"))
-        self._keep([self._write(merged)], self.batches)
-        for name in old:
+        self._keep([self._write(merged)], self.labels)
+        self._delete(old)
+
+    def _delete(self, names: list[str]) -> None:
+        for name in names:
             for kind in ("heads", "spans"):
                 self.spark.sql(f"DROP TABLE IF EXISTS {name}_{kind}")
                 delete(self.spark, f"{self.path}/{name}_{kind}")
 
     def drop(self) -> None:
         """Deletes the index."""
-        for name in self.names:
-            for kind in ("heads", "spans"):
-                self.spark.sql(f"DROP TABLE IF EXISTS {name}_{kind}")
+        self.give_up()
+        self._delete(self.names)
         delete(self.spark, self.path)
 
 
@@ -341,7 +367,7 @@ def _verified(matches: DataFrame, texts: DataFrame, scratch: Scratch, window: in
 
 
 def _gone(spans: DataFrame, index: FingerprintIndex, recurring: DataFrame, texts: DataFrame, scratch: Scratch, seed: int, window: int) -> DataFrame | None:
-    classes = staged(index.classes(staged(recurring, "recurring", scratch)), "classes", scratch)
+    classes = staged(index.classes(recurring), "classes", scratch)
     matches = staged(matched(spans, classes, texts, scratch, seed, window), "matches", scratch)
     gone = _verified(matches, texts, scratch, window)
     return None if gone is None else staged(gone, "gone")
@@ -354,17 +380,18 @@ def repeated_words(docs: DataFrame, id_col: str, text_col: str, window: int = WI
     for seed in seeds:
         own = rows.withColumn("key", _key(F.col("doc_id"), F.col("text"), seed, unique))
         scratch, texts = Scratch(spark), own.select("key", "text")
-        spans = staged(spans_of(own, seed, window), "spans", scratch)
-        index, recurring = FingerprintIndex(spark, f"{shared_dir(spark)}/index-{uuid.uuid4().hex}"), None
-        for k in range(batches):
-            found = index.append(spans.filter(F.pmod(F.xxhash64("key"), F.lit(batches)) == k))
-            recurring = found if recurring is None else recurring.unionByName(found)
-        recurring = recurring.groupBy("h").agg(F.max("n").alias("n"), F.max("kinds").alias("kinds"))
-        gone = _gone(spans, index, recurring, texts, scratch, seed, window)
-        if gone is not None:
-            index.compact()
-        index.drop()
-        scratch.clear()
+        index = FingerprintIndex(spark, f"{shared_dir(spark)}/index-{uuid.uuid4().hex}", TABLE_FAN_IN)
+        try:
+            spans, recurring = staged(spans_of(own, seed, window), "spans", scratch), None
+            for k in range(batches):
+                found = staged(index.append(spans.filter(F.pmod(F.xxhash64("key"), F.lit(batches)) == k)), "recurring", scratch)
+                index.commit()
+                recurring = found if recurring is None else recurring.unionByName(found)
+            recurring = staged(recurring.groupBy("h").agg(F.max("n").alias("n"), F.max("kinds").alias("kinds")), "recurring", scratch)
+            gone = _gone(spans, index, recurring, texts, scratch, seed, window)
+        finally:
+            index.drop()
+            scratch.clear()
         if gone is not None:
             column = lambda c, kind: F.col(f"`{c}`").cast(kind)
             return gone, _key(column(id_col, "long"), F.coalesce(column(text_col, "string"), F.lit("")), seed, unique)
@@ -377,6 +404,11 @@ class IncrementalDedup:
     ``add`` returns the batch's rows as ``without_repeats`` does. Words that
     occur again only in a later batch stay where they came first. A batch
     within which a passage repeats loses all of its occurrences.
+
+    A batch is part of the past once what it loses has been written, and not
+    before: an ``add`` that breaks off anywhere can be done again. A batch that
+    is given a name is added once: adding it again, say because its result was
+    lost, returns what it lost the first time. An empty batch has an empty result.
     """
 
     def __init__(self, spark: SparkSession, path: str, window: int = WINDOW, fan_in: int = FAN_IN, seeds: tuple[int, ...] = SEEDS):
@@ -385,22 +417,44 @@ class IncrementalDedup:
     def _texts(self, numbers: range) -> DataFrame:
         return self.spark.read.schema("key long, text string").parquet(*[f"{self.path}/texts-{n}" for n in numbers])
 
-    def add(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        number = FingerprintIndex(self.spark, f"{self.path}/index-{self.seeds[0]}", self.fan_in).batches
+    def _index(self, seed: int) -> FingerprintIndex:
+        return FingerprintIndex(self.spark, f"{self.path}/index-{seed}", self.fan_in)
+
+    def add(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str | None = None) -> DataFrame:
+        known = self._index(self.seeds[0]).labels
+        if name and name in known:
+            number = known.index(name)
+            return _cleaned(keyed(docs, id_col, text_col, 0, number), self._lost(number))
+        number = len(known)
         rows = keyed(docs, id_col, text_col, 0, number)
         rows.select("key", "text").write.mode("overwrite").parquet(f"{self.path}/texts-{number}")
-        for seed in self.seeds:
-            index, scratch = FingerprintIndex(self.spark, f"{self.path}/index-{seed}", self.fan_in), Scratch(self.spark)
-            for k in range(index.batches, number + 1):  # under a seed that wasn't needed before, the past comes first
-                spans = staged(spans_of(self._texts(range(k, k + 1)), seed, self.window), "spans", scratch)
-                recurring = index.append(spans)
-            gone = _gone(spans, index, recurring, self._texts(range(number + 1)), scratch, seed, self.window)
-            if len(index.names) > self.fan_in:
-                index.compact()
+        tried: list[FingerprintIndex] = []
+        scratch = Scratch(self.spark)
+        try:
+            for seed in self.seeds:
+                index = self._index(seed)
+                tried.append(index)
+                for k in range(index.batches, number):  # under a seed that wasn't needed before, the past comes first
+                    index.append(spans_of(self._texts(range(k, k + 1)), seed, self.window))
+                    index.commit()
+                spans = staged(spans_of(self._texts(range(number, number + 1)), seed, self.window), "spans", scratch)
+                gone = _gone(spans, index, staged(index.append(spans), "recurring", scratch), self._texts(range(number + 1)), scratch, seed, self.window)
+                if gone is not None:
+                    break
+            else:
+                raise RuntimeError("different words met under every seed")
+            gone.write.mode("overwrite").parquet(f"{self.path}/gone-{number}")
+            # the first seed's index says which batches there are; the others follow it, now or with the next batch
+            for index in tried:
+                index.commit(name or "")
+        finally:
+            for index in tried:
+                index.give_up()
             scratch.clear()
-            if gone is not None:
-                return _cleaned(rows, gone)
-        raise RuntimeError("different words met under every seed")
+        return _cleaned(rows, self._lost(number))
+
+    def _lost(self, number: int) -> DataFrame:
+        return self.spark.read.schema("key long, gone array<int>").parquet(f"{self.path}/gone-{number}")
 
 
 def _left(text: str, gone: list[int] | None) -> tuple[int, int, str]:
