@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemill.llm import bpe, exact, language, media, neardup, packing, quality, sharding, substring, toxicity
+from tidemill.llm import align, bpe, exact, language, media, neardup, packing, quality, sharding, substring, toxicity
 
-_MODULES = (toxicity, language, neardup, sharding, quality, substring, packing, exact, media, bpe)
+_MODULES = (toxicity, language, neardup, sharding, quality, substring, packing, exact, media, bpe, align)
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
