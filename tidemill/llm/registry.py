@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemill.llm import align, bpe, exact, language, media, neardup, packing, quality, sharding, substring, suffix, toxicity
+from tidemill.llm import align, bpe, exact, language, media, neardup, packing, quality, search, sharding, substring, suffix, toxicity
 
-_MODULES = (toxicity, language, neardup, sharding, quality, substring, packing, exact, media, bpe, align, suffix)
+_MODULES = (toxicity, language, neardup, sharding, quality, substring, packing, exact, media, bpe, search, align, suffix)
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
