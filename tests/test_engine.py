@@ -335,7 +335,7 @@ def test_refresh_command(spark, metrics, tmp_path, monkeypatch):
     rows = lambda side, name: sorted(map(tuple, side[name].read().drop(KEY).collect()))
     # raw rows until May 16, then the rest: the second refresh goes on from the stored mark
     assert migration.refresh("six", up=True) == 2
-    assert json.loads((tmp_path / "q.json.watermarks").read_text())["other.day"] == 1684108800000000
+    assert migration._saved()["other.day"] == 1684108800000000
     assert [r for r in rows(migration.source, "other.day") if r[0] < dt.datetime(2023, 5, 16)] == rows(migration.target, "other.day")
     migration.queue.clean()
     assert migration.stage("2023-06-10", "2023-05-15", pattern="metrics") == (3, 0) and migration.copy(2) == 3
@@ -343,7 +343,7 @@ def test_refresh_command(spark, metrics, tmp_path, monkeypatch):
     assert main(["refresh", "--config", str(tmp_path / "c.json"), "--filter", "day", "--cascade-down"]) == 0
     for name in migration.rollups:
         assert rows(migration.target, name) == rows(migration.source, name)
-    assert set(json.loads((tmp_path / "q.json.watermarks").read_text())) == set(migration.rollups) and migration.refresh() == 0
+    assert set(migration._saved()) == set(migration.rollups) and migration.refresh() == 0
 
 
 def test_streamed_rollup(spark, metrics, tmp_path):

@@ -2,62 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.compression import ordering
+from tidemill.sources.places import written
 
-#: Rows of a range, about; ranges at most; rows read for each cut point, about.
-RANGE_ROWS, RANGES, PER_CUT = 50_000, 256, 40
+#: Rows of a range, about; the number of ranges follows the table.
+RANGE_ROWS = 250_000
 Order = list[tuple[str, bool, bool]]
 
 
-def _sorted(rows: list[Row], order: Order) -> list[Row]:
-    for name, descending, nulls_first in reversed(order):
-        nulls = [r for r in rows if r[name] is None]
-        rest = sorted((r for r in rows if r[name] is not None), key=lambda r: r[name], reverse=descending)
-        rows = nulls + rest if nulls_first else rest + nulls
-    return rows
-
+def ordering(column: str, descending: bool, nulls_first: bool) -> Column:
+    """All four orders, never the engine's default for nulls."""
+    c = F.col(f"`{column}`")
+    if descending:
+        return c.desc_nulls_first() if nulls_first else c.desc_nulls_last()
+    return c.asc_nulls_first() if nulls_first else c.asc_nulls_last()
 
-def _not_after(cut: Column, order: Order) -> Column:
-    """Whether the cut point comes before the row or equals it."""
-    out = F.lit(True)
-    for name, descending, nulls_first in reversed(order):
-        c, x = cut[name], F.col(name)
-        by_null = c.isNull() & x.isNotNull() if nulls_first else c.isNotNull() & x.isNull()
-        by_value = F.coalesce(c > x if descending else c < x, F.lit(False))
-        out = by_null | by_value | (c.eqNullSafe(x) & out)
-    return out
 
+def numbered(rows: DataFrame, order: Order, number: str, ranges: int) -> DataFrame:
+    """Adds the row number in the order: name, descending, nulls first. Rows that are equal in it are numbered as they come.
 
-def _range_of(cuts: list[Row], order: Order, types: dict[str, str]) -> Column:
-    """The number of cut points that come before the row or equal it."""
-    if not cuts:
-        return F.lit(0)
-    points = F.array(*[F.struct(*[F.lit(r[c]).cast(types[c]).alias(c) for c, _, _ in order]) for r in cuts])
-    return F.size(F.filter(points, lambda cut: _not_after(cut, order)))
+    Sampled splitters range-partition the rows by the order itself, each range
+    is sorted and written once, so that ranges stay as they are; a row's place
+    is then its place in the range after the counts of the ranges before. A
+    frequent value is divided by the columns that follow it.
+    """
+    keys = [ordering(*o) for o in order]
+    place = F.monotonically_increasing_id()  # the range's number above 33 bits, the place in it below
+    placed, _ = written(rows.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys).withColumn("_place", place), "ranked")
+    cell = F.shiftright("_place", 33)
+    before = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    counts = placed.groupBy(cell.alias("_cell")).agg(F.count("*").alias("_n")).select("_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.withColumn("_cell", cell).join(F.broadcast(counts), "_cell").withColumn(number, F.col("_before") + inside + 1).drop("_cell", "_before", "_place")
 
 
 def row_numbers(rows: DataFrame, orders: dict[str, Order], range_rows: int = RANGE_ROWS) -> DataFrame:
-    """Adds the row number in each order: name to (column, descending, nulls first), which together must be unique.
-
-    A small sample gives cut points only; every row falls between two of them
-    and is numbered there, after the counts of the ranges before. So a poor
-    sample makes ranges uneven, never a number wrong, and a frequent value is
-    divided by the columns that follow it.
-    """
-    names = sorted({c for order in orders.values() for c, _, _ in order})
-    types, count = dict(rows.dtypes), rows.count()
-    ranges = min(RANGES, max(1, -(-count // range_rows)))
-    sample = rows.select(*names).sample(min(1.0, ranges * PER_CUT / count), 1).collect() if ranges > 1 else []  # about RANGES * PER_CUT
+    """Adds the row number in each order: name to (column, descending, nulls first)."""
+    ranges = max(1, -(-rows.count() // range_rows))
     for number, order in orders.items():
-        ordered = _sorted(sample, order)
-        cuts = [ordered[k * len(ordered) // ranges] for k in range(1, ranges)] if ordered else []
-        celled = rows.withColumn("_cell", _range_of(cuts, order, types))
-        before = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-        # one row for each range
-        offsets = celled.groupBy("_cell").agg(F.count("*").alias("_n")).select("_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-        within = Window.partitionBy("_cell").orderBy(*[ordering(*o) for o in order])
-        rows = celled.join(F.broadcast(offsets), "_cell").withColumn(number, (F.col("_before") + F.row_number().over(within)).cast("bigint")).drop("_cell", "_before")
+        rows = numbered(rows, order, number, ranges)
     return rows

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampType
 
 from tidemill.functions.times import DAY, INTEGER_TYPES, ORIGIN, time_bucket
 
@@ -45,13 +45,25 @@ def refresh(rollup: Rollup, stored: DataFrame, parent: DataFrame, start: int, en
 
 def between(parent: DataFrame, rollup: Rollup, start: int, end: int) -> Column:
     """start <= time < end on the parent's own time column, so that it reaches the scan; bounds are bucket edges, as internal time."""
-    kind, time = parent.schema[rollup.time].dataType, F.col(f"`{rollup.time}`")
-    if isinstance(kind, DateType):  # a date is the midnight it begins with
-        low, high = (F.lit(-(-b // DAY)).cast("int") for b in (start, end))
-        return (F.unix_date(time) >= low) & (F.unix_date(time) < high)
-    if isinstance(kind, (TimestampType, TimestampNTZType)):
-        low, high = (F.timestamp_micros(F.lit(min(max(b, EARLIEST), LATEST))).cast(kind) for b in (start, end))
-    else:
-        low, high = (F.lit(min(max(b, -(2**63)), 2**63 - 1)).cast("bigint") for b in (start, end))
-    return (time >= low) & (time < high)
+    return within(F.col(f"`{rollup.time}`"), parent.schema[rollup.time].dataType, start, end)
 
+
+def within(time: Column, kind: DataType, start: int | None, end: int | None) -> Column:
+    """start <= time < end for internal times; an end that is missing is open."""
+    low, high = time_range(kind, start, end)
+    return (F.lit(True) if low is None else time >= low) & (F.lit(True) if high is None else time < high)
+
+
+def time_range(kind: DataType, start: int | None, end: int | None) -> tuple[Column | None, Column | None]:
+    """(least, end) of [start, end) in internal time, as constants of a time column's own type, cut to what it can hold."""
+
+    def constant(bound: int | None) -> Column | None:
+        if bound is None:
+            return None
+        if isinstance(kind, DateType):  # a date is the midnight it begins with
+            return F.date_from_unix_date(F.lit(min(max(-(-bound // DAY), EARLIEST // DAY), LATEST // DAY)).cast("int"))
+        if isinstance(kind, (TimestampType, TimestampNTZType)):
+            return F.timestamp_micros(F.lit(min(max(bound, EARLIEST), LATEST))).cast(kind)
+        return F.lit(min(max(bound, -(2**63)), 2**63 - 1)).cast("bigint")
+
+    return constant(start), constant(end)

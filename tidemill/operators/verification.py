@@ -62,8 +62,8 @@ def differing(schema: T.StructType, a: str, b: str) -> Column:
     return out
 
 
-def verify_chunks(source: DataFrame, target: DataFrame, planned: DataFrame, key: str) -> DataFrame:
-    """(key, status) of planned chunks: source_missing, target_missing, mismatch or ok. One aggregation a side."""
+def verify_chunks(source: DataFrame, target: DataFrame, planned: DataFrame, key: str, details: bool = False) -> DataFrame:
+    """(key, status) of planned chunks: source_missing, target_missing, mismatch or ok. One aggregation a side; details adds both summaries, s and t."""
     schema = T.StructType([f for f in source.schema if f.name != key])
     s, t = summary(source, [key]).alias("s"), summary(target, [key]).alias("t")
     joined = planned.select(key).alias("p").join(s, F.col(f"p.{key}") == F.col(f"s.{key}"), "left").join(t, F.col(f"p.{key}") == F.col(f"t.{key}"), "left")
@@ -73,7 +73,19 @@ def verify_chunks(source: DataFrame, target: DataFrame, planned: DataFrame, key:
         .when(differing(schema, "s", "t"), "mismatch")
         .otherwise("ok")
     )
-    return joined.select(F.col(f"p.{key}").alias(key), status.alias("status"))
+    names = ["total_count", *[f"{kind}_{name}" for kind, name in select_list(schema)]]
+    more = [F.struct(*[F.col(f"{side}.`{n}`") for n in names]).alias(side) for side in ("s", "t")] if details else []
+    return joined.select(F.col(f"p.{key}").alias(key), status.alias("status"), *more)
+
+
+def differing_parts(source: DataFrame, target: DataFrame, key: str, part: Column) -> DataFrame:
+    """(key, part) of the parts of chunks whose fingerprints differ, a part missing on one side included. One aggregation a side."""
+    names = [key, "_part"]
+    schema = T.StructType([f for f in source.schema if f.name != key])
+    s, t = (summary(side.withColumn("_part", part), names).alias(n) for side, n in ((source, "s"), (target, "t")))
+    same = F.col(f"s.{key}").eqNullSafe(F.col(f"t.{key}")) & F.col("s._part").eqNullSafe(F.col("t._part"))
+    wrong = s.join(t, same, "full_outer").filter(differing(schema, "s", "t"))
+    return wrong.select(F.coalesce(f"s.{key}", f"t.{key}").alias(key), F.coalesce("s._part", "t._part").alias("part"))
 
 
 def agree(schema: T.StructType, source: dict, target: dict) -> bool:
@@ -87,7 +99,7 @@ def agree(schema: T.StructType, source: dict, target: dict) -> bool:
         if summed and a is not None and b is not None:
             if abs(float(a - b)) > TOLERANCE * source[f"count_{column}"]:
                 return False
-        elif a != b:
+        elif a != b and not (a != a and b != b):  # two NaN are equal, as in Spark
             return False
     return True
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.idents import matches, qualified, quote_ident, quote_literal
-from tidemill.functions.times import bound_text, parse_bound
+from tidemill.functions.times import INTEGER_TYPES, ORIGIN, bound_text, parse_bound
+from tidemill.operators.rollups import Rollup
 from tidemill.plans.catalog import first_dimension
+from tidemill.sources.manifest import merged
 
 
 def check_bound(spark: SparkSession, name: str, value: str) -> None:
@@ -60,17 +64,18 @@ def seeds(hypertables: DataFrame, rollups: DataFrame, pattern: str | None) -> Da
 def closure(start: DataFrame, rollups: DataFrame, up: bool, down: bool) -> DataFrame:
     """(id): start, all rollups built on it (up), all tables it is built on (down); directions don't mix."""
     spark = start.sparkSession
-    start.createOrReplaceTempView("_closure_start")
-    rollups.createOrReplaceTempView("_closure_rollups")
+    own_name = f"_closure_{uuid.uuid4().hex}"  # another thread may plan at the same time
+    start.createOrReplaceTempView(f"{own_name}_start")
+    rollups.createOrReplaceTempView(f"{own_name}_rollups")
     out = start
     for wanted, own, other in ((up, "raw_id", "mat_id"), (down, "mat_id", "raw_id")):
         if wanted:
             # the hierarchy has no cycle, so this ends; Spark's recursion has no distinct union
             walk = f"""
                 WITH RECURSIVE walk(id) AS (
-                    SELECT id FROM _closure_start
+                    SELECT id FROM {own_name}_start
                     UNION ALL
-                    SELECT r.{other} FROM walk w JOIN _closure_rollups r ON r.{own} = w.id)
+                    SELECT r.{other} FROM walk w JOIN {own_name}_rollups r ON r.{own} = w.id)
                 SELECT DISTINCT id FROM walk"""
             out = out.union(spark.sql(walk))
     return out.distinct()
@@ -79,12 +84,13 @@ def closure(start: DataFrame, rollups: DataFrame, up: bool, down: bool) -> DataF
 def levels(rollups: DataFrame) -> DataFrame:
     """(mat_id, view_schema, view_name, lvl): 0 for rollups of raw tables, one more for each step up."""
     spark = rollups.sparkSession
-    rollups.createOrReplaceTempView("_level_rollups")
-    return spark.sql("""
+    name = f"_level_{uuid.uuid4().hex}"
+    rollups.createOrReplaceTempView(name)
+    return spark.sql(f"""
         WITH RECURSIVE walk(mat_id, view_schema, view_name, lvl) AS (
-            SELECT mat_id, view_schema, view_name, 0 FROM _level_rollups WHERE raw_id NOT IN (SELECT mat_id FROM _level_rollups)
+            SELECT mat_id, view_schema, view_name, 0 FROM {name} WHERE raw_id NOT IN (SELECT mat_id FROM {name})
             UNION ALL
-            SELECT r.mat_id, r.view_schema, r.view_name, w.lvl + 1 FROM walk w JOIN _level_rollups r ON r.raw_id = w.mat_id)
+            SELECT r.mat_id, r.view_schema, r.view_name, w.lvl + 1 FROM walk w JOIN {name} r ON r.raw_id = w.mat_id)
         SELECT mat_id, view_schema, view_name, lvl FROM walk""")
 
 
@@ -104,6 +110,24 @@ def refresh_plan(rollups: DataFrame, source_marks: DataFrame, target_marks: Data
     return planned.select(*name, "lvl", "column_type", "window_start", "window_end", text("window_start").alias("start_text"), text("window_end").alias("end_text")).orderBy("lvl", *name)
 
 
+def invalidated(touched: list[tuple[int, int]], rollup: Rollup, watermark: int, width: int) -> list[tuple[int, int]]:
+    """Ranges of whole buckets below the watermark that touched times fall in; those of one chunk of the rollup's storage become one.
+
+    What lies at or above the watermark isn't materialised: the next refresh
+    up to the source's watermark computes it.
+    """
+    shift = 0 if rollup.kind in INTEGER_TYPES else ORIGIN % rollup.width
+    down = lambda t: (t - shift) // rollup.width * rollup.width + shift
+    cut = merged([(down(low), min(down(high - 1) + rollup.width, watermark)) for low, high in touched if low < watermark])
+    out: list[tuple[int, int]] = []
+    for low, high in cut:
+        if out and out[-1][1] // width == low // width:
+            out[-1] = (out[-1][0], high)
+        else:
+            out.append((low, high))
+    return out
+
+
 def overlapping(intervals: DataFrame, lower: int, upper: int) -> DataFrame:
     """Half-open intervals that share a point with [lower, upper)."""
     return intervals.filter((F.col("range_start") < upper) & (F.col("range_end") > lower))

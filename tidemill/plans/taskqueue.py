@@ -78,6 +78,18 @@ class TaskQueue:
                     return dict(task)
         return None
 
+    def claim_all(self, verify: bool = False) -> list[dict]:
+        """All tasks that wait, in order; an error if there is none."""
+        out = []
+        while (task := self.claim(verify)) is not None:
+            out.append(task)
+        if not out:
+            raise RuntimeError(self._none(verify))
+        return out
+
+    def _none(self, verify: bool) -> str:
+        return "no copied chunk waits to be verified: copy first" if verify and self.tasks else "no pending task: stage first"
+
     def complete(self, task: dict, began: float, message: str, verify: bool = False) -> None:
         with self.lock:
             own = next(t for t in self.tasks if t["priority"] == task["priority"])
@@ -94,7 +106,7 @@ class TaskQueue:
         """Work off all pending tasks; a task that raises stays pending and ends the run. stop: finish what runs, claim no more."""
         total = self.count_pending(verify)
         if not total:
-            raise RuntimeError("no copied chunk waits to be verified: copy first" if verify and self.tasks else "no pending task: stage first")
+            raise RuntimeError(self._none(verify))
         stop, failed, done = stop or threading.Event(), [], []
 
         def worker() -> None:

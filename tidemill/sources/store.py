@@ -1,177 +1,345 @@
-"""Chunked tables as Parquet folders: one partition folder a chunk, in a row tier and a compressed tier.
-
-The compressed tier lies beside the rows, in ``<path>_batches``, a row a batch;
-a chunk may have rows, batches, or both (it is then partial). How a table is
-compressed is kept in ``<path>_settings`` with the format's version.
-
-Replacing a range writes only the chunk's own partition, by dynamic partition
-overwrite; the new content is staged first, so that no path is read and
-overwritten in one plan. A run that breaks off can simply be done again.
+"""Chunked tables: Parquet folders by chunk, in a row tier and a compressed tier, under a versioned manifest.
+
+Each write goes to folders of its own, ``<tier>/_v=<id>/_chunk=<start>``; then
+one new generation of the manifest says what the chunks are made of now. So a
+copy, compression, decompression or refresh counts as a whole or not at all, a
+run that breaks off anywhere can be done again, and a frame goes on reading the
+generation that it was made from. ``clean`` deletes folders that no generation
+names, ``vacuum`` old generations with what only they name.
+
+A chunk may have rows, batches, or both (it is then partial). The manifest also
+keeps each piece's rows, bytes and range of times, which the write observes
+itself, so the catalogue is read without opening a file.
 """
 
 from __future__ import annotations
 
+import copy
 import json
-import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidemill.functions.times import CHUNK, chunk_start
-from tidemill.operators.compression import BATCH, compress, decompress, triples
+from tidemill.functions.times import CHUNK, chunk_start, internal
+from tidemill.operators.compression import BATCH, compress, decompress, skipping, triples
 from tidemill.operators.copying import replace_range
+from tidemill.operators.rollups import time_range
+from tidemill.sources.manifest import TIERS, History, Manifest
+from tidemill.sources.places import Files
 
 KEY = "_chunk"
 #: Version of the folders' layout; both sides of a copy must have the same.
-FORMAT = 1
+FORMAT = 2
+#: The chunk of rows without a time: they are in no range.
+NO_CHUNK = "none"
+_VERSION, _HIVE_NULL = "_v", "__HIVE_DEFAULT_PARTITION__"
+
+
+def _nullable(schema):
+    """A schema's JSON with everything nullable, as files hold it."""
+    if isinstance(schema, list):
+        return [_nullable(x) for x in schema]
+    if isinstance(schema, dict):
+        return {k: True if k in ("nullable", "containsNull", "valueContainsNull") else _nullable(v) for k, v in schema.items()}
+    return schema
 
 
 class ChunkedTable:
-    def __init__(self, spark: SparkSession, path: str, time: str, kind: str = "timestamp", width: int = CHUNK):
-        self.spark, self.path, self.time, self.kind, self.width = spark, path.rstrip("/"), time, kind, width
+    def __init__(self, spark: SparkSession, path: str, time: str, kind: str = "timestamp", width: int = CHUNK, generation: int | None = None):
+        """generation: reads that one, as a snapshot that can't be written."""
+        self.spark, self.path, self.time, self.kind, self.width, self.generation = spark, path.rstrip("/"), time, kind, width, generation
+        self.files = Files(spark, self.path)
+        self.history = History(self.files, f"{self.path}/_manifest")
+        self._work: Manifest | None = None
+        self._touched: list[tuple[int, int]] = []
+
+    # what there is
+
+    def state(self) -> Manifest:
+        return self._work if self._work is not None else self.history.load(self.generation)
+
+    def snapshot(self) -> ChunkedTable:
+        """The table as it is now, for as long as its generation is kept."""
+        return ChunkedTable(self.spark, self.path, self.time, self.kind, self.width, self.state().generation)
 
     def keyed(self, rows: DataFrame) -> DataFrame:
         return rows.withColumn(KEY, chunk_start(F.col(self.time), self.kind, self.width))
 
     def exists(self) -> bool:
-        return self._there(self.path) or self._there(f"{self.path}_batches")
-
-    def _there(self, path: str) -> bool:
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(place)
+        return bool(self.state().schemas)
 
     def settings(self) -> dict:
         """{version, segment_by, order_by}; a table without settings has the current version and isn't compressed."""
-        if not self._there(f"{self.path}_settings"):
-            return {"version": FORMAT, "segment_by": None, "order_by": None}
-        return json.loads(self.spark.read.text(f"{self.path}_settings").first()[0])
-
-    def configure(self, segment_by: list[str], order_by: list, version: int = FORMAT) -> None:
-        kept = json.dumps({"version": version, "segment_by": list(segment_by), "order_by": [list(o) for o in triples(order_by)]})
-        self.spark.createDataFrame([(kept,)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}_settings")
+        return self.state().settings or {"version": FORMAT, "segment_by": None, "order_by": None}
 
     def tiers(self, chunk: int) -> tuple[bool, bool]:
         """Whether the chunk has rows, and whether it has batches."""
-        return self._there(f"{self.path}/{KEY}={chunk}"), self._there(f"{self.path}_batches/{KEY}={chunk}")
+        state = self.state()
+        return bool(state.pieces(str(chunk), "rows")), bool(state.pieces(str(chunk), "batches"))
+
+    def chunk_starts(self) -> list[int]:
+        """Starts of the chunks in either tier: no file of data is opened. Rows without a time are in no chunk."""
+        return sorted(int(c) for c in self.state().chunks if c != NO_CHUNK)
+
+    def chunks(self) -> DataFrame:
+        """(range_start, range_end, n, batches, bytes, low, high) of the chunks, from the manifest; low and high are the least and greatest time."""
+        out = []
+        for chunk, entry in self.state().chunks.items():
+            both = [p for t in TIERS for p in entry.get(t, [])]
+            known = [p for p in both if p["low"] is not None]
+            start = None if chunk == NO_CHUNK else int(chunk)
+            out.append((start, None if start is None else start + self.width, sum(p["rows"] for p in both), sum(p["n"] for p in entry.get("batches", [])), sum(p["bytes"] for p in both), min((p["low"] for p in known), default=None), max((p["high"] for p in known), default=None)))
+        return self.spark.createDataFrame(out, "range_start long, range_end long, n long, batches long, bytes long, low long, high long")
+
+    # reading
+
+    def _schema(self, tier: str, state: Manifest) -> StructType | None:
+        kept = state.schemas.get(tier)
+        return None if kept is None else StructType.fromJson(kept)
+
+    def _frame(self, tier: str, chunks: list[str], state: Manifest) -> DataFrame | None:
+        """The tier of these chunks with the chunk's key; None if the tier has never been."""
+        schema = self._schema(tier, state)
+        if schema is None:
+            return None
+        full = StructType([*schema.fields]).add(KEY, "long")
+        folders = [p["folder"] for c in chunks for p in state.pieces(c, tier)]
+        if not folders:
+            return self.spark.createDataFrame([], full)
+        base = f"{self.path}/{tier}"
+        return self.spark.read.schema(StructType([*full.fields]).add(_VERSION, "string")).option("basePath", base).parquet(*[f"{base}/{f}" for f in folders]).drop(_VERSION)
 
     def rows(self, chunk: int) -> DataFrame | None:
         """The row tier of one chunk."""
-        return self.spark.read.option("basePath", self.path).parquet(f"{self.path}/{KEY}={chunk}") if self.tiers(chunk)[0] else None
+        state = self.state()
+        return self._frame("rows", [str(chunk)], state) if state.pieces(str(chunk), "rows") else None
 
     def batches(self, chunk: int) -> DataFrame | None:
         """The batches of one chunk, as they are stored."""
-        return self.spark.read.option("basePath", f"{self.path}_batches").parquet(f"{self.path}_batches/{KEY}={chunk}") if self.tiers(chunk)[1] else None
+        state = self.state()
+        return self._frame("batches", [str(chunk)], state) if state.pieces(str(chunk), "batches") else None
 
     def content(self, chunk: int) -> DataFrame | None:
         """The rows of both tiers of one chunk."""
-        rows, batches = self.rows(chunk), self.batches(chunk)
-        if batches is None:
-            return rows
-        flat = decompress(batches, self._columns(batches) if rows is None else rows.columns)
-        return flat if rows is None else rows.unionByName(flat)
+        state = self.state()
+        return self._both([str(chunk)], state) if str(chunk) in state.chunks else None
+
+    def _both(self, chunks: list[str], state: Manifest, where: dict | None = None) -> DataFrame:
+        rows, packed = self._frame("rows", chunks, state), self._frame("batches", chunks, state)
+        if packed is not None:
+            if where:
+                packed = packed.filter(skipping(where, packed, (state.settings or {}).get("segment_by") or []))
+            flat = decompress(packed, self._columns(packed) if rows is None else rows.columns)
+            rows = flat if rows is None else rows.unionByName(flat)
+        if rows is None:
+            raise ValueError(f"{self.path}: no such table")
+        return rows
 
     @staticmethod
     def _columns(batches: DataFrame) -> list[str]:
         inner = [f.name for f in batches.schema["_rows"].dataType.elementType]
         return [c for c in batches.columns if not c.startswith("_") and c not in inner] + inner + [KEY]
 
-    def append_batches(self, batches: DataFrame, chunk: int) -> int:
-        """Adds batches of one chunk to what it has, or makes its compressed tier; returns their number."""
-        old = self.batches(chunk)
-        new = batches.withColumn(KEY, F.lit(chunk).cast("bigint"))
-        self._write(new if old is None else old.unionByName(new), {chunk}, f"{self.path}_batches")
-        return new.count()
-
-    def compress_chunk(self, chunk: int, batch: int = BATCH) -> None:
-        """Moves all rows of the chunk into batches."""
-        rows, kept = self.content(chunk), self.settings()
-        if kept["segment_by"] is None:
-            raise ValueError(f"{self.path}: no compression settings")
-        if rows is not None:
-            packed = compress(rows.drop(KEY), kept["segment_by"], [tuple(o) for o in kept["order_by"]], batch)
-            self._write(packed.withColumn(KEY, F.lit(chunk).cast("bigint")), {chunk}, f"{self.path}_batches")
-            self._remove(f"{self.path}/{KEY}={chunk}")
-
-    def decompress_chunk(self, chunk: int) -> None:
-        """Moves all batches of the chunk into rows."""
-        rows = self.content(chunk)
-        if self.tiers(chunk)[1]:
-            self._write(rows, {chunk})
-            self._remove(f"{self.path}_batches/{KEY}={chunk}")
+    def of_chunks(self, chunks: list[int]) -> DataFrame:
+        """The rows of both tiers of some chunks."""
+        state = self.state()
+        return self._both([str(c) for c in chunks if str(c) in state.chunks], state)
 
-    def append(self, rows: DataFrame) -> None:
-        """Rows are brought together by chunk, so that each task writes few files."""
-        self.keyed(rows).repartition(KEY).write.mode("append").partitionBy(KEY).parquet(self.path)
+    def _overlapping(self, state: Manifest, lower: int | None, upper: int | None) -> list[str]:
+        if lower is None and upper is None:
+            return list(state.chunks)
+        known = [int(c) for c in state.chunks if c != NO_CHUNK]
+        return [str(c) for c in sorted(known) if (upper is None or c < upper) and (lower is None or c > lower - self.width)]
 
     def read(self, lower: int | None = None, upper: int | None = None) -> DataFrame:
-        """Rows of both tiers whose chunk overlaps [lower, upper) in internal time; the chunk key prunes folders.
-
-        The frame keeps the list of files as it is now, so what is replaced
-        later doesn't change it.
-        """
-        rows = self._some(self.path, lower, upper) if self._there(self.path) else None
-        if not self._there(f"{self.path}_batches"):
-            return self._some(self.path, lower, upper) if rows is None else rows
-        packed = self._some(f"{self.path}_batches", lower, upper)
-        flat = decompress(packed, self._columns(packed) if rows is None else rows.columns)
-        return flat if rows is None else rows.unionByName(flat)
-
-    def _some(self, path: str, lower: int | None, upper: int | None) -> DataFrame:
-        rows = self.spark.read.parquet(path)
+        """Rows of both tiers whose chunk overlaps [lower, upper) in internal time; only these chunks' folders are listed."""
+        state = self.state()
+        rows = self._both(self._overlapping(state, lower, upper), state)
         if upper is not None:
             rows = rows.filter(F.col(KEY) < upper)
         if lower is not None:
             rows = rows.filter(F.col(KEY) > lower - self.width)
         return rows
 
-    def chunk_starts(self) -> list[int]:
-        """Starts of the chunks in either tier, by the folders' names: no file is opened. Rows without a time are in no chunk."""
-        found = set()
-        for path in (self.path, f"{self.path}_batches"):
-            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            files = place.getFileSystem(self.spark._jsc.hadoopConfiguration())
-            names = [f.getPath().getName() for f in files.listStatus(place)] if files.exists(place) else []
-            found |= {int(n.partition("=")[2]) for n in names if re.fullmatch(rf"{KEY}=-?\d+", n)}
-        return sorted(found)
+    def where(self, ranges: dict[str, tuple], lower: int | None = None, upper: int | None = None) -> DataFrame:
+        """Rows in [lower, upper) whose columns lie in the given ranges (least, greatest; None is open).
 
-    def chunks(self) -> DataFrame:
-        """(range_start, range_end, n) of the chunks that hold rows."""
-        return self.read().groupBy(KEY).count().select(F.col(KEY).alias("range_start"), (F.col(KEY) + self.width).alias("range_end"), F.col("count").alias("n"))
+        The ranges also become ranges of the batches' own least and greatest
+        values and of their segments, which reach the scan of batches, so those
+        that can't hold such a row are never unpacked.
+        """
+        state = self.state()
+        kept, sure = dict(ranges), F.lit(True)
+        if lower is not None or upper is not None:
+            some = self._schema("rows", state) or self._rows_schema(state)
+            low, high = time_range(some[self.time].dataType, lower, upper)
+            kept[self.time] = (low, high)
+            sure = (F.lit(True) if low is None else F.col(self.time) >= low) & (F.lit(True) if high is None else F.col(self.time) < high)
+        rows = self._both(self._overlapping(state, lower, upper), state, kept)
+        for column, (least, greatest) in ranges.items():
+            c = F.col(f"`{column}`")
+            sure = sure & (F.lit(True) if least is None else c >= least) & (F.lit(True) if greatest is None else c <= greatest)
+        return rows.filter(sure)
+
+    def _rows_schema(self, state: Manifest) -> StructType:
+        return self._both([], state).schema
+
+    # writing
+
+    @contextmanager
+    def change(self, log: bool = True) -> Iterator[ChunkedTable]:
+        """A table to change: what is done to it counts at the end, all or nothing. log: whether rollups on it shall hear of it."""
+        if self._work is not None:
+            yield self
+            return
+        if self.generation is not None:
+            raise ValueError("a snapshot can't be written")
+        base = self.history.load()
+        own = ChunkedTable(self.spark, self.path, self.time, self.kind, self.width)
+        own._work = copy.deepcopy(base)
+        yield own
+        self.history.commit(base, own._work, own._touched if log else [])
+
+    def create_like(self, other: ChunkedTable) -> None:
+        """Makes an empty table with the other's columns and compression settings."""
+        with self.change() as table:
+            kept = other.state()
+            table._work.schemas, table._work.settings = copy.deepcopy(kept.schemas), copy.deepcopy(kept.settings)
 
-    def replace(self, source: DataFrame, chunk: int, predicate: Column | None = None) -> int:
+    def configure(self, segment_by: list[str], order_by: list, version: int = FORMAT) -> None:
+        with self.change() as table:
+            table._work.settings = {"version": version, "segment_by": list(segment_by), "order_by": [list(o) for o in triples(order_by)]}
+
+    def _write(self, frame: DataFrame, tier: str, rows: Column | None = None, chunk: str | None = None) -> dict[str, list[dict]]:
+        """Writes keyed rows or batches to folders of their own: pieces by chunk. The write observes its numbers where there is one chunk."""
+        version = f"v{uuid.uuid4().hex}"
+        folder, schema = f"{self.path}/{tier}/{_VERSION}={version}", StructType([f for f in frame.schema if f.name != KEY])
+        kept, own = self._work.schemas.get(tier), _nullable(json.loads(schema.json()))
+        fields = lambda x: {(f["name"], json.dumps(f["type"])) for f in x["fields"]}
+        if kept is not None and fields(kept) != fields(own):
+            raise ValueError(f"{self.path}: columns differ from those of the table")
+        self._work.schemas.setdefault(tier, own)
+        time = F.col(f"_min_{self.time}") if f"_min_{self.time}" in frame.columns else F.col(self.time) if self.time in frame.columns else F.lit(None)
+        late = F.col(f"_max_{self.time}") if f"_max_{self.time}" in frame.columns else time
+        measures = [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.lit(1) if rows is None else rows), F.lit(0)).cast("long").alias("rows"), F.min(internal(time, self.kind)).alias("low"), F.max(internal(late, self.kind)).alias("high")]
+        if chunk is not None:
+            seen = Observation()
+            frame.drop(KEY).observe(seen, *measures).write.parquet(f"{folder}/{KEY}={chunk}")
+            found = {chunk: seen.get} if seen.get["n"] else {}
+        else:
+            frame.write.partitionBy(KEY).parquet(folder)
+            back = self.spark.read.schema(StructType([*frame.schema.fields])).parquet(folder) if self.files.exists(folder) else frame.limit(0)
+            found = {NO_CHUNK if r[KEY] is None else str(r[KEY]): r.asDict() for r in back.groupBy(KEY).agg(*measures).collect()}  # a row a chunk
+        out = {}
+        for name, seen_here in found.items():
+            inner = f"{_VERSION}={version}/{KEY}={_HIVE_NULL if name == NO_CHUNK else name}"
+            out[name] = [{"folder": inner, "n": seen_here["n"], "rows": seen_here["rows"], "bytes": self.files.size(f"{self.path}/{tier}/{inner}"), "low": seen_here["low"], "high": seen_here["high"]}]
+        return out
+
+    def _touch(self, *pieces: list[dict]) -> None:
+        self._touched += [(p["low"], p["high"] + 1) for part in pieces for p in part if p["low"] is not None]
+
+    def append(self, rows: DataFrame, log: bool = True) -> int:
+        """Adds rows to the row tier; they are brought together by chunk, so that each task writes few files. Returns their number."""
+        with self.change(log) as table:
+            made = table._write(table.keyed(rows).repartition(KEY), "rows")
+            for chunk, pieces in made.items():
+                table._work.put(chunk, "rows", table._work.pieces(chunk, "rows") + pieces)
+                table._touch(pieces)
+        return sum(p["rows"] for pieces in made.values() for p in pieces)
+
+    def replace(self, source: DataFrame, chunk: int, predicate: Column | None = None, log: bool = True) -> int:
         """Replace the rows of the chunk's row tier in the range by the source's; returns the rows it then has."""
-        own, kept = self.keyed(source).filter(F.col(KEY) == chunk), self.rows(chunk)
-        kept = own.limit(0) if kept is None else kept
-        new = replace_range(kept, own, F.col(KEY) == chunk, predicate)
-        return self._write(new, {chunk})
-
-    def overwrite(self, rows: DataFrame, lower: int, upper: int) -> int:
-        """Make rows the whole content of all chunks that overlap [lower, upper); returns their count."""
-        known = {r[0] for r in self.read(lower, upper).select(KEY).distinct().collect()} if self.exists() else set()
-        return self._write(self.keyed(rows), known)
-
-    def _write(self, new: DataFrame, chunks: set[int], path: str | None = None) -> int:
-        """Overwrite the chunks of the keyed rows, and empty those of the given ones that have no row."""
-        spark, path = self.spark, path or self.path
-        aside = f"{self.path}_staging/{uuid.uuid4().hex}"
-        new.write.parquet(aside)
-        staged = spark.read.schema(new.schema).parquet(aside)
-        counts = {r[0]: r[1] for r in staged.groupBy(KEY).count().collect()}  # a row a chunk
-        if counts:
-            staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(KEY).parquet(path)
-        for chunk in chunks - set(counts):
-            self._remove(f"{path}/{KEY}={chunk}")
-        self._remove(aside)
-        return sum(counts.values())
+        with self.change(log) as table:
+            own, kept = table.keyed(source).filter(F.col(KEY) == chunk), table.rows(chunk)
+            new = replace_range(own.limit(0) if kept is None else kept.select(*own.columns), own, F.col(KEY) == chunk, predicate)
+            made = table._write(new, "rows", chunk=str(chunk)).get(str(chunk), [])
+            table._touch(table._work.pieces(str(chunk), "rows"), made)
+            table._work.put(str(chunk), "rows", made)
+        return sum(p["rows"] for p in made)
+
+    def replace_batches(self, batches: DataFrame, chunk: int, log: bool = True) -> int:
+        """Makes batches the compressed tier of one chunk, and drops its old one; returns their number."""
+        with self.change(log) as table:
+            made = table._write(batches.withColumn(KEY, F.lit(chunk).cast("bigint")), "batches", F.col("_count"), str(chunk)).get(str(chunk), [])
+            table._touch(table._work.pieces(str(chunk), "batches"), made)
+            table._work.put(str(chunk), "batches", made)
+        return sum(p["n"] for p in made)
+
+    def append_batches(self, batches: DataFrame, chunk: int, log: bool = True) -> int:
+        """Adds batches of one chunk to what it has, or makes its compressed tier; returns the number added."""
+        with self.change(log) as table:
+            made = table._write(batches.withColumn(KEY, F.lit(chunk).cast("bigint")), "batches", F.col("_count"), str(chunk)).get(str(chunk), [])
+            table._touch(made)
+            table._work.put(str(chunk), "batches", table._work.pieces(str(chunk), "batches") + made)
+        return sum(p["n"] for p in made)
+
+    def compress_chunk(self, chunk: int, batch: int = BATCH) -> None:
+        """Moves all rows of the chunk into batches; what the table holds stays the same, so nothing is logged."""
+        with self.change(log=False) as table:
+            rows, kept = table.content(chunk), table.settings()
+            if kept["segment_by"] is None:
+                raise ValueError(f"{self.path}: no compression settings")
+            if rows is not None:
+                table.replace_batches(compress(rows.drop(KEY), kept["segment_by"], [tuple(o) for o in kept["order_by"]], batch), chunk)
+                table._work.put(str(chunk), "rows", [])
+                table._touched.clear()
+
+    def decompress_chunk(self, chunk: int) -> None:
+        """Moves all batches of the chunk into rows."""
+        with self.change(log=False) as table:
+            if table.tiers(chunk)[1]:
+                table._work.put(str(chunk), "rows", table._write(table.content(chunk), "rows", chunk=str(chunk)).get(str(chunk), []))
+                table._work.put(str(chunk), "batches", [])
+
+    def overwrite(self, rows: DataFrame, lower: int, upper: int, marks: dict | None = None, log: bool = True) -> int:
+        """Make rows the whole content, of both tiers, of all chunks that overlap [lower, upper); returns their count.
+
+        Chunks that were compressed are compressed again. marks: kept in the
+        manifest by the same generation.
+        """
+        with self.change(log) as table:
+            known = table._overlapping(table._work, lower, upper)
+            packed = [int(c) for c in known if table._work.pieces(c, "batches")]
+            made = table._write(table.keyed(rows), "rows")
+            for chunk in {*known, *made}:
+                table._touch(*[table._work.pieces(chunk, t) for t in TIERS], made.get(chunk, []))
+                table._work.put(chunk, "batches", [])
+                table._work.put(chunk, "rows", made.get(chunk, []))
+            kept = list(table._touched)
+            for chunk in packed:
+                table.compress_chunk(chunk)
+            table._touched = kept
+            table._work.marks |= marks or {}
+        return sum(p["rows"] for pieces in made.values() for p in pieces)
+
+    def touched_since(self, generation: int) -> list[tuple[int, int]]:
+        """Ranges of time that logged writes touched after a generation, merged."""
+        from tidemill.sources.manifest import merged
+
+        return merged([(low, high) for at, low, high in self.state().log if at > generation])
 
     def clean(self) -> None:
-        """Removes what broken-off runs left behind."""
-        self._remove(f"{self.path}_staging")
+        """Deletes folders that no generation names: what broken-off runs left behind."""
+        self._drop({f for g in self.history.generations() for f in self.history.load(g).folders()})
 
-    def _remove(self, path: str) -> None:
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+    def vacuum(self, keep: int = 1) -> None:
+        """Deletes all but the last generations and what only they name; frames and snapshots of these end."""
+        self._drop(self.history.forget(keep))
+
+    def _drop(self, needed: set[str]) -> None:
+        for tier in TIERS:
+            for version in self.files.names(f"{self.path}/{tier}"):
+                chunks = self.files.names(f"{self.path}/{tier}/{version}")
+                gone = [c for c in chunks if c.startswith(KEY) and f"{version}/{c}" not in needed]
+                for chunk in gone:
+                    self.files.delete(f"{self.path}/{tier}/{version}/{chunk}")
+                if len(gone) == sum(c.startswith(KEY) for c in chunks):
+                    self.files.delete(f"{self.path}/{tier}/{version}")
 
 
 def generated_series(spark: SparkSession, start: str, end: str, step: str, devices: int) -> DataFrame:
@@ -180,7 +348,14 @@ def generated_series(spark: SparkSession, start: str, end: str, step: str, devic
     return times.select("time", F.explode(F.sequence(F.lit(1), F.lit(devices))).alias("device_id"))
 
 
-def jdbc_table(spark: SparkSession, url: str, table: str, sslmode: str = "verify-full", **options: str) -> DataFrame:
-    """A table of another database; certificates are verified unless told otherwise."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).option("sslmode", sslmode)
-    return reader.options(**options).load()
+def jdbc_table(spark: SparkSession, url: str, table: str, sslmode: str | None = "verify-full", predicates: list[str] | None = None, **options: str) -> DataFrame:
+    """A table of another database, a partition for each predicate; certificates are verified unless told otherwise.
+
+    Predicates that don't overlap, such as a chunk's range of times each, are
+    pushed to the database one by one, so chunks are read side by side. sslmode
+    None leaves it to the driver.
+    """
+    properties = ({} if sslmode is None else {"sslmode": sslmode}) | options
+    if predicates:
+        return spark.read.jdbc(url, table, predicates=predicates, properties=properties)
+    return spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**properties).load()
