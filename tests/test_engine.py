@@ -110,7 +110,7 @@ def test_row_numbers_over_ranges(spark):
 
 
 def test_orderby_nulls_ranks_all_events(spark, sf_dir):
-    assert QUERIES["orderby_nulls_all"](spark, sf_dir).count() == spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    assert QUERIES["orderby_nulls"](spark, sf_dir).count() == spark.read.parquet(f"{sf_dir}/events.parquet").count()
 
 
 def test_select_list_by_type(spark):

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tidemill.queries import data, planning
+from tidemill.queries import data, planning, store
 from tidemill.queries.base import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "data", "planning"]
+__all__ = ["ORACLE_SQL", "QUERIES", "data", "planning", "store"]
 
 # the operator itself has the plain name
 for _kept in (QUERIES, ORACLE_SQL):

@@ -115,12 +115,6 @@ def orderby_nulls(spark, sf_dir):
     return _four_orders(table(spark, sf_dir, "events"))
 
 
-@query(f"SELECT event_id, {_RANK.format('DESC NULLS FIRST')} AS d_first, {_RANK.format('DESC NULLS LAST')} AS d_last, {_RANK.format('ASC NULLS FIRST')} AS a_first, {_RANK.format('ASC NULLS LAST')} AS a_last FROM ({_NULLED})")
-def orderby_nulls_all(spark, sf_dir):
-    """The four orders over all events."""
-    return _four_orders(table(spark, sf_dir, "events"))
-
-
 def _summary_sql(rows: str, by: str) -> str:
     return f"""SELECT {by} count(*) AS total_count, min(event_id) AS min_event_id, max(event_id) AS max_event_id, epoch_us(min(ts)) AS min_ts, epoch_us(max(ts)) AS max_ts,
         min(user_id) AS min_user_id, max(user_id) AS max_user_id, min(event_type) AS min_event_type, max(event_type) AS max_event_type, min(value) AS min_value, max(value) AS max_value,
