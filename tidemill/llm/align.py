@@ -16,7 +16,9 @@ pass, a few numbers a shard and at most B's vocabulary in all.
 Neither tokenizer joins anything over a single space before a non-space (A's
 pattern starts a match there, and no piece of B has a space behind another
 character, which is checked), so both encode the parts between such spaces, and
-the links of a part that was seen before come from a memo of bounded memory.
+the links of a part that was seen before come from a memo of bounded memory. A's
+parts go through an encoder by ranks that is built from A's own file, if the
+file shows that ids are ranks; else, through A itself.
 
 Defined results: null and empty texts, and texts whose tokens don't join to
 the space and the text (say, texts with U+2581), have zeros and an empty
@@ -27,8 +29,10 @@ time; a null doc_id is kept.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
+import struct
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -46,8 +50,8 @@ from tidemill.llm.common import Scratch, arrow_schema, delete, documents, id_and
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Keys that a task holds before it sums them, and different ones before it sends them on.
 BUFFER_KEYS, PARTIAL_KEYS = 1 << 21, 1 << 20
-#: Bytes of memo a task, about; parts of more characters are never kept.
-MEMO_BYTES, MEMO_PART = 64 << 20, 48
+#: Bytes that each of a task's two memos holds, about; parts of more characters are never kept.
+MEMO_BYTES, MEMO_PART = 40 << 20, 48
 SPACE_MARK = "▁"
 
 
@@ -72,44 +76,67 @@ class TwoTokenizers:
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        alphabet = byte_alphabet()
-        self.a_bytes: dict[int, bytes] = {}
-        for token, k in self.a.get_vocab(with_added_tokens=False).items():
+        alphabet, known = byte_alphabet(), self.a.get_vocab(with_added_tokens=False)
+        self.a_bytes = [b""] * (1 + max(known.values()))
+        for token, k in known.items():
             self.a_bytes[k] = bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode()
         pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
         if any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in pieces):
             raise ValueError("a piece goes on after a space: texts can't be cut at spaces")
         self.b_bytes = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(k) else p.replace(SPACE_MARK, " ").encode() for k, p in enumerate(pieces)]
+        self.ids_of_a = self._by_ranks(a_path) or (lambda text: self.a.encode(text, add_special_tokens=False).ids)
+        self.texts = [str(k) for k in range(max(len(self.a_bytes), len(pieces)))]
         self.memo: dict[str, tuple] = {}
+        self.old: dict[str, tuple] = {}
         self.held = 0
 
+    def _by_ranks(self, a_path: str):
+        """A's encoder with ids as ranks, if its file says that this is the same: byte-level words and merges in the order of the ids they make."""
+        import public_tokenizers
+        import tiktoken
+
+        with open(a_path, encoding="utf-8") as file:
+            kept = json.load(file)
+        model, cutter = kept["model"], kept["pre_tokenizer"] or {}
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model.get("merges", [])]
+        made = [model["vocab"].get("".join(m)) for m in merges]
+        plain = model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")) and kept["normalizer"] is None
+        words = cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space")
+        single = sorted(k for k, t in enumerate(self.a_bytes) if len(t) == 1)
+        if not (plain and words) or None in made or any(x >= y for x, y in zip(made, made[1:], strict=False)) or single != list(range(256)) or len(made) + 256 != len({t for t in self.a_bytes if t}):
+            return None
+        ranks = {t: k for k, t in enumerate(self.a_bytes) if t}
+        return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
     def align(self, part: str) -> tuple:
         """(tokens of A, tokens of B, groups as text, packed pairs) of a space and the part; text None if bytes don't join."""
-        a, b = self.a.encode(" " + part, add_special_tokens=False).ids, self.b.encode(part, num_threads=1)
-        whole, a_bytes, b_bytes = (" " + part).encode(), self.a_bytes, self.b_bytes
-        if b"".join([a_bytes[k] for k in a]) != whole or b"".join([b_bytes[k] for k in b]) != whole:
+        spaced = " " + part
+        a, b, whole = self.ids_of_a(spaced), self.b.encode(part, num_threads=1), spaced.encode()
+        of_a, of_b, texts = [self.a_bytes[k] for k in a], [self.b_bytes[k] for k in b], self.texts
+        if b"".join(of_a) != whole or b"".join(of_b) != whole:
             return 0, 0, None, b""
-        groups, pairs, i, j, m, end_a, end_b = [], [], 0, 0, len(a), 0, 0
-        first_a = first_b = 0
-        while i < m:
-            end_a += len(a_bytes[a[i]])
-            i += 1
+        groups, pairs, j, at, end_a, end_b, first_a, first_b = [], [], 0, 0, 0, 0, 0, 0
+        for token in of_a:
+            at += 1
+            end_a += len(token)
             while end_b < end_a:
-                end_b += len(b_bytes[b[j]])
+                end_b += len(of_b[j])
                 j += 1
             if end_a == end_b:
-                groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
-                pairs.append(b[j - 1] << 32 | a[i - 1])
-                first_a, first_b = i, j
-        return m, len(b), ";".join(groups), np.array(pairs, "<i8").tobytes()
+                if at - first_a == 1 and j - first_b == 1:
+                    groups.append(f"{texts[a[first_a]]}|{texts[b[first_b]]}")
+                else:
+                    groups.append(",".join([texts[k] for k in a[first_a:at]]) + "|" + ",".join([texts[k] for k in b[first_b:j]]))
+                pairs.append(b[j - 1] << 32 | a[at - 1])
+                first_a, first_b = at, j
+        return len(a), len(b), ";".join(groups), struct.pack(f"<{len(pairs)}q", *pairs)
 
     def _of(self, part: str) -> tuple:
-        found = self.align(part)
+        found = self.old.get(part) or self.align(part)
         if len(part) <= MEMO_PART:
             self.held += 400 + 2 * len(part) + len(found[3]) + len(found[2] or "")
-            if self.held > MEMO_BYTES:
-                self.memo.clear()
-                self.held = 0
+            if self.held > MEMO_BYTES:  # what is asked for again comes back from the old memo
+                self.old, self.memo, self.held = self.memo, {}, 0
             self.memo[part] = found
         return found
 
@@ -121,8 +148,15 @@ class TwoTokenizers:
             parts = [p[1:] for p in self._cut.split(" " + text)]
         else:
             parts = text.split(" ")
-        memo = self.memo
-        a, b, groups, pairs = zip(*[memo.get(p) or self._of(p) for p in parts], strict=True)
+        memo, of = self.memo.get, self._of
+        found = []
+        for p in parts:
+            x = memo(p)
+            if x is None:
+                x = of(p)
+                memo = self.memo.get
+            found.append(x)
+        a, b, groups, pairs = zip(*found, strict=True)
         if None in groups:
             return 0, 0, "", b""
         return sum(a), sum(b), ";".join(groups), b"".join(pairs)
@@ -278,7 +312,8 @@ def pair_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
         store, path = _file_system(folder)
         store.create_dir(path)
-        shards = staged(count_shards(partial_counts(found), folder, ranges), "shards", scratch).collect()  # a row a range
+        partial = staged(partial_counts(found), "partial", scratch)  # the sort reads it twice
+        shards = staged(count_shards(partial, folder, ranges), "shards", scratch).collect()  # a row a range
         best = np.zeros(1 + max((int(np.frombuffer(s.ids, "<i8")[-1]) for s in shards), default=0), np.int64)  # by B's id
         for s in shards:
             ids = np.frombuffer(s.ids, "<i8")
