@@ -323,22 +323,26 @@ def confirmed_links(docs: DataFrame, vertices: DataFrame, percent: int, id_col:
     block = lambda c: F.ceil(F.sum(c) / block_shingles).cast("int")
     loose = state.groupBy("lead").agg(block(F.when(~F.col("linked"), F.col("n"))).alias("is"), block("n").alias("js"), F.count_if(~F.col("linked")).alias("open"), F.count("*").alias("m")).filter("open > 0 and m > 2")
     loose = staged(loose, "loose", scratch)
-    cluster = staged(join_hot(state, loose, ["lead"], "m", clustered), "cluster", scratch)
+    inside = star
     own = lambda c: F.pmod(F.xxhash64("v"), F.col(c)).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    first = cluster.filter(~F.col("linked")).withColumn("i", own("is")).withColumn("j", every("js")).withColumn("open", F.lit(True))
-    second = cluster.withColumn("j", own("js")).withColumn("i", every("is")).withColumn("open", F.lit(False))
-    columns = ["lead", "i", "j", "open", "v", "text", "n", "sketch", "linked"]
-    pairs = first.unionByName(second).join(texts, ["v", "name"]).select(*columns).repartition(tasks, "lead", "i", "j").sortWithinPartitions("lead", "i", "j")
-    blocks = staged(pairs.mapInArrow(_compare_blocks(percent), "a long, b long"), "blocks", scratch)
-    inside = star.unionByName(blocks)
+    if not loose.isEmpty():
+        cluster = staged(join_hot(state, loose, ["lead"], "m", clustered), "cluster", scratch)
+        first = cluster.filter(~F.col("linked")).withColumn("i", own("is")).withColumn("j", every("js")).withColumn("open", F.lit(True))
+        second = cluster.withColumn("j", own("js")).withColumn("i", every("is")).withColumn("open", F.lit(False))
+        columns = ["lead", "i", "j", "open", "v", "text", "n", "sketch", "linked"]
+        pairs = first.unionByName(second).join(texts, ["v", "name"]).select(*columns).repartition(tasks, "lead", "i", "j").sortWithinPartitions("lead", "i", "j")
+        blocks = staged(pairs.mapInArrow(_compare_blocks(percent), "a long, b long"), "blocks", scratch)
+        inside = star.unionByName(blocks)
 
     # buckets that still hold different components of different clusters
-    found = components(inside)
+    found = components(inside, scratch)
     state = lead_of.join(found, "v", "left").select("v", "lead", F.coalesce("component", "v").alias("comp"))
     open_ones = staged(buckets.join(state, "v"), "states", scratch)
     mixed = open_ones.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min("lead").alias("l0"), F.max("lead").alias("l1"), F.count("*").alias("m")).filter("c0 < c1 and l0 < l1")
     mixed = staged(mixed.select("key", "m", F.ceil(F.col("m") / bucket_rows).cast("int").alias("parts")), "mixed", scratch)
+    if mixed.isEmpty():
+        return inside
     left = join_hot(open_ones.drop("size"), mixed, ["key"], "m", mixed.agg(F.sum("m")).first()[0] or 0).join(marks, ["v", "name"])
     left = staged(left.select("key", "v", "name", "lead", "comp", "n", "sketch", "parts"), "open", scratch)
     a = left.withColumn("i", own("parts")).withColumn("j", every("parts")).alias("a")
@@ -357,7 +361,7 @@ def confirmed_links(docs: DataFrame, vertices: DataFrame, percent: int, id_col:
 def near_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", **sizes: int) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): a row for each document. sizes: those that ``confirmed_links`` takes."""
     scratch = Scratch(docs.sparkSession)
-    signed = staged(signatures(docs, id_col, text_col), "signatures")
+    signed = staged(signatures(docs, id_col, text_col), "signatures", scratch)
     confirm_copies(docs, signed, id_col, text_col)
     carriers = signed.filter(F.col("bands").isNotNull()).groupBy("name").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "sketch")).alias("x"))
     vertices = staged(carriers.select("name", F.col("x.doc_id").alias("v"), F.col("x.n_shingles").alias("n"), F.col("x.bands").alias("bands"), F.col("x.sketch").alias("sketch")), "vertices", scratch)
@@ -369,7 +373,7 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     names = staged(vertices.select("name", "v").join(first, "name"), "names", scratch)
     links = links.unionByName(texts.join(several, "doc_id").distinct().join(names, "name").select(F.col("doc_id").alias("a"), F.col("v").alias("b")))
     links = links.unionByName(names.filter("v <> first").select(F.col("v").alias("a"), F.col("first").alias("b")))
-    found = components(links)
+    found = components(links, scratch)
     of_name = names.join(found, "v", "left").filter("copies > 1 or component is not null").select("name", "copies", F.coalesce("component", "first").alias("component_id"))
     of_name = staged(of_name, "components", scratch)
     named = signed.filter("name is not null").select("doc_id", "n_shingles", "name")
