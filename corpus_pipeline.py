@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import staged
+from tidemill.llm.common import Scratch, staged
 from tidemill.llm.exact import drop_copies
 from tidemill.llm.language import UNKNOWN, fit_profiles, has_letter, predicted_language, training_rows
 from tidemill.llm.neardup import drop_near_copies
@@ -65,7 +65,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), Scratch(spark)
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+        own = Scratch(spark)
+        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}", own)
+        last.clear()  # nothing reads the stage before any more
+        last = own
     return STAGES[-1][1](spark, docs, sf_dir)
