@@ -10,7 +10,8 @@ that the target lacks. With ``--snapshot`` a chunk is copied and verified as it
 was in the source when it was staged.
 
 The configuration is JSON: source and target folders, the queue's and the
-event log's files, and tables with name, time column, type and chunk width.
+event log's files, and tables with name, time column, type and chunk width, and
+maybe a second dimension: space, a column of any type, and slices, their number.
 Rollups, each after what it is built on, have name, of (a table or a rollup),
 width, keys, aggregates, and the chunk width of their storage; their bucket is
 stored as a value of the table's time type. The session that all commands from
@@ -75,7 +76,8 @@ class Migration:
             self.rollups[r["name"]] = Rollup(r["name"], above["time"], r["width"], tuple(r["keys"]), tuple(r["aggregates"]), kind)
             self.parent[r["name"]] = r["of"]
         self.session_file = config.get("session", f"{config['queue']}.session")
-        side = lambda folder: {t["name"]: ChunkedTable(spark, f"{config[folder]}/{t['name']}", t["time"], t.get("kind", "timestamp"), t["width"]) for t in self.tables}
+        space = lambda t: (t["space"], t["slices"]) if "space" in t else None
+        side = lambda folder: {t["name"]: ChunkedTable(spark, f"{config[folder]}/{t['name']}", t["time"], t.get("kind", "timestamp"), t["width"], space=space(t)) for t in self.tables}
         self.source, self.target = side("source"), side("target")
 
     def _catalogue(self) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -87,7 +89,8 @@ class Migration:
                 if t["name"] in self.rollups:
                     continue  # never refreshed
                 raise ValueError(f"{t['name']} is missing in the source")
-            rows += [(k, f"{t['name']}/{start}", start, start + t["width"], False) for start in self.source[t["name"]].chunk_starts()]
+            own = self.source[t["name"]]
+            rows += [(k, f"{t['name']}/{c}", own._start(str(c)), own._start(str(c)) + t["width"], False) for c in own.chunk_ids()]
         chunks = self.spark.createDataFrame(rows, "hypertable_id int, chunk_id string, range_start long, range_end long, dropped boolean")
         return chunks, self.spark.createDataFrame(tables, "id int, schema_name string, table_name string"), self.spark.createDataFrame(dims, "id int, hypertable_id int, column_name string, column_type string")
 
@@ -130,18 +133,18 @@ class Migration:
                 table.create_like(self.source[name])
         bounds, generations, tasks = self._bounds(frm, until), {}, []
         for r in planned:
-            name = r.chunk_id.rsplit("/", 1)[0]
+            name, chunk = r.chunk_id.rsplit("/", 1)
             if name not in generations:
                 generations[name] = self.source[name].state().generation
             low, high = bounds[self.source[name].kind]
             cut = {"lower": low if low is not None and low >= r.range_start else None, "upper": high if high < r.range_end else None}
-            tasks.append({"hypertable": r.hypertable, "chunk_id": r.chunk_id, "table": name, "range_start": r.range_start, "filter": r["filter"], **cut, "generation": generations[name] if snapshot else None})
+            tasks.append({"hypertable": r.hypertable, "chunk_id": r.chunk_id, "table": name, "chunk": chunk if self.source[name].space else int(chunk), "range_start": r.range_start, "filter": r["filter"], **cut, "generation": generations[name] if snapshot else None})
         return self.queue.enqueue(tasks)
 
     def _source_of(self, task: dict) -> ChunkedTable:
         """The source, as it was when a task of a snapshot was staged."""
         own = self.source[task["table"]]
-        return own if task["generation"] is None else ChunkedTable(self.spark, own.path, own.time, own.kind, own.width, task["generation"])
+        return own if task["generation"] is None else own.at(task["generation"])
 
     @staticmethod
     def _range(task: dict, table: ChunkedTable, rows: DataFrame) -> Column | None:
@@ -151,11 +154,11 @@ class Migration:
         return within(F.col(f"`{table.time}`"), rows.schema[table.time].dataType, task["lower"], task["upper"])
 
     def copy_one(self, task: dict) -> str:
-        began, chunk, source, filtered = time.time(), task["range_start"], self._source_of(task), bool(task["filter"])
+        began, chunk, source, filtered = time.time(), task["chunk"], self._source_of(task), bool(task["filter"])
         (rows, batches), count = source.tiers(chunk), 0
         if not rows and not batches:
             return "skipped: the source chunk is gone"
-        before = sum(r["bytes"] for r in source.chunks().filter(F.col("range_start") == chunk).collect())
+        before = sum(r["bytes"] for r in source.chunks().filter(F.col("chunk") == str(chunk)).collect())
         with self.target[task["table"]].change(log=self.invalidate) as target:
             target_rows, target_batches = target.tiers(chunk)
             steps = route(filtered, batches, target_batches, target_rows, rows)
@@ -179,37 +182,37 @@ class Migration:
     def _verify_table(self, tasks: list[dict]) -> dict[str, str]:
         """A message by chunk id for chunks of one table: one aggregation a side, and one more where some differ."""
         source, target = self._source_of(tasks[0]), self.target[tasks[0]["table"]]
-        starts = [t["range_start"] for t in tasks]
-        sides, there = [], [set(source.chunk_starts()), set(target.chunk_starts())]
+        ids = [t["chunk"] for t in tasks]
+        sides, there = [], [set(source.chunk_ids()), set(target.chunk_ids())]
         for side in (source, target):
-            rows, wanted = side.of_chunks(starts), F.lit(False)
+            rows, wanted = side.of_chunks(ids), F.lit(False)
             for cut in {(t["lower"], t["upper"]) for t in tasks}:  # few: a stage has two bounds
                 own = [t for t in tasks if (t["lower"], t["upper"]) == cut]
                 inside = self._range(own[0], source, rows)
-                some = F.col(KEY).isin([t["range_start"] for t in own])
+                some = F.col(KEY).isin([t["chunk"] for t in own])
                 wanted = wanted | (some if inside is None else some & inside)
             sides.append(rows.filter(wanted))
-        planned = self.spark.createDataFrame([(s,) for s in starts], f"{KEY} long")
+        planned = self.spark.createDataFrame([(s,) for s in ids], f"{KEY} {source.key_type}")
         found = {r[KEY]: r for r in verify_chunks(*sides, planned, KEY, details=True).collect()}  # a row a chunk
         out, wrong = {}, []
         for t in tasks:
-            r = found[t["range_start"]]
-            if t["range_start"] not in there[0] or t["range_start"] not in there[1]:
-                out[t["chunk_id"]] = f"{'source' if t['range_start'] not in there[0] else 'target'} chunk is missing"
+            r = found[t["chunk"]]
+            if t["chunk"] not in there[0] or t["chunk"] not in there[1]:
+                out[t["chunk_id"]] = f"{'source' if t['chunk'] not in there[0] else 'target'} chunk is missing"
             elif r.s["total_count"] is None and r.t["total_count"] is None or r.status == "ok":
                 out[t["chunk_id"]] = "ok"  # a range may be empty on both sides
             else:
                 wrong.append(t)
         if wrong:
             part = floor_to(internal(F.col(f"`{source.time}`"), source.kind), max(source.width // PARTS, 1))
-            some = F.col(KEY).isin([t["range_start"] for t in wrong])
+            some = F.col(KEY).isin([t["chunk"] for t in wrong])
             parts: dict = {}
             for r in differing_parts(*[side.filter(some) for side in sides], KEY, part).collect():  # at most PARTS a chunk, and one
                 parts.setdefault(r[KEY], []).append(r.part)
             for t in wrong:
-                r = found[t["range_start"]]
+                r = found[t["chunk"]]
                 text = difference_report({k: v for k, v in r.s.asDict().items()}, {k: v for k, v in r.t.asDict().items()})
-                out[t["chunk_id"]] = f"differs in parts from {', '.join(map(str, sorted(parts.get(t['range_start'], []), key=str)))}\n{text}"
+                out[t["chunk_id"]] = f"differs in parts from {', '.join(map(str, sorted(parts.get(t['chunk'], []), key=str)))}\n{text}"
         return out
 
     def session(self) -> str:

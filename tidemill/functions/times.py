@@ -81,3 +81,8 @@ def month_bucket(column: Column, months: int) -> Column:
 def space_slice(column: Column, parts: int) -> Column:
     """The slice of an integer space dimension: value modulo parts."""
     return F.pmod(column, F.lit(parts).cast("bigint"))
+
+
+def hash_slice(column: Column, parts: int) -> Column:
+    """The slice of a space dimension of any type: its 64-bit xxHash (seed 42) modulo parts; null is in slice 0."""
+    return F.when(column.isNull(), F.lit(0).cast("bigint")).otherwise(F.pmod(F.xxhash64(column), F.lit(parts).cast("bigint")))

@@ -111,7 +111,7 @@ def _verified(spark, sf_dir, change) -> list[tuple[int, str]]:
     own.source["public.events"].append(rows)
     own.target["public.events"].append(change(rows))
     starts = own.source["public.events"].chunk_starts()
-    tasks = [{"chunk_id": str(s), "table": "public.events", "range_start": s, "filter": None, "lower": None, "upper": None, "generation": None} for s in starts]
+    tasks = [{"chunk_id": str(s), "table": "public.events", "chunk": s, "filter": None, "lower": None, "upper": None, "generation": None} for s in starts]
     return [(int(c), m.split()[0]) for c, m in own._verify_table(tasks).items()] if tasks else []
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemill.functions.times import CHUNK, chunk_start, internal
+from tidemill.functions.times import CHUNK, chunk_start, hash_slice, internal
 from tidemill.operators.compression import BATCH, compress, decompress, skipping, triples
 from tidemill.operators.copying import replace_range
 from tidemill.operators.rollups import time_range
@@ -49,9 +49,9 @@ def _nullable(schema):
 
 
 class ChunkedTable:
-    def __init__(self, spark: SparkSession, path: str, time: str, kind: str = "timestamp", width: int = CHUNK, generation: int | None = None):
-        """generation: reads that one, as a snapshot that can't be written."""
-        self.spark, self.path, self.time, self.kind, self.width, self.generation = spark, path.rstrip("/"), time, kind, width, generation
+    def __init__(self, spark: SparkSession, path: str, time: str, kind: str = "timestamp", width: int = CHUNK, generation: int | None = None, space: tuple[str, int] | None = None):
+        """generation: reads that one, as a snapshot that can't be written. space: a second dimension, a column of any type and its number of slices."""
+        self.spark, self.path, self.time, self.kind, self.width, self.generation, self.space = spark, path.rstrip("/"), time, kind, width, generation, space
         self.files = Files(spark, self.path)
         self.history = History(self.files, f"{self.path}/_manifest")
         self._work: Manifest | None = None
@@ -64,10 +64,28 @@ class ChunkedTable:
 
     def snapshot(self) -> ChunkedTable:
         """The table as it is now, for as long as its generation is kept."""
-        return ChunkedTable(self.spark, self.path, self.time, self.kind, self.width, self.state().generation)
+        return self.at(self.state().generation)
+
+    def at(self, generation: int | None) -> ChunkedTable:
+        return ChunkedTable(self.spark, self.path, self.time, self.kind, self.width, generation, self.space)
 
     def keyed(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn(KEY, chunk_start(F.col(self.time), self.kind, self.width))
+        """Adds the chunk of each row: the start of its time slice, and, with a second dimension, ``start_slice``."""
+        start = chunk_start(F.col(self.time), self.kind, self.width)
+        if self.space is None:
+            return rows.withColumn(KEY, start)
+        column, parts = self.space
+        return rows.withColumn(KEY, F.when(start.isNotNull(), F.concat_ws("_", start.cast("string"), hash_slice(F.col(f"`{column}`"), parts).cast("string"))))
+
+    @property
+    def key_type(self) -> str:
+        return "long" if self.space is None else "string"
+
+    def _start(self, chunk: str) -> int:
+        return int(chunk.partition("_")[0])
+
+    def _key(self, chunk: int | str) -> Column:
+        return F.lit(chunk).cast(self.key_type)
 
     def exists(self) -> bool:
         return bool(self.state().schemas)
@@ -76,24 +94,29 @@ class ChunkedTable:
         """{version, segment_by, order_by}; a table without settings has the current version and isn't compressed."""
         return self.state().settings or {"version": FORMAT, "segment_by": None, "order_by": None}
 
-    def tiers(self, chunk: int) -> tuple[bool, bool]:
+    def tiers(self, chunk: int | str) -> tuple[bool, bool]:
         """Whether the chunk has rows, and whether it has batches."""
         state = self.state()
         return bool(state.pieces(str(chunk), "rows")), bool(state.pieces(str(chunk), "batches"))
 
     def chunk_starts(self) -> list[int]:
         """Starts of the chunks in either tier: no file of data is opened. Rows without a time are in no chunk."""
-        return sorted(int(c) for c in self.state().chunks if c != NO_CHUNK)
+        return sorted({self._start(c) for c in self.state().chunks if c != NO_CHUNK})
+
+    def chunk_ids(self) -> list[int | str]:
+        """The chunks themselves: starts, or start and slice of a second dimension."""
+        known = [c for c in self.state().chunks if c != NO_CHUNK]
+        return sorted(known, key=lambda c: (self._start(c), c)) if self.space else sorted(map(int, known))
 
     def chunks(self) -> DataFrame:
-        """(range_start, range_end, n, batches, bytes, low, high) of the chunks, from the manifest; low and high are the least and greatest time."""
+        """(chunk, range_start, range_end, n, batches, bytes, low, high) of the chunks, from the manifest; low and high are the least and greatest time."""
         out = []
         for chunk, entry in self.state().chunks.items():
             both = [p for t in TIERS for p in entry.get(t, [])]
             known = [p for p in both if p["low"] is not None]
-            start = None if chunk == NO_CHUNK else int(chunk)
-            out.append((start, None if start is None else start + self.width, sum(p["rows"] for p in both), sum(p["n"] for p in entry.get("batches", [])), sum(p["bytes"] for p in both), min((p["low"] for p in known), default=None), max((p["high"] for p in known), default=None)))
-        return self.spark.createDataFrame(out, "range_start long, range_end long, n long, batches long, bytes long, low long, high long")
+            start = None if chunk == NO_CHUNK else self._start(chunk)
+            out.append((None if chunk == NO_CHUNK else chunk, start, None if start is None else start + self.width, sum(p["rows"] for p in both), sum(p["n"] for p in entry.get("batches", [])), sum(p["bytes"] for p in both), min((p["low"] for p in known), default=None), max((p["high"] for p in known), default=None)))
+        return self.spark.createDataFrame(out, "chunk string, range_start long, range_end long, n long, batches long, bytes long, low long, high long")
 
     # reading
 
@@ -106,24 +129,24 @@ class ChunkedTable:
         schema = self._schema(tier, state)
         if schema is None:
             return None
-        full = StructType([*schema.fields]).add(KEY, "long")
+        full = StructType([*schema.fields]).add(KEY, self.key_type)
         folders = [p["folder"] for c in chunks for p in state.pieces(c, tier)]
         if not folders:
             return self.spark.createDataFrame([], full)
         base = f"{self.path}/{tier}"
         return self.spark.read.schema(StructType([*full.fields]).add(_VERSION, "string")).option("basePath", base).parquet(*[f"{base}/{f}" for f in folders]).drop(_VERSION)
 
-    def rows(self, chunk: int) -> DataFrame | None:
+    def rows(self, chunk: int | str) -> DataFrame | None:
         """The row tier of one chunk."""
         state = self.state()
         return self._frame("rows", [str(chunk)], state) if state.pieces(str(chunk), "rows") else None
 
-    def batches(self, chunk: int) -> DataFrame | None:
+    def batches(self, chunk: int | str) -> DataFrame | None:
         """The batches of one chunk, as they are stored."""
         state = self.state()
         return self._frame("batches", [str(chunk)], state) if state.pieces(str(chunk), "batches") else None
 
-    def content(self, chunk: int) -> DataFrame | None:
+    def content(self, chunk: int | str) -> DataFrame | None:
         """The rows of both tiers of one chunk."""
         state = self.state()
         return self._both([str(chunk)], state) if str(chunk) in state.chunks else None
@@ -144,7 +167,7 @@ class ChunkedTable:
         inner = [f.name for f in batches.schema["_rows"].dataType.elementType]
         return [c for c in batches.columns if not c.startswith("_") and c not in inner] + inner + [KEY]
 
-    def of_chunks(self, chunks: list[int]) -> DataFrame:
+    def of_chunks(self, chunks: list[int | str]) -> DataFrame:
         """The rows of both tiers of some chunks."""
         state = self.state()
         return self._both([str(c) for c in chunks if str(c) in state.chunks], state)
@@ -152,16 +175,16 @@ class ChunkedTable:
     def _overlapping(self, state: Manifest, lower: int | None, upper: int | None) -> list[str]:
         if lower is None and upper is None:
             return list(state.chunks)
-        known = [int(c) for c in state.chunks if c != NO_CHUNK]
-        return [str(c) for c in sorted(known) if (upper is None or c < upper) and (lower is None or c > lower - self.width)]
+        known = [(self._start(c), c) for c in state.chunks if c != NO_CHUNK]
+        return [c for at, c in sorted(known) if (upper is None or at < upper) and (lower is None or at > lower - self.width)]
 
     def read(self, lower: int | None = None, upper: int | None = None) -> DataFrame:
         """Rows of both tiers whose chunk overlaps [lower, upper) in internal time; only these chunks' folders are listed."""
         state = self.state()
         rows = self._both(self._overlapping(state, lower, upper), state)
-        if upper is not None:
+        if upper is not None and self.space is None:
             rows = rows.filter(F.col(KEY) < upper)
-        if lower is not None:
+        if lower is not None and self.space is None:
             rows = rows.filter(F.col(KEY) > lower - self.width)
         return rows
 
@@ -199,7 +222,7 @@ class ChunkedTable:
         if self.generation is not None:
             raise ValueError("a snapshot can't be written")
         base = self.history.load()
-        own = ChunkedTable(self.spark, self.path, self.time, self.kind, self.width)
+        own = self.at(None)
         own._work = copy.deepcopy(base)
         yield own
         self.history.commit(base, own._work, own._touched if log else [])
@@ -252,33 +275,33 @@ class ChunkedTable:
                 table._touch(pieces)
         return sum(p["rows"] for pieces in made.values() for p in pieces)
 
-    def replace(self, source: DataFrame, chunk: int, predicate: Column | None = None, log: bool = True) -> int:
+    def replace(self, source: DataFrame, chunk: int | str, predicate: Column | None = None, log: bool = True) -> int:
         """Replace the rows of the chunk's row tier in the range by the source's; returns the rows it then has."""
         with self.change(log) as table:
-            own, kept = table.keyed(source).filter(F.col(KEY) == chunk), table.rows(chunk)
-            new = replace_range(own.limit(0) if kept is None else kept.select(*own.columns), own, F.col(KEY) == chunk, predicate)
+            own, kept = table.keyed(source).filter(F.col(KEY) == table._key(chunk)), table.rows(chunk)
+            new = replace_range(own.limit(0) if kept is None else kept.select(*own.columns), own, F.col(KEY) == table._key(chunk), predicate)
             made = table._write(new, "rows", chunk=str(chunk)).get(str(chunk), [])
             table._touch(table._work.pieces(str(chunk), "rows"), made)
             table._work.put(str(chunk), "rows", made)
         return sum(p["rows"] for p in made)
 
-    def replace_batches(self, batches: DataFrame, chunk: int, log: bool = True) -> int:
+    def replace_batches(self, batches: DataFrame, chunk: int | str, log: bool = True) -> int:
         """Makes batches the compressed tier of one chunk, and drops its old one; returns their number."""
         with self.change(log) as table:
-            made = table._write(batches.withColumn(KEY, F.lit(chunk).cast("bigint")), "batches", F.col("_count"), str(chunk)).get(str(chunk), [])
+            made = table._write(batches.withColumn(KEY, table._key(chunk)), "batches", F.col("_count"), str(chunk)).get(str(chunk), [])
             table._touch(table._work.pieces(str(chunk), "batches"), made)
             table._work.put(str(chunk), "batches", made)
         return sum(p["n"] for p in made)
 
-    def append_batches(self, batches: DataFrame, chunk: int, log: bool = True) -> int:
+    def append_batches(self, batches: DataFrame, chunk: int | str, log: bool = True) -> int:
         """Adds batches of one chunk to what it has, or makes its compressed tier; returns the number added."""
         with self.change(log) as table:
-            made = table._write(batches.withColumn(KEY, F.lit(chunk).cast("bigint")), "batches", F.col("_count"), str(chunk)).get(str(chunk), [])
+            made = table._write(batches.withColumn(KEY, table._key(chunk)), "batches", F.col("_count"), str(chunk)).get(str(chunk), [])
             table._touch(made)
             table._work.put(str(chunk), "batches", table._work.pieces(str(chunk), "batches") + made)
         return sum(p["n"] for p in made)
 
-    def compress_chunk(self, chunk: int, batch: int = BATCH) -> None:
+    def compress_chunk(self, chunk: int | str, batch: int = BATCH) -> None:
         """Moves all rows of the chunk into batches; what the table holds stays the same, so nothing is logged."""
         with self.change(log=False) as table:
             rows, kept = table.content(chunk), table.settings()
@@ -289,7 +312,7 @@ class ChunkedTable:
                 table._work.put(str(chunk), "rows", [])
                 table._touched.clear()
 
-    def decompress_chunk(self, chunk: int) -> None:
+    def decompress_chunk(self, chunk: int | str) -> None:
         """Moves all batches of the chunk into rows."""
         with self.change(log=False) as table:
             if table.tiers(chunk)[1]:
@@ -297,15 +320,20 @@ class ChunkedTable:
                 table._work.put(str(chunk), "batches", [])
 
     def overwrite(self, rows: DataFrame, lower: int, upper: int, marks: dict | None = None, log: bool = True) -> int:
-        """Make rows the whole content, of both tiers, of all chunks that overlap [lower, upper); returns their count.
+        """Make rows the whole content, of both tiers, of all chunks that overlap [lower, upper); returns their count. marks: kept in the manifest by the same generation."""
+        with self.change(log) as table:
+            count = table.put_chunks(rows, table._overlapping(table._work, lower, upper))
+            table._work.marks |= marks or {}
+        return count
 
-        Chunks that were compressed are compressed again. marks: kept in the
-        manifest by the same generation.
+    def put_chunks(self, rows: DataFrame, chunks: list[int | str], log: bool = True) -> int:
+        """Make rows the whole content, of both tiers, of these chunks and of all that rows fall in; returns their count.
+
+        Chunks that were compressed are compressed again.
         """
         with self.change(log) as table:
-            known = table._overlapping(table._work, lower, upper)
-            packed = [int(c) for c in known if table._work.pieces(c, "batches")]
-            made = table._write(table.keyed(rows), "rows")
+            made, known = table._write(table.keyed(rows), "rows"), {str(c) for c in chunks}
+            packed = [c for c in {*known, *made} if table._work.pieces(c, "batches")]
             for chunk in {*known, *made}:
                 table._touch(*[table._work.pieces(chunk, t) for t in TIERS], made.get(chunk, []))
                 table._work.put(chunk, "batches", [])
@@ -314,7 +342,6 @@ class ChunkedTable:
             for chunk in packed:
                 table.compress_chunk(chunk)
             table._touched = kept
-            table._work.marks |= marks or {}
         return sum(p["rows"] for pieces in made.values() for p in pieces)
 
     def touched_since(self, generation: int) -> list[tuple[int, int]]:
