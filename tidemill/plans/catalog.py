@@ -6,14 +6,14 @@ joins below are inner equi-joins that the optimiser may broadcast by size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def first_dimension(dimensions: DataFrame) -> DataFrame:
-    """The dimension of least id of each hypertable: its time dimension."""
-    order = Window.partitionBy("hypertable_id").orderBy("id")
-    return dimensions.withColumn("_r", F.row_number().over(order)).filter("_r = 1").drop("_r")
+    """The dimension of least id of each hypertable: its time dimension. Combined before the shuffle, so many rows of one table do no harm."""
+    one = F.min_by(F.struct(*[F.col(f"`{c}`") for c in dimensions.columns]), "id").alias("_one")
+    return dimensions.groupBy("hypertable_id").agg(one).select("_one.*")
 
 
 def chunk_dimensions(constraints: DataFrame, slices: DataFrame, dimensions: DataFrame) -> DataFrame:

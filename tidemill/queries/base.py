@@ -59,6 +59,22 @@ CTE = f"""
                       (range_start // w) % 7 = 3 AS dropped FROM ch)"""
 
 
+#: A hierarchy of rollups from the customers: number k is built on k // 2, and 0 is the raw table. With it, the tables.
+TREE = """
+    tree(mat_id, raw_id, view_schema, view_name) AS (SELECT c_custkey + 1, (c_custkey + 1) // 2, 'n' || c_nationkey, 'c' || c_custkey FROM customer WHERE c_custkey IS NOT NULL),
+    stored(id, schema_name, table_name) AS (SELECT mat_id, 'internal', 'mat_' || mat_id FROM tree UNION ALL SELECT 0, 'public', 'raw')"""
+
+
+def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.col("c_custkey") + 1
+    return table(spark, sf_dir, "customer").filter("c_custkey is not null").select(number.alias("mat_id"), F.floor(number / 2).cast("bigint").alias("raw_id"), F.concat(F.lit("n"), "c_nationkey").alias("view_schema"), F.concat(F.lit("c"), "c_custkey").alias("view_name"))
+
+
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = tree(spark, sf_dir).select(F.col("mat_id").alias("id"), F.lit("internal").alias("schema_name"), F.concat(F.lit("mat_"), "mat_id").alias("table_name"))
+    return own.unionByName(spark.createDataFrame([(0, "public", "raw")], "id long, schema_name string, table_name string"))
+
+
 def hypertables(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(_HYPERTABLES, "id int, schema_name string, table_name string")
 

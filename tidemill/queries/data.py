@@ -165,12 +165,25 @@ def verify_missing_source(spark, sf_dir):
     return _verify(spark, sf_dir, change_source=lambda s: s.filter(F.col("chunk") != CHUNK_AT))
 
 
-@query("""SELECT * FROM (VALUES ('min', 1, 'event_id'), ('min', 2, 'ts'), ('min', 3, 'user_id'), ('min', 4, 'event_type'), ('min', 5, 'value'), ('min', 6, 'props'),
+_LISTED = """SELECT * FROM (VALUES ('min', 1, 'event_id'), ('min', 2, 'ts'), ('min', 3, 'user_id'), ('min', 4, 'event_type'), ('min', 5, 'value'), ('min', 6, 'props'),
     ('max', 7, 'event_id'), ('max', 8, 'ts'), ('max', 9, 'user_id'), ('max', 10, 'event_type'), ('max', 11, 'value'), ('max', 12, 'props'), ('sum', 13, 'event_id'), ('sum', 14, 'user_id'),
-    ('count', 15, 'event_id'), ('count', 16, 'ts'), ('count', 17, 'user_id'), ('count', 18, 'event_type'), ('count', 19, 'value'), ('count', 20, 'props')) t(kind, position, column_name)""")
+    ('count', 15, 'event_id'), ('count', 16, 'ts'), ('count', 17, 'user_id'), ('count', 18, 'event_type'), ('count', 19, 'value'), ('count', 20, 'props')) t(kind, position, column_name)"""
+_FILLED = " UNION ALL ".join(f"SELECT '{c}' AS column_name, count({c}) AS filled FROM events" for c in ("event_id", "ts", "user_id", "event_type", "value", "props"))
+
+
+def _filled(spark, sf_dir):
+    """(column_name, filled): how many values each column of the events has."""
+    rows = table(spark, sf_dir, "events")
+    counts = rows.agg(*[F.count(c).alias(c) for c in rows.columns])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("filled")) for c in rows.columns])).alias("x")).select("x.*")
+
+
+@query(f"SELECT * FROM ({_LISTED}) JOIN ({_FILLED}) USING (column_name)")
 def build_select_list(spark, sf_dir):
+    """The fingerprint's list, with how many values each of its columns has."""
     made = verification.select_list(table(spark, sf_dir, "events").schema)
-    return spark.createDataFrame([(k, n + 1, c) for n, (k, c) in enumerate(made)], "kind string, position int, column_name string")
+    listed = spark.createDataFrame([(k, n + 1, c) for n, (k, c) in enumerate(made)], "kind string, position int, column_name string")
+    return listed.join(_filled(spark, sf_dir), "column_name")
 
 
 EV_6H = Rollup("ev_6h", "ts", 6 * HOUR, ("user_id",), ("count(*) AS n", "min(value) AS min_value", "max(value) AS max_value", "sum(event_id) AS sum_id", "bool_and(value > 0) AS all_positive", "avg(value) AS avg_value"))
@@ -297,9 +310,13 @@ def bucket_int(spark, sf_dir):
 _EVENT_COLUMNS = [("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"), ("event_type", "string"), ("value", "double"), ("props", "string")]
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('events', {k + 1}, '{n}', '{t}')" for k, (n, t) in enumerate(_EVENT_COLUMNS)) + ") t(table_name, position, column_name, type_name)")
+_SIGNED = "SELECT * FROM (VALUES " + ", ".join(f"('events', {k + 1}, '{n}', '{t}')" for k, (n, t) in enumerate(_EVENT_COLUMNS)) + ") t(table_name, position, column_name, type_name)"
+
+
+@query(f"SELECT * FROM ({_SIGNED}) JOIN ({_FILLED}) USING (column_name)")
 def schema_signature(spark, sf_dir):
-    return validation.signatures(spark, {"events": table(spark, sf_dir, "events")})
+    """A table's signature, with how many values each column has."""
+    return validation.signatures(spark, {"events": table(spark, sf_dir, "events")}).join(_filled(spark, sf_dir), "column_name")
 
 
 @query("SELECT * FROM (VALUES ('orders', 'columns mismatch'), ('part', 'not found in target')) t(table_name, problem)")
@@ -350,10 +367,12 @@ def lateral_explode(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", F.explode(F.split("o_orderpriority", "-")).alias("part"))
 
 
-@query("SELECT * FROM (VALUES ('ts', 1, 10), ('user_id', 2, 20), ('it''s', 3, 30)) t(column_name, range_start, range_end)")
+@query("SELECT event_id, event_type, value FROM events WHERE event_id IS NOT NULL")
 def json_recordset(spark, sf_dir):
-    text = '[{"column_name":"ts","range_start":1,"range_end":10},{"column_name":"user_id","range_start":2,"range_end":20},{"column_name":"it\'s","range_start":3,"range_end":30}]'
-    return json_records(spark.createDataFrame([(text,)], "j string"), "j", "column_name:string,range_start:int,range_end:int")
+    """Events written as JSON arrays of up to a thousand, and read back as records."""
+    rows = table(spark, sf_dir, "events").filter("event_id is not null")
+    arrays = rows.groupBy(F.floor(F.col("event_id") / 1000).alias("part")).agg(F.to_json(F.collect_list(F.struct("event_id", "event_type", "value"))).alias("j"))
+    return json_records(arrays, "j", "event_id:bigint,event_type:string,value:double")
 
 
 @query("SELECT v.name, v.mark, count(e.event_id) AS n FROM (VALUES ('a', 1), ('b', 2), ('c', 999999999)) v(name, mark) LEFT JOIN events e ON e.user_id = v.mark GROUP BY 1, 2")
@@ -363,9 +382,11 @@ def values_list(spark, sf_dir):
     return listed.join(rows, F.col("mark") == F.col("user_id"), "left").groupBy("name", "mark").agg(F.count("event_id").alias("n"))
 
 
-@query("SELECT t AS time, d::INTEGER AS device_id FROM generate_series(TIMESTAMP '2023-05-01', TIMESTAMP '2023-05-31 23:00:00', INTERVAL 1 HOUR) a(t), generate_series(1, 3) b(d)")
+@query("SELECT t AS time, d::INTEGER AS device_id FROM (SELECT unnest(generate_series(date_trunc('hour', min(ts)), max(ts), INTERVAL 1 HOUR)) AS t FROM events), generate_series(1, 3) b(d)")
 def generate_series(spark, sf_dir):
-    return generated_series(spark, "2023-05-01 00:00:00", "2023-05-31 23:00:00", "1 HOUR", 3)
+    """Every hour of the events' time for three devices."""
+    ends = table(spark, sf_dir, "events").agg(F.date_trunc("hour", F.min("ts")).cast("string").alias("low"), F.max("ts").cast("string").alias("high")).first()
+    return generated_series(spark, ends.low, ends.high, "1 HOUR", 3)
 
 
 _PLAINSQL = "CASE WHEN regexp_matches({0}, '^[a-z_][a-z0-9_$]*$') AND {0} NOT IN ('user', 'order', 'time') THEN {0} ELSE '\"' || replace({0}, '\"', '\"\"') || '\"' END"

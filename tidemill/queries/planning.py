@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemill.functions.idents import matches, qualified
 from tidemill.functions.times import CHUNK, chunk_start, space_slice
 from tidemill.plans import catalog, planner, taskqueue
-from tidemill.queries.base import CTE, INT_WIDTH, YEAR, chunks, dimensions, hypertables, query, rollups, table
+from tidemill.queries.base import CTE, INT_WIDTH, TREE, YEAR, chunks, dimensions, hypertables, query, rollups, stored, table, tree
 
 UNTIL, FROM = "2024-01-24 12:00:00", "2024-01-05 06:00:00"
 US_UNTIL, US_FROM = 1706097600000000, 1704434400000000
@@ -64,52 +64,58 @@ def plan_int_dimension(spark, sf_dir):
     return _plan(spark, sf_dir, "5500").filter(F.col("hypertable").startswith("other"))
 
 
-@query(f"WITH {CTE} SELECT {FULL} AS name FROM ht WHERE regexp_matches({FULL}, '(mat_ev_[0-9]+|^public\\..*)', 'i')")
+@query(f"SELECT c_custkey, {FULL} AS name FROM (SELECT c_custkey, lower(c_mktsegment) AS schema_name, c_name AS table_name FROM customer) WHERE regexp_matches({FULL}, '(^build.*#[0-9]+7\"$|^machinery\\..*)', 'i')")
 def filter_tables(spark, sf_dir):
-    name = qualified(F.col("schema_name"), F.col("table_name"))
-    return hypertables(spark).filter(matches(name, r"(MAT_EV_[[:digit:]]+|^public\..*)")).select(name.alias("name"))
+    """Tables named by the customers, by a pattern over their qualified names; names that need it are quoted."""
+    name = qualified(F.lower("c_mktsegment"), F.col("c_name"))
+    return table(spark, sf_dir, "customer").filter(matches(name, r'(^BUILD.*#[[:digit:]]+7"$|^machinery\..*)')).select("c_custkey", name.alias("name"))
 
 
-def _walk(start: str, up: bool, down: bool) -> str:
-    parts = [f"SELECT id FROM ({start})"]
-    if up:
-        parts.append(f"(WITH RECURSIVE w(id) AS (SELECT id FROM ({start}) UNION SELECT r.mat_id FROM w JOIN rollup_of r ON r.raw_id = w.id) SELECT id FROM w)")
-    if down:
-        parts.append(f"(WITH RECURSIVE w(id) AS (SELECT id FROM ({start}) UNION SELECT r.raw_id FROM w JOIN rollup_of r ON r.mat_id = w.id) SELECT id FROM w)")
-    return f"WITH {CTE} SELECT DISTINCT id FROM ({' UNION ALL '.join(parts)})"
+#: Rollups of one nation's customers whose number ends in 7.
+_PATTERN = "^n7[.]c[[:digit:]]*7$"
+_START = "SELECT mat_id AS id FROM tree WHERE regexp_matches(view_schema || '.' || view_name, '^n7[.]c[0-9]*7$')"
 
 
-_START = "SELECT mat_id AS id FROM rollup_of WHERE view_name = 'ev_24h'"
+def _walk(up: bool, down: bool) -> str:
+    parts = [f"SELECT id FROM ({_START})"]
+    for wanted, own, other in ((up, "raw_id", "mat_id"), (down, "mat_id", "raw_id")):
+        if wanted:
+            parts.append(f"(WITH RECURSIVE w(id) AS (SELECT id FROM ({_START}) UNION SELECT r.{other} FROM w JOIN tree r ON r.{own} = w.id) SELECT id FROM w)")
+    return f"WITH {TREE} SELECT DISTINCT id FROM ({' UNION ALL '.join(parts)})"
 
 
-def _cascade(spark, up, down):
-    return planner.closure(planner.seeds(hypertables(spark), rollups(spark), "^public.ev_24h$"), rollups(spark), up, down)
+def _cascade(spark, sf_dir, up, down):
+    own = tree(spark, sf_dir)
+    return planner.closure(planner.seeds(stored(spark, sf_dir), own, _PATTERN), own, up, down)
 
 
-@query(_walk(_START, True, False))
+@query(_walk(True, False))
 def cascade_up(spark, sf_dir):
-    return _cascade(spark, True, False)
+    """Rollups of a pattern and all that are built on them, in a hierarchy as large as the customers."""
+    return _cascade(spark, sf_dir, True, False)
 
 
-@query(_walk(_START, False, True))
+@query(_walk(False, True))
 def cascade_down(spark, sf_dir):
-    return _cascade(spark, False, True)
+    return _cascade(spark, sf_dir, False, True)
 
 
-@query(_walk(_START, True, True))
+@query(_walk(True, True))
 def cascade_both(spark, sf_dir):
-    return _cascade(spark, True, True)
+    return _cascade(spark, sf_dir, True, True)
 
 
-@query(f"""WITH RECURSIVE {CTE}, walk(mat_id, view_schema, view_name, lvl) AS (SELECT mat_id, view_schema, view_name, 0 FROM rollup_of WHERE raw_id NOT IN (SELECT mat_id FROM rollup_of)
-    UNION ALL SELECT r.mat_id, r.view_schema, r.view_name, w.lvl + 1 FROM walk w JOIN rollup_of r ON r.raw_id = w.mat_id) SELECT * FROM walk""")
+@query(f"""WITH RECURSIVE {TREE}, walk(mat_id, view_schema, view_name, lvl) AS (SELECT mat_id, view_schema, view_name, 0 FROM tree WHERE raw_id NOT IN (SELECT mat_id FROM tree)
+    UNION ALL SELECT r.mat_id, r.view_schema, r.view_name, w.lvl + 1 FROM walk w JOIN tree r ON r.raw_id = w.mat_id) SELECT * FROM walk""")
 def cagg_levels(spark, sf_dir):
-    return planner.levels(rollups(spark))
+    return planner.levels(tree(spark, sf_dir))
 
 
-@query(f"WITH {CTE} SELECT d.* FROM dim d WHERE id = (SELECT min(id) FROM dim e WHERE e.hypertable_id = d.hypertable_id)")
+@query("SELECT event_id AS id, user_id AS hypertable_id, event_type AS column_name FROM events e WHERE user_id IS NOT NULL AND event_id = (SELECT min(event_id) FROM events x WHERE x.user_id = e.user_id)")
 def first_dimension(spark, sf_dir):
-    return catalog.first_dimension(dimensions(spark))
+    """The entry of least id of each table, where users stand for tables and their events for dimensions."""
+    rows = table(spark, sf_dir, "events").filter("user_id is not null")
+    return catalog.first_dimension(rows.select(F.col("event_id").alias("id"), F.col("user_id").alias("hypertable_id"), F.col("event_type").alias("column_name")))
 
 
 @query(f"WITH {CTE} SELECT hypertable_id, chunk_id FROM chunks WHERE range_start < {US_UNTIL} AND range_end > {US_FROM}")
