@@ -35,7 +35,7 @@ SAMPLE = 1500, 3000
 LEAST_DOCS = 3
 STEPS, RATE, L1 = 80, 0.15, 1e-3
 #: Features of less weight than this are left out before the rest is fitted anew, without thresholding.
-LEAST_WEIGHT, AGAIN_STEPS = 0.3, 300
+LEAST_WEIGHT, AGAIN_STEPS = 0.8, 300
 THRESHOLD = 0.7
 
 _sentences = re.compile(r"[^.!?\n]+")
@@ -184,7 +184,7 @@ def score_toxicity(docs: DataFrame, model: SentenceModel, threshold: float = THR
         return run
 
     ddl = "doc_id long, score double, predicted int, n_sentences long, worst_start long, worst_end long, offending array<long>"
-    return map_rows(id_and_text(docs, id_col, text_col), make, ddl)
+    return map_rows(id_and_text(docs, id_col, text_col), make, ddl, text=1)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
