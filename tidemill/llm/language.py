@@ -29,7 +29,7 @@ from tidemill.llm.common import arrow_schema, documents, held_out, id_and_text,
 PROFILE = 300
 #: Training rows of each language that profiles are counted on, about.
 SAMPLE = 3000
-#: Languages that are learned at most, the commonest; a column with more values holds something else besides languages.
+#: Languages that there may be: a column with more values holds something else, and fitting it is an error. None is left out.
 LANGUAGES = 1000
 UNKNOWN = "und"
 _BOUNDARY = ord("_")
@@ -152,10 +152,12 @@ def _count_ngrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def fit_profiles(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, size: int = PROFILE, languages: int = LANGUAGES) -> Profiles:
-    """Profiles from rows with a language; the driver gets ``size`` n-grams of each of so many languages at most."""
+    """Profiles from rows with a language; the driver gets ``size`` n-grams of each. ValueError if there are more than so many languages."""
     rows = id_and_text(train, id_col, text_col, lang_col).toDF("doc_id", "text", "lang").filter(F.col("lang").isNotNull())
     # of each language the share of least hashed ids
-    known = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    known = rows.groupBy("lang").count()
+    if known.limit(languages + 1).count() > languages:
+        raise ValueError(f"more than {languages} different languages: the column holds something else")
     least = F.xxhash64(F.col("doc_id").cast("string")) < F.lit(sample) / F.col("count") * 2.0**64 - 2.0**63
     chosen = rows.join(F.broadcast(known), "lang").filter((F.col("count") <= sample) | least).select("lang", "text")
     counts = chosen.mapInArrow(_count_ngrams, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
@@ -180,7 +182,7 @@ def predict_languages(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id
 
         return run
 
-    return map_rows(id_and_text(docs, id_col, text_col), make, "doc_id long, lang_pred string, score double")
+    return map_rows(id_and_text(docs, id_col, text_col), make, "doc_id long, lang_pred string, score double", text=1)
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
