@@ -56,12 +56,12 @@ def test_queries_against_their_sql(spark, sf_dir):
     from tidemill.llm import registry
 
     connection = duckdb.connect()
-    for name in ("documents", "labels"):
+    for name in ("documents", "labels", "benchmark"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
-    assert set(registry.ORACLE_SQL) == {"op3_neardup", "op6_substring", "op8_exact"}
+    assert set(registry.ORACLE_SQL) == {"op3_neardup", "op6_substring", "op8_exact", "op11_search"}
     for name, sql in registry.ORACLE_SQL.items():
         cursor, frame = connection.execute(sql), registry.QUERIES[name](spark, sf_dir)
-        kinds = {"BIGINT": "bigint", "VARCHAR": "string", "BOOLEAN": "boolean"}
+        kinds = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "BOOLEAN": "boolean"}
         assert dict(frame.dtypes) == {d[0]: kinds[str(d[1])] for d in cursor.description}
         columns = [d[0] for d in cursor.description]
         assert sorted(tuple(r[c] for c in columns) for r in frame.collect()) == sorted(cursor.fetchall())
