@@ -343,6 +343,7 @@ def test_chunks_of_another_database(spark, metrics, tmp_path):
     """An embedded database is read with a predicate a chunk, each in a partition of its own, copied by route, and verified."""
     from tidemill.sources.store import jdbc_table
 
+    spark._jvm.java.lang.System.setProperty("derby.stream.error.file", str(tmp_path / "derby.log"))
     url, driver = f"jdbc:derby:{tmp_path}/db;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
     stamped = metrics.select(F.col("time").cast("timestamp").alias("TIME"), F.col("device_id").alias("DEVICE"), F.col("val").alias("VAL"))
     stamped.coalesce(1).write.jdbc(url, "METRICS", properties=driver)
