@@ -158,7 +158,7 @@ class Migration:
         (rows, batches), count = source.tiers(chunk), 0
         if not rows and not batches:
             return "skipped: the source chunk is gone"
-        before = sum(r["bytes"] for r in source.chunks().filter(F.col("chunk") == str(chunk)).collect())
+        before = sum(p["bytes"] for pieces in source.state().chunks[str(chunk)].values() for p in pieces)
         with self.target[task["table"]].change(log=self.invalidate) as target:
             target_rows, target_batches = target.tiers(chunk)
             steps = route(filtered, batches, target_batches, target_rows, rows)
@@ -243,15 +243,16 @@ class Migration:
             groups.setdefault((task["table"], task["generation"]), []).append(task)
 
         def work(tasks: list[dict]) -> int:
-            began = time.time()
+            began, messages = time.time(), None
             try:
-                if stop is not None and stop.is_set():
-                    return 0
-                messages = self._verify_table(tasks)
-            except BaseException:
-                for task in tasks:
-                    self.queue.give_back(task)
-                raise
+                if stop is None or not stop.is_set():
+                    messages = self._verify_table(tasks)
+            finally:
+                if messages is None:
+                    for task in tasks:
+                        self.queue.give_back(task)
+            if messages is None:
+                return 0
             for number, task in enumerate(tasks, 1):
                 message = messages[task["chunk_id"]]
                 self.queue.complete(task, began, message, True)
