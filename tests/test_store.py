@@ -359,3 +359,89 @@ def test_chunks_of_another_database(spark, metrics, tmp_path):
     assert own.stage("2023-05-15") == (3, 0) and own.copy(2) == 3 and own.verify(2) == (3, 0)
     kept = sorted(map(tuple, own.target["public.metrics"].read().drop(KEY).collect()))
     assert kept == sorted(map(tuple, stamped.filter("TIME < '2023-05-15'").collect()))
+
+
+def _known_rows(spark, sql):
+    """The optimiser's row count of a query's root."""
+    import re
+
+    first = spark.sql(f"EXPLAIN COST {sql}").first()[0].split("== Optimized Logical Plan ==")[1].strip().splitlines()[0]
+    found = re.search(r"rowCount=([0-9.E+]+)", first)
+    return None if found is None else float(found[1])
+
+
+def test_the_optimiser_knows_copied_tables(spark, metrics, tmp_path):
+    """A copy registers and analyses its tables; only changed partitions and generations are worked on again; joins are planned by the counts."""
+    from tidemill.sources import statistics
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS copied")
+    own = _migration(spark, tmp_path, metastore="copied", statistics={"public.metrics": ["device_id"]})
+    source, target = own.source["public.metrics"], own.target["public.metrics"]
+    source.append(metrics)
+    source.append(metrics.limit(3).withColumn("time", F.lit(None).cast("timestamp_ntz")))
+    assert own.stage("2023-05-30")[0] == len(source.chunk_starts()) and own.copy(2) == len(source.chunk_starts())
+    full, count = "`copied`.`public_metrics`", metrics.count()
+    assert statistics.row_count(spark, full) == count == spark.table(full).count()
+    known = statistics.column_statistics(spark, full, "device_id")
+    assert (known["min"], known["max"], known["num_nulls"], known["distinct_count"]) == ("1", "2", "0", "2")
+    assert own.analyze() == []  # this generation was analysed
+    try:
+        spark.conf.set("spark.sql.cbo.enabled", "true")
+        spark.catalog.refreshTable(full)
+        assert _known_rows(spark, f"SELECT * FROM {full}") == count
+        assert _known_rows(spark, f"SELECT * FROM {full} WHERE device_id = 1") == count / 2
+    finally:
+        spark.conf.unset("spark.sql.cbo.enabled")
+    # one chunk is compressed: its rows leave the one table and are batches of the other
+    first, left = target.chunk_starts()[0], count - metrics.filter(times.chunk_start(F.col("time")) == target.chunk_starts()[0]).count()
+    target.configure(["device_id"], ["time"])
+    target.compress_chunk(first)
+    assert own.analyze() == [full, "`copied`.`public_metrics_batches`"]
+    assert statistics.row_count(spark, full) == left == spark.table(full).count()
+    assert statistics.row_count(spark, "`copied`.`public_metrics_batches`") == 2
+    # the source has rows without a time
+    statistics.analyze(source, "copied.all_rows")
+    assert statistics.row_count(spark, "`copied`.`all_rows`") == count + 3
+    with pytest.raises(ValueError, match="another table"):
+        statistics.register(target, "copied.all_rows")
+    for table, name in ((target, "copied.public_metrics"), (source, "copied.all_rows")):
+        statistics.drop(table, name)
+    assert target.read().count() == count and source.read().count() == count + 3
+
+
+def test_a_chunk_with_most_rows_is_written_by_many_tasks(spark, metrics, tmp_path):
+    """Few files where chunks are small, several where one is larger than the advisory size; nothing is lost."""
+    table = ChunkedTable(spark, str(tmp_path), "time")
+    rows = spark.range(0, 200_000, 1, 8).select(F.when(F.col("id") % 100 == 0, F.timestamp_seconds(F.lit(1683000000) + F.floor(F.col("id") / 100) % 20 * 86400)).otherwise(F.timestamp_seconds(F.lit(1683000000))).cast("timestamp_ntz").alias("time"), F.sha2(F.col("id").cast("string"), 256).alias("val"))
+    files = lambda chunk: sum(n.endswith(".parquet") for p in table.state().pieces(str(chunk), "rows") for n in table.files.names(f"{table.path}/rows/{p['folder']}"))
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+        assert table.append(rows) == 200_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    hot, *others = table.chunk_starts()
+    before = {c: files(c) for c in (hot, *others)}
+    assert files(hot) >= 4 and len(others) == 3
+    table.append(rows.filter("id % 100 = 0"))  # small again: a file a chunk
+    assert all(files(c) <= files_of_large + 1 for c, files_of_large in before.items())
+    assert table.read().select(F.countDistinct("val")).first()[0] == 200_000 and table.read().count() == 202_000
+
+
+def test_refreshes_go_by_level_then_window(spark, tmp_path):
+    from types import SimpleNamespace as Window
+
+    more = [{"name": f"public.{n}", "of": of, "width": times.DAY, "keys": [], "aggregates": ["count(*) AS n"]} for n, of in (("a", "public.metrics"), ("b", "public.metrics"), ("c", "public.metrics"), ("d", "public.b"))]
+    own = _migration(spark, tmp_path, rollups=more)
+    windows = {"public.a": Window(window_start=9), "public.b": Window(window_start=3), "public.d": Window(window_start=1)}
+    assert own._in_order(windows) == ["public.b", "public.a", "public.c", "public.d"]
+    assert own._in_order() == ["public.a", "public.b", "public.c", "public.d"]
+
+
+def test_bounds_are_refused_by_kind(spark):
+    from tidemill.plans.planner import check_bound
+
+    for value, message in (("99999999999999999999", "no valid bigint"), ("2023-13-45", "no valid time"), ("soon", "no valid time")):
+        with pytest.raises(ValueError, match=message):
+            check_bound(spark, "until", value)
+    for value in ("17", "2023-05-01", "2023-05-01 10:00:00"):
+        check_bound(spark, "until", value)

@@ -27,6 +27,10 @@ the target's is the end of its last bucket, and an empty rollup is computed from
 its parent's beginning. Where the target's parent ends before the source's
 watermark, the stored one is the start of the last bucket, and the next refresh
 goes on there.
+
+With metastore, the name of a database, copied tables are registered there after
+a copy, with ``_`` for the dot in their names, and analysed; statistics names
+columns by table that are described too.
 """
 
 from __future__ import annotations
@@ -54,6 +58,7 @@ from tidemill.operators.validation import assert_same_columns, signatures
 from tidemill.operators.verification import difference_report, differing_parts, verify_chunks
 from tidemill.plans.planner import check_bound, closure, invalidated, plan_chunks, refresh_plan, seeds, skipped_tables
 from tidemill.plans.taskqueue import TaskQueue, with_priority
+from tidemill.sources import statistics
 from tidemill.sources.store import KEY, ChunkedTable
 from tidemill.telemetry import Event, human_bytes, human_seconds, report
 
@@ -234,7 +239,18 @@ class Migration:
             table.clean()
 
     def copy(self, parallelism: int = 8, stop: threading.Event | None = None) -> int:
-        return self.queue.drain(self.copy_one, parallelism, stop=stop)
+        done = self.queue.drain(self.copy_one, parallelism, stop=stop)
+        self.analyze()
+        return done
+
+    def analyze(self) -> list[str]:
+        """Statistics of copied tables in the metastore, if the configuration names a database of it; returns what was analysed."""
+        database, columns, out = self.config.get("metastore"), self.config.get("statistics", {}), []
+        for name in sorted({t["table"] for t in self.queue.tasks if t["worked"]}) if database else []:
+            out += statistics.analyze(self.target[name], f"{database}.{name.replace('.', '_')}", columns.get(name))
+        for full in out:
+            log.warning("analysed %s: %s rows", full, statistics.row_count(self.spark, full))
+        return out
 
     def verify(self, parallelism: int = 8, stop: threading.Event | None = None) -> tuple[int, int]:
         """(done, failures): a missing chunk is a message, not a failure. Tables are verified side by side, each in a job or two whatever its chunks."""
@@ -303,7 +319,7 @@ class Migration:
             log.warning("no rollups to refresh")
         names = set(self.rollups) if pattern is None else {f"{r.view_schema}.{r.view_name}" for r in rollups.join(chosen, "mat_id", "left_semi").collect()}
         number = 0
-        for name in [n for n in self._in_order() if n in names]:
+        for name in [n for n in self._in_order(windows) if n in names]:
             self.refresh_invalidated(name)
             if name in windows:
                 w, number = windows[name], number + 1
@@ -311,10 +327,11 @@ class Migration:
                 self._refresh_one(name, w.window_start, w.window_end)
         return len(windows)
 
-    def _in_order(self) -> list[str]:
-        """Rollups by level, then by name."""
+    def _in_order(self, windows: dict | None = None) -> list[str]:
+        """Rollups by level, then by the start of their window, those without one last, then by name."""
+        windows = windows or {}
         level = lambda n: 0 if self.parent[n] not in self.rollups else 1 + level(self.parent[n])
-        return sorted(self.rollups, key=lambda n: (level(n), n))
+        return sorted(self.rollups, key=lambda n: (level(n), n not in windows, windows[n].window_start if n in windows else 0, n))
 
     def _above(self, name: str) -> ChunkedTable:
         """What a rollup is built on, as it is now."""

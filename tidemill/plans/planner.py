@@ -15,11 +15,13 @@ from tidemill.sources.manifest import merged
 
 
 def check_bound(spark: SparkSession, name: str, value: str) -> None:
-    """ValueError unless the bound reads as a number or as a time."""
+    """ValueError unless the bound reads as a number or as a time; digits are taken for a number, all else for a time."""
     text = F.lit(value)
     row = spark.range(1).select(parse_bound(text, F.lit("bigint")), parse_bound(text, F.lit("timestamptz"))).first()
     if row[0] is None and row[1] is None:
-        raise ValueError(f"{name} is neither a number nor a time: {value}")
+        if value.strip().isdigit():
+            raise ValueError(f"{name} is no valid bigint: {value}; tables with an integer time column need one, others a time")
+        raise ValueError(f"{name} is no valid time: {value}; tables with a date or timestamp column need one, others an integer")
 
 
 def plan_chunks(chunks: DataFrame, hypertables: DataFrame, dimensions: DataFrame, until: str, frm: str | None = None) -> DataFrame:
@@ -95,7 +97,7 @@ def levels(rollups: DataFrame) -> DataFrame:
 
 
 def refresh_plan(rollups: DataFrame, source_marks: DataFrame, target_marks: DataFrame) -> DataFrame:
-    """(view_schema, view_name, lvl, column_type, window_start, window_end, start_text, end_text), a row a refresh in the order of levels.
+    """(view_schema, view_name, lvl, column_type, window_start, window_end, start_text, end_text), a row a refresh in the order of levels, then of windows.
 
     From the target's watermark to the source's, where that lies later. Marks
     are (view_schema, view_name, column_type, watermark): views are told apart
@@ -107,7 +109,7 @@ def refresh_plan(rollups: DataFrame, source_marks: DataFrame, target_marks: Data
     t = target_marks.select(*name, "column_type", F.col("watermark").alias("window_start"))
     planned = levels(rollups).join(t, name).join(s, [*name, "column_type"]).filter("window_start < window_end")
     text = lambda c: bound_text(F.col(c), F.col("column_type"))
-    return planned.select(*name, "lvl", "column_type", "window_start", "window_end", text("window_start").alias("start_text"), text("window_end").alias("end_text")).orderBy("lvl", *name)
+    return planned.select(*name, "lvl", "column_type", "window_start", "window_end", text("window_start").alias("start_text"), text("window_end").alias("end_text")).orderBy("lvl", "window_start", *name)
 
 
 def invalidated(touched: list[tuple[int, int]], rollup: Rollup, watermark: int, width: int) -> list[tuple[int, int]]:

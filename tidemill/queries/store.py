@@ -17,6 +17,7 @@ from tidemill.functions.times import CHUNK, HOUR, ORIGIN, chunk_start, internal
 from tidemill.operators import compression
 from tidemill.queries.base import query, table
 from tidemill.queries.data import _ROUND, _SIX, CHUNK_AT, CK, EV, EV_6H, _rounded, events
+from tidemill.sources import statistics
 from tidemill.sources.places import shared_folder
 from tidemill.sources.store import KEY, ChunkedTable
 
@@ -129,3 +130,35 @@ def segment_places(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").filter("o_orderkey is not null").select("o_orderstatus", "o_orderdate", "o_orderkey")
     packed = compression.compress(rows, ["o_orderstatus"], [("o_orderdate", False, True), "o_orderkey"], 200, hot_rows=2000)
     return packed.select("o_orderstatus", "_batch", F.posexplode("_rows")).select("o_orderstatus", (F.col("_batch") * 200 + F.col("pos") + 1).alias("place"), F.col("col.o_orderkey").alias("o_orderkey"))
+
+
+@query(f"SELECT 'event_id' AS column_name, count(*) AS n, count(*) - count(event_id) AS nulls, min(event_id) AS least, max(event_id) AS greatest FROM events WHERE ts IS NOT NULL UNION ALL SELECT 'user_id', count(*), count(*) - count(user_id), min(user_id), max(user_id) FROM events WHERE ts IS NOT NULL")
+def optimizer_statistics(spark, sf_dir):
+    """What the metastore knows of a table after it was written, one chunk replaced and analysed again."""
+    own, name = _chunked(spark, events(spark, sf_dir)), f"analysed_{uuid.uuid4().hex}"
+    columns = ["event_id", "user_id"]
+    try:
+        statistics.analyze(own, name, columns)
+        own.replace(events(spark, sf_dir), CHUNK_AT)
+        full, out = statistics.analyze(own, name, columns)[0], []
+        for column in columns:
+            known = statistics.column_statistics(spark, full, column)
+            out.append((column, statistics.row_count(spark, full), *(None if known[k] is None else int(known[k]) for k in ("num_nulls", "min", "max"))))
+    finally:
+        statistics.drop(own, name)
+    return spark.createDataFrame(out, "column_name string, n long, nulls long, least long, greatest long")
+
+
+@query(f"SELECT {CK} AS chunk, CASE WHEN {CK} = {CHUNK_AT} THEN 'partial' WHEN {CK} < {CHUNK_AT} THEN 'compressed' ELSE 'rows' END AS status, count(*) + CASE WHEN {CK} = {CHUNK_AT} THEN count(*) ELSE 0 END AS n FROM events WHERE ts IS NOT NULL GROUP BY {CK}")
+def partial_chunks(spark, sf_dir):
+    """Chunks before one are compressed, and that one too, which then gets its rows once more: it has both tiers."""
+    rows = events(spark, sf_dir)
+    own = _chunked(spark, rows)
+    own.configure(["user_id"], ["ts", "event_id"])
+    for chunk in own.chunk_starts():
+        if chunk <= CHUNK_AT:
+            own.compress_chunk(chunk)
+    own.append(rows.filter(chunk_start(F.col("ts")) == CHUNK_AT))
+    status = {(True, True): "partial", (False, True): "compressed", (True, False): "rows"}
+    tiers = spark.createDataFrame([(c, status[own.tiers(c)]) for c in own.chunk_starts()], "chunk long, status string")  # a row a chunk
+    return tiers.join(own.read().groupBy(F.col(KEY).alias("chunk")).agg(F.count("*").alias("n")), "chunk")

@@ -46,6 +46,10 @@ class Files:
     def _at(self, path: str):
         return self._jvm.org.apache.hadoop.fs.Path(path)
 
+    def full(self, path: str) -> str:
+        """The path with its scheme and authority, as catalogues keep it."""
+        return self._fs.makeQualified(self._at(path)).toString()
+
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._at(path))
 

@@ -77,6 +77,10 @@ class ChunkedTable:
         column, parts = self.space
         return rows.withColumn(KEY, F.when(start.isNotNull(), F.concat_ws("_", start.cast("string"), hash_slice(F.col(f"`{column}`"), parts).cast("string"))))
 
+    def _gathered(self, rows: DataFrame) -> DataFrame:
+        """Keyed rows brought together by chunk, so that few files are written; a chunk with many rows is split over tasks of about the advisory size."""
+        return self.keyed(rows).hint("rebalance", F.col(KEY))
+
     @property
     def key_type(self) -> str:
         return "long" if self.space is None else "string"
@@ -267,9 +271,9 @@ class ChunkedTable:
         self._touched += [(p["low"], p["high"] + 1) for part in pieces for p in part if p["low"] is not None]
 
     def append(self, rows: DataFrame, log: bool = True) -> int:
-        """Adds rows to the row tier; they are brought together by chunk, so that each task writes few files. Returns their number."""
+        """Adds rows to the row tier; returns their number."""
         with self.change(log) as table:
-            made = table._write(table.keyed(rows).repartition(KEY), "rows")
+            made = table._write(table._gathered(rows), "rows")
             for chunk, pieces in made.items():
                 table._work.put(chunk, "rows", table._work.pieces(chunk, "rows") + pieces)
                 table._touch(pieces)
@@ -332,7 +336,7 @@ class ChunkedTable:
         Chunks that were compressed are compressed again.
         """
         with self.change(log) as table:
-            made, known = table._write(table.keyed(rows), "rows"), {str(c) for c in chunks}
+            made, known = table._write(table._gathered(rows), "rows"), {str(c) for c in chunks}
             packed = [c for c in {*known, *made} if table._work.pieces(c, "batches")]
             for chunk in {*known, *made}:
                 table._touch(*[table._work.pieces(chunk, t) for t in TIERS], made.get(chunk, []))
