@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tidemill.llm import bpe, media, packing, sharding
@@ -177,6 +178,22 @@ def test_pack_query(spark, sf_dir, documents_here, tokenizer):
     assert sequences <= -(-sum(len(x) // 4 for _, x in ids) // 4096) + 2
 
 
+def test_pack_a_common_length(spark):
+    """Many cells and blocks of one length: all places are taken once, without gaps."""
+    pieces = spark.range(0, 5000, 1, 6).select(F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.when(F.col("id") % 50 == 0, 7).otherwise(300).cast("long").alias("length"))
+    rows = packing.pack(pieces, cell_rows=8, block=3).collect()
+    filled = {}
+    for r in rows:
+        filled.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in filled.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= packing.CAPACITY
+    assert len(rows) == 5000 and len(filled) == -(-4900 // 13)
+
+
 def test_pack_odd_rows(odd, odd_rows, nothing, tokenizer):
     assert packing.pack(packing.token_pieces(odd).select("doc_id", "piece", "length"), cell_rows=2).count() == packing.token_pieces(odd).count()
     brute.packed_right(packing.pack_documents(odd).collect(), [(i, _ids(tokenizer, t)) for i, t in odd_rows])

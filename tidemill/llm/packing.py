@@ -8,11 +8,13 @@ number of pieces of each length matters for that, so the plan is made from a
 histogram of at most ``capacity`` rows, and a combination is used as often as
 its lengths last: the work on the driver is bounded by the capacity, not by
 the corpus. Pieces then find their place by their rank among those of their
-length; ranks come from cells of bounded size, so a common length is split.
+length; ranks come from cells of bounded size, and the cells' offsets from blocks
+of them, so a common length is split at both levels.
 
 Defined results: a null or empty text is one piece that holds the end id only;
 very long texts are cut into full pieces and a rest; repeated rows are packed
-each on its own; an empty table gives no piece.
+each on its own, and which of two rows with equal doc_id and piece comes first is
+open; an empty table gives no piece.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import documents, id_and_text, map_rows, staged
+from tidemill.llm.sharding import CELLS, cell_offsets
 
 CAPACITY = 4096
 END_ID = 1
@@ -199,7 +202,7 @@ def placements(plan: list[tuple[dict[int, int], int]]) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 5)
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, cell_rows: int = CELL_ROWS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, cell_rows: int = CELL_ROWS, block: int = CELLS) -> DataFrame:
     """Adds sequence_id and offset to rows with doc_id, piece and length.
 
     The rows are read several times: give a staged frame.
@@ -209,9 +212,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, cell_rows: int = CELL_ROWS
     table = placements(slack_plan(histogram, capacity))
     cells_of = spark.createDataFrame([(n, -(-c // cell_rows)) for n, c in histogram.items()], "length long, _cells long")
     celled = pieces.join(F.broadcast(cells_of), "length").withColumn("_cell", F.pmod(F.xxhash64("doc_id", "piece"), "_cells"))
-    before = Window.partitionBy("length").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    # one row for each length and each cell_rows pieces; the join and the ranks share one shuffle
-    offsets = celled.groupBy("length", "_cell").agg(F.count("*").alias("_n")).select("length", "_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    offsets = cell_offsets(celled, "length", block=block)  # one row for each length and each cell_rows pieces; the join and the ranks share one shuffle
     within = Window.partitionBy("length", "_cell").orderBy("doc_id", "piece")
     ranked = celled.join(offsets, ["length", "_cell"]).withColumn("_rank", F.col("_before") + F.row_number().over(within) - 1)
     keys = (table[:, 0] << 44) + table[:, 1]

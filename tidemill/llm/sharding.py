@@ -172,9 +172,9 @@ def jump_shard(key: Column, shards: int) -> Column:
     return out
 
 
-def _offsets(celled: DataFrame, *by: str) -> DataFrame:
+def cell_offsets(celled: DataFrame, *by: str, block: int = CELLS) -> DataFrame:
     """(by, _cell, _before): rows of the cells before each, summed within blocks of cells and over blocks."""
-    counts = celled.groupBy(*by, "_cell").agg(F.count("*").alias("_n")).withColumn("_block", F.floor(F.col("_cell") / CELLS))
+    counts = celled.groupBy(*by, "_cell").agg(F.count("*").alias("_n")).withColumn("_block", F.floor(F.col("_cell") / block))
     within = Window.partitionBy(*by, "_block").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     over = Window.partitionBy(*by or [F.lit(0)]).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = counts.groupBy(*by, "_block").agg(F.sum("_n").alias("_n")).select(*by, "_block", F.coalesce(F.sum("_n").over(over), F.lit(0)).alias("_above"))
@@ -189,7 +189,7 @@ def with_slots(rows: DataFrame, slot_rows: int = SLOT_ROWS) -> DataFrame:
     """Adds slot: gapless from 0 in each shard. rows: staged, with shard and doc_id. Join and ranks share one shuffle."""
     celled = _celled(rows, rows.count(), slot_rows)
     within = Window.partitionBy("shard", "_cell").orderBy("doc_id", "size", "text_crc32")
-    return celled.join(_offsets(celled, "shard"), ["shard", "_cell"]).withColumn("slot", F.col("_before") + F.row_number().over(within) - 1).drop("_cell", "_before")
+    return celled.join(cell_offsets(celled, "shard"), ["shard", "_cell"]).withColumn("slot", F.col("_before") + F.row_number().over(within) - 1).drop("_cell", "_before")
 
 
 def shard_documents(docs: DataFrame, law: str = "bytes", shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", slot_rows: int = SLOT_ROWS, **tree: int) -> DataFrame:
@@ -204,7 +204,7 @@ def shard_documents(docs: DataFrame, law: str = "bytes", shards: int = SHARDS, i
     elif law == "rows":
         celled = staged(_celled(rows, rows.count(), slot_rows), "sizes", scratch)
         within = Window.partitionBy("_cell").orderBy("doc_id", "size", "text_crc32")
-        placed = celled.join(_offsets(celled), "_cell").withColumn("shard", F.pmod(F.col("_before") + F.row_number().over(within) - 1, F.lit(shards)).cast("int"))
+        placed = celled.join(cell_offsets(celled), "_cell").withColumn("shard", F.pmod(F.col("_before") + F.row_number().over(within) - 1, F.lit(shards)).cast("int"))
     elif law == "key":
         key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
         placed = rows.withColumn("shard", jump_shard(key, shards)).withColumn("_grown", jump_shard(key, shards + 1))
