@@ -172,6 +172,35 @@ def test_ranking_is_fitted_and_cut_by_quantile():
     assert w[0] > 0 > w[1] and abs((ranking.score(values) >= 0.7).mean() - share) < 0.01
 
 
+def test_ranking_counts_all_pairs_of_all_rows(spark):
+    """The gradient summed over every pair of training rows vanishes, the cut is the quantile of all their scores, and partitions change nothing."""
+    r = random.Random(8)
+    rows = [(k, " ".join(r.choice(("Some", "words", "9", "go.", "on,", "##" if k % 3 else "and")) for _ in range(r.randint(1, 40))), int(r.random() < (0.3, 0.8, 0.7)[k % 3])) for k in range(1200)]
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, m) for k, _, m in rows], "doc_id long, quality int")
+    ranking = quality.fit_quality(docs, labels)
+    train = [(quality.features(t), m) for k, t, m in rows if brute.crc(k, 4) != 2]
+    values, marks = np.array([v for v, _ in train]), np.array([m for _, m in train])
+    spread = values.std(axis=0) + 1e-6
+    scaled, w = (values - values.mean(axis=0)) / spread, np.array(ranking.weights) * spread
+    good, bad = scaled[marks == 1], scaled[marks == 0]
+    gradient = quality.L2 * w
+    for a in good:
+        lose = 1 / (1 + np.exp((a - bad) @ w))
+        gradient = gradient - lose @ (a - bad) / (len(good) * len(bad))
+    assert np.abs(gradient).max() < 2e-4
+    scores = np.sort(ranking.raw(values))
+    assert ranking.cut == (scores[len(bad) - 1] + scores[len(bad)]) / 2
+    assert ranking == quality.fit_quality(docs.repartition(7), labels.repartition(3))
+
+
+def test_values_beside_a_place(spark):
+    values = [0.5] * 40 + [float(k) ** 3 for k in range(-20, 20)] + [1e-300, -1e300, 0.5000000000000001]
+    raw = spark.createDataFrame([(v,) for v in values], "raw double")
+    for place in (1, 20, 22, 23, 62, 63, 64, len(values) - 1):
+        assert quality._beside(raw, place) == tuple(sorted(values)[place - 1 : place + 1])
+
+
 def test_odd_rows(odd, odd_rows, spark):
     labels = spark.createDataFrame([(k, k % 2, (k + 1) % 2) for k in range(60)] + [(None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
     for scored in (

@@ -2,12 +2,18 @@
 
 Every pair of a document marked good and one marked bad says that the first is
 preferred. The score is linear in features of the whole text; logistic loss on
-the features' differences over random pairs fits it. The threshold is the
-quantile of the training scores that leaves the training share of good
-documents above; scores are shifted so that it lies at 0.7.
-
-The fit uses a bounded sample of labelled rows, about ``SAMPLE``, and
-``PAIRS`` pairs of it; scoring reads whole texts.
+the features' differences fits it, over all pairs of all labelled training
+rows. The threshold is the quantile of all training scores that leaves the
+training share of good documents above; scores are shifted so that it lies at
+0.7.
+
+Features are computed once and staged. The fit is Newton's method, a pass over
+the labelled rows each step: a pair's loss depends on two scores, so rows of a
+class whose scores share a bin of ``BIN`` meet the other class together, at
+their mean and variance. Sums are of whole numbers, features being read in steps of
+1 / ``UNIT``, so partitions don't change the result. The driver gets one row a
+class and bin, whatever the input, and the quantile comes from counts in ever
+narrower ranges.
 
 Defined results: a null text counts as empty, and an empty text is scored by
 its features like any other; a very long text is read whole, and rates are by
@@ -22,6 +28,7 @@ import math
 import operator
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,12 +36,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import documents, held_out, id_and_text, labels, map_rows
-from tidemill.llm.toxicity import labelled_sample
-
-#: Labelled rows that the ranking is fitted on, about: good ones, bad ones.
-SAMPLE = 4000, 4000
-PAIRS, STEPS, RATE, L2 = 20_000, 300, 0.05, 1e-4
+from tidemill.llm.common import Scratch, arrow_schema, documents, held_out, id_and_text, labels, map_rows, record_batch, staged
+
+L2 = 1e-4
+#: The fit reads features in steps of 1 / UNIT; products of two, summed over two billion rows, fit 64 bits.
+UNIT = 1 << 15
+#: Width of the bins of scores, and how many there are on each side of the mean; the outermost are open.
+BIN, REACH = 1 / 16, 1024
+#: Newton's method ends when a step promises less, or after so many steps.
+LEAST_GAIN, NEWTON_STEPS = 1e-9, 40
+#: Ranges that the search of a quantile counts at once.
+RANGES = 1000
+#: Of fit_ranking.
+PAIRS, STEPS, RATE = 20_000, 300, 0.05
 THRESHOLD = 0.7
 SEED = 5
 
@@ -92,18 +106,21 @@ class Ranking:
     cut: float
     scale: float
 
+    def raw(self, values: np.ndarray) -> np.ndarray:
+        # one row at a time in a fixed order, so that equal texts score alike in every batch
+        return ((values - np.array(self.mean)) * np.array(self.weights)).sum(axis=1)
+
     def score(self, values: np.ndarray) -> np.ndarray:
         """0 to 1; 0.7 at the cut."""
         if not self.weights:
             return np.full(len(values), 0.5)
-        # one row at a time in a fixed order, so that equal texts score alike in every batch
-        raw = ((values - np.array(self.mean)) * np.array(self.weights)).sum(axis=1)
+        raw = self.raw(values)
         z = (raw - self.cut) * self.scale + math.log(THRESHOLD / (1 - THRESHOLD))
         return np.where(raw >= self.cut, np.maximum(1 / (1 + np.exp(-np.clip(z, -40, 40))), THRESHOLD), 1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
 def fit_ranking(values: np.ndarray, marks: np.ndarray, good_share: float, pairs: int = PAIRS, steps: int = STEPS) -> Ranking:
-    """Logistic loss on differences; the cut leaves good_share of the documents above, at the sample's classes weighted to it."""
+    """The ranking of rows in memory, on random pairs; the cut leaves good_share above, at the rows' classes weighted to it. Tables go through fit_features."""
     if not 0 < marks.sum() < len(marks):
         return Ranking([], [], 0.0, 1.0)
     random = np.random.default_rng(SEED)
@@ -128,42 +145,180 @@ def fit_ranking(values: np.ndarray, marks: np.ndarray, good_share: float, pairs:
     return Ranking(mean.tolist(), (w / spread).tolist(), cut, 4 / (raw.std() + 1e-9))
 
 
-def _values(docs: DataFrame, *more: str) -> DataFrame:
+def quality_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, values): the features of every whole text."""
+
     def make():
         def run(batch: pa.RecordBatch) -> dict:
-            out = {name: batch.column(k + 1) for k, name in enumerate(more)}
-            return out | {"values": [features(t) for t in batch.column(0).to_pylist()]}
+            return {"doc_id": batch.column(0), "values": [features(t) for t in batch.column(1).to_pylist()]}
 
         return run
 
-    kinds = {"mark": "int", "doc_id": "long"}
-    return map_rows(docs.select("text", *more), make, ", ".join(f"{m} {kinds[m]}" for m in more) + ", values array<double>", text=0)
+    return map_rows(id_and_text(docs, id_col, text_col), make, "doc_id long, values array<double>", text=1)
 
 
-def fit_quality(docs: DataFrame, marked: DataFrame, sample: tuple[int, int] = SAMPLE) -> Ranking:
-    rows = _values(labelled_sample(docs, marked, "quality", sample, 4, 2), "mark").collect()  # the bounded sample's features
-    rows = sorted((r[0], tuple(r[1])) for r in rows)
-    train = marked.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(4, 2))
-    share = train.agg(F.avg("quality")).first()[0]
-    return fit_ranking(np.array([v for _, v in rows], float).reshape(-1, len(FEATURES)), np.array([m for m, _ in rows], float), float(share or 0))
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
 
 
-def score_quality(docs: DataFrame, ranking: Ranking, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score, predicted) of every text."""
+_LEFT, _RIGHT = np.triu_indices(len(FEATURES))
+
+
+@dataclass
+class _Bins:
+    """By bin of scores of one class: rows, the features' means, the means of their products."""
+
+    rows: np.ndarray
+    means: np.ndarray
+    products: np.ndarray
+
+    def scaled(self, mean: np.ndarray, spread: np.ndarray) -> _Bins:
+        cross = self.means[:, :, None] * mean
+        return _Bins(self.rows, (self.means - mean) / spread, (self.products - cross - cross.transpose(0, 2, 1) + np.outer(mean, mean)) / np.outer(spread, spread))
+
+
+def _bins(train: DataFrame, mean: np.ndarray, weights: np.ndarray) -> tuple[_Bins, _Bins]:
+    """The bad and the good rows of (mark, values) by bins of the score under these weights, in UNITs: one pass over all rows."""
+    ddl = "bin int, sums array<long>"
+    schema = arrow_schema(ddl)
+
+    def summed(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for keys, rows in parts:
+            order = np.argsort(keys, kind="stable")
+            keys, starts = np.unique(keys[order], return_index=True)
+            for key, sums in zip(keys.tolist(), np.add.reduceat(rows[order], starts), strict=True):
+                held[key] = held[key] + sums if key in held else sums
+        yield record_batch([(k, v.tolist()) for k, v in held.items()], schema)
+
+    def by_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parts():
+            for batch in batches:
+                for k in range(0, batch.num_rows, 4096):
+                    part = batch.slice(k, 4096)
+                    units = np.rint(_matrix(part) * UNIT).astype(np.int64)
+                    at = np.clip(np.rint(((units - mean) * weights).sum(axis=1) / BIN), -REACH, REACH).astype(np.int64)
+                    keys = at + REACH + part.column(0).to_numpy().astype(np.int64) * 4 * REACH
+                    yield keys, np.column_stack([np.ones(len(units), np.int64), units, units[:, _LEFT] * units[:, _RIGHT]])
+
+        return summed(parts())
+
+    def by_bin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return summed((b.column(0).to_numpy(), b.column(1).flatten().to_numpy().reshape(b.num_rows, -1)) for b in batches if b.num_rows)
+
+    rows = sorted(train.mapInArrow(by_task, ddl).repartition("bin").mapInArrow(by_bin, ddl).collect())  # at most 2 * REACH + 1 a class
+    out = []
+    for mark in (0, 1):
+        sums = np.array([r[1] for r in rows if r[0] // (4 * REACH) == mark], float).reshape(-1, 1 + len(FEATURES) + len(_LEFT))
+        average = sums[:, 1:] / sums[:, :1]
+        products = np.zeros((len(sums), len(FEATURES), len(FEATURES)))
+        products[:, _LEFT, _RIGHT] = products[:, _RIGHT, _LEFT] = average[:, len(FEATURES) :]
+        out.append(_Bins(sums[:, 0], average[:, : len(FEATURES)], products))
+    return out[0], out[1]
+
+
+def _loss(bad: _Bins, good: _Bins, w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Mean logistic loss of all pairs, its gradient and its second derivatives."""
+    ahead = (good.means @ w)[:, None] - (bad.means @ w)[None, :]
+    part = np.outer(good.rows / good.rows.sum(), bad.rows / bad.rows.sum())
+    lose = 1 / (1 + np.exp(np.clip(ahead, -500, 500)))
+    slope = part * lose
+    bend = slope * (1 - lose)
+    gradient = slope.sum(axis=0) @ bad.means - slope.sum(axis=1) @ good.means
+    cross = good.means.T @ bend @ bad.means
+    products = np.tensordot(bend.sum(axis=1), good.products, 1) + np.tensordot(bend.sum(axis=0), bad.products, 1)
+    # rows lie beside their bin's mean: the next term of the loss there
+    within = products - (good.means.T * bend.sum(axis=1)) @ good.means - (bad.means.T * bend.sum(axis=0)) @ bad.means
+    loss = (part * np.logaddexp(0, -ahead)).sum() + w @ within @ w / 2 + L2 / 2 * w @ w
+    return float(loss), gradient + within @ w + L2 * w, products - cross - cross.T + L2 * np.eye(len(w))
+
+
+def _beside(raw: DataFrame, place: int) -> tuple[float, float]:
+    """The values of raw at this place (from 1) and at the next one, in ascending order."""
+    low, high = raw.agg(F.min("raw"), F.max("raw")).first()
+    before = 0
+    while low < high:
+        part = F.least(F.floor((F.col("raw") - low) / (high - low) * RANGES), F.lit(RANGES - 1))
+        counted = raw.filter(F.col("raw").between(low, high)).groupBy(part.alias("part")).agg(F.count("*"), F.min("raw"), F.max("raw"))
+        for _, rows, low, high in sorted(counted.collect()):  # noqa: B007  at most RANGES
+            if before + rows >= place:
+                break
+            before += rows
+    upto, above = raw.agg(F.count(F.when(F.col("raw") <= low, 1)), F.min(F.when(F.col("raw") > low, F.col("raw")))).first()
+    return low, low if upto > place else above
+
+
+def fit_features(found: DataFrame, marked: DataFrame) -> Ranking:
+    """The ranking of (doc_id, values) by all pairs of their labelled training rows; found is best staged."""
+    known = marked.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("mark")).filter(F.col("mark").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(4, 2))
+    scratch = Scratch(found.sparkSession)
+    train = staged(found.join(known.groupBy("doc_id").agg(F.max("mark").alias("mark")), "doc_id").select("mark", "values"), "quality-train", scratch)
+    try:
+        return _fit(train, scratch)
+    finally:
+        scratch.clear()
+
+
+def _fit(train: DataFrame, scratch: Scratch) -> Ranking:
+    n = len(FEATURES)
+    w = np.zeros(n)
+    bad, good = _bins(train, w, w)  # one bin a class
+    if not len(bad.rows) or not len(good.rows):
+        return Ranking([], [], 0.0, 1.0)
+    n_bad, n_good = int(bad.rows[0]), int(good.rows[0])
+    mean = (n_bad * bad.means[0] + n_good * good.means[0]) / (n_bad + n_good)
+    covered = (n_bad * bad.products[0] + n_good * good.products[0]) / (n_bad + n_good) - np.outer(mean, mean)
+    spread = np.sqrt(np.maximum(np.diag(covered), 0)) + 1e-6 * UNIT
+    now = _loss(bad.scaled(mean, spread), good.scaled(mean, spread), w)
+    for _ in range(NEWTON_STEPS):
+        step = np.linalg.solve(now[2], now[1])
+        if step @ now[1] < LEAST_GAIN:
+            break
+        for part in (1, 1 / 2, 1 / 4, 1 / 8, 1 / 16):
+            moved = w - part * step
+            bad, good = _bins(train, mean, moved / spread)
+            then = _loss(bad.scaled(mean, spread), good.scaled(mean, spread), moved)
+            if then[0] < now[0]:
+                break
+        else:  # what is left lies below the bins' width
+            break
+        w, now = moved, then
+    scale = 4 / (math.sqrt(max(0.0, w @ (covered / np.outer(spread, spread)) @ w)) + 1e-9)
+    ranking = Ranking((mean / UNIT).tolist(), (w / spread * UNIT).tolist(), 0.0, scale)
+
+    def make():
+        return lambda batch: {"raw": ranking.raw(_matrix(batch))}
+
+    raw = staged(map_rows(train, make, "raw double"), "quality-raw", scratch)
+    ranking.cut = sum(_beside(raw, n_bad)) / 2
+    return ranking
+
+
+def fit_quality(docs: DataFrame, marked: DataFrame) -> Ranking:
+    return fit_features(quality_features(docs), marked)
+
+
+def score_features(found: DataFrame, ranking: Ranking, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, score, predicted) of (doc_id, values)."""
 
     def make():
         def run(batch: pa.RecordBatch) -> dict:
-            scores = ranking.score(np.array([features(t) for t in batch.column(1).to_pylist()]).reshape(-1, len(FEATURES)))
+            scores = ranking.score(_matrix(batch))
             return {"doc_id": batch.column(0), "score": scores, "predicted": (scores >= threshold).astype(np.int32)}
 
         return run
 
-    return map_rows(id_and_text(docs, id_col, text_col), make, "doc_id long, score double, predicted int", text=1)
+    return map_rows(found.select("doc_id", "values"), make, "doc_id long, score double, predicted int")
+
+
+def score_quality(docs: DataFrame, ranking: Ranking, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, score, predicted) of every text."""
+    return score_features(quality_features(docs, id_col, text_col), ranking, threshold)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    scored = score_quality(docs, fit_quality(docs, labels(spark, sf_dir)))
+    found = staged(quality_features(documents(spark, sf_dir)), "quality-features")
+    scored = score_features(found, fit_features(found, labels(spark, sf_dir)))
     return scored.select("doc_id", held_out(4, 2).alias("held_out"), "score", "predicted")
 
 
