@@ -242,6 +242,36 @@ def test_refresh_plan_tells_schemas_apart(spark):
     assert [(r.view_schema, r.window_end, r.end_text) for r in found] == [("a", times.DAY, "1970-01-02 00:00:00"), ("b", 2 * times.DAY, "1970-01-03 00:00:00")]
 
 
+@pytest.mark.parametrize("send", [0, 100])
+def test_hierarchies_are_walked_without_bounds(spark, monkeypatch, send):
+    """Deeper and larger than Spark's recursion allows; nothing of the hierarchy is sent to the driver for a step, whichever way it is joined."""
+    monkeypatch.setattr(planner, "SEND_LEVEL", send)
+    spark.conf.set("spark.sql.cteRecursionLevelLimit", "3")
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "20")
+    try:
+        made = [(k, k // 2, "s", f"v{k}") for k in range(2, 40)]  # built on table 1
+        rollups = spark.createDataFrame(made, "mat_id int, raw_id int, view_schema string, view_name string")
+        found = planner.levels(rollups).collect()
+        assert sorted((r.mat_id, r.view_name, r.lvl) for r in found) == [(k, f"v{k}", k.bit_length() - 2) for k, *_ in made]
+        ids = lambda start, up, down: sorted(r.id for r in planner.closure(spark.createDataFrame([(k,) for k in start], "id int"), rollups, up, down).collect())
+        assert ids([37, 19, 37], False, True) == [1, 2, 4, 9, 18, 19, 37]
+        assert ids([4], True, False) == [4, 8, 9, *range(16, 20), *range(32, 40)]
+        assert ids([9], True, True) == [1, 2, 4, 9, 18, 19, 36, 37, 38, 39]
+        assert ids([], True, True) == [] and ids([5], False, False) == [5]
+    finally:
+        spark.conf.unset("spark.sql.cteRecursionLevelLimit")
+        spark.conf.unset("spark.sql.cteRecursionRowLimit")
+
+
+def test_hierarchies_that_never_end(spark):
+    shape = "mat_id int, raw_id int, view_schema string, view_name string"
+    ring = spark.createDataFrame([(2, 3, "s", "a"), (3, 2, "s", "b"), (2, 1, "s", "c")], shape)
+    assert sorted(r.id for r in planner.closure(spark.createDataFrame([(3,)], "id int"), ring, True, True).collect()) == [1, 2, 3]
+    with pytest.raises(ValueError, match="cycle"):
+        planner.levels(ring)
+    assert planner.levels(ring.limit(0)).collect() == []
+
+
 def test_refresh_filters_the_parent(spark, metrics, tmp_path):
     """The window reaches the parent's scan, for every type of time."""
     metrics.write.parquet(str(tmp_path / "m"))

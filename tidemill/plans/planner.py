@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +10,10 @@ from tidemill.functions.times import INTEGER_TYPES, ORIGIN, bound_text, parse_bo
 from tidemill.operators.rollups import Rollup
 from tidemill.plans.catalog import first_dimension
 from tidemill.sources.manifest import merged
+from tidemill.sources.places import Files, written
+
+#: Rows of one level of a hierarchy up to which they are sent to all tasks.
+SEND_LEVEL = 100_000
 
 
 def check_bound(spark: SparkSession, name: str, value: str) -> None:
@@ -63,37 +65,59 @@ def seeds(hypertables: DataFrame, rollups: DataFrame, pattern: str | None) -> Da
     return tables.union(views).distinct()
 
 
+def _step(level: DataFrame, rows: int, edges: DataFrame, on: str) -> DataFrame:
+    """The edges that leave a level. A small level is sent to all tasks, else both sides are shuffled; the hierarchy itself is never sent."""
+    return (F.broadcast(level) if rows <= SEND_LEVEL else level).join(edges.hint("merge"), on)
+
+
+def _walk(start: DataFrame, edges: DataFrame) -> DataFrame:
+    """(id): start and all that edges (id, next) lead to from there, each once; one level after the other, staged."""
+    level, path = written(start.distinct(), "walk")
+    paths, rows = [path], level.count()
+    read = start.sparkSession.read.schema(level.schema)
+    while rows:
+        found = _step(level, rows, edges, "id").select(F.col("next").alias("id")).distinct()
+        # no anti join, which would be pushed below the step and shuffle all edges
+        reached = read.parquet(*paths).select("id", F.lit(True).alias("_reached")).hint("merge")
+        level, path = written(found.join(reached, "id", "left").filter("_reached is null").select("id"), "walk")
+        paths.append(path)
+        rows = level.count()
+    return read.parquet(*paths)
+
+
 def closure(start: DataFrame, rollups: DataFrame, up: bool, down: bool) -> DataFrame:
     """(id): start, all rollups built on it (up), all tables it is built on (down); directions don't mix."""
-    spark = start.sparkSession
-    own_name = f"_closure_{uuid.uuid4().hex}"  # another thread may plan at the same time
-    start.createOrReplaceTempView(f"{own_name}_start")
-    rollups.createOrReplaceTempView(f"{own_name}_rollups")
+    if not up and not down:
+        return start.distinct()
+    kind = start.schema["id"].dataType
+    edges, path = written(rollups.select(F.col("mat_id").cast(kind), F.col("raw_id").cast(kind)), "edges")
     out = start
     for wanted, own, other in ((up, "raw_id", "mat_id"), (down, "mat_id", "raw_id")):
         if wanted:
-            # the hierarchy has no cycle, so this ends; Spark's recursion has no distinct union
-            walk = f"""
-                WITH RECURSIVE walk(id) AS (
-                    SELECT id FROM {own_name}_start
-                    UNION ALL
-                    SELECT r.{other} FROM walk w JOIN {own_name}_rollups r ON r.{own} = w.id)
-                SELECT DISTINCT id FROM walk"""
-            out = out.union(spark.sql(walk))
+            out = out.union(_walk(start, edges.select(F.col(own).alias("id"), F.col(other).alias("next"))))
+    Files(start.sparkSession, path).delete(path)  # the levels are written
     return out.distinct()
 
 
 def levels(rollups: DataFrame) -> DataFrame:
-    """(mat_id, view_schema, view_name, lvl): 0 for rollups of raw tables, one more for each step up."""
-    spark = rollups.sparkSession
-    name = f"_level_{uuid.uuid4().hex}"
-    rollups.createOrReplaceTempView(name)
-    return spark.sql(f"""
-        WITH RECURSIVE walk(mat_id, view_schema, view_name, lvl) AS (
-            SELECT mat_id, view_schema, view_name, 0 FROM {name} WHERE raw_id NOT IN (SELECT mat_id FROM {name})
-            UNION ALL
-            SELECT r.mat_id, r.view_schema, r.view_name, w.lvl + 1 FROM walk w JOIN {name} r ON r.raw_id = w.mat_id)
-        SELECT mat_id, view_schema, view_name, lvl FROM walk""")
+    """(mat_id, view_schema, view_name, lvl): 0 for rollups of raw tables, one more for each step up. ValueError if the steps never end."""
+    out = ["mat_id", "view_schema", "view_name"]
+    edges, own_path = written(rollups.select("raw_id", *out), "edges")
+    read = rollups.sparkSession.read.schema(edges.select(*out, F.lit(0).alias("lvl")).schema)
+    built = edges.select(F.col("mat_id").alias("raw_id")).hint("merge")
+    found = edges.filter("raw_id is not null").join(built, "raw_id", "left_anti")
+    total, paths = edges.count(), []
+    while True:
+        level, path = written(found.select(*out, F.lit(len(paths)).alias("lvl")), "levels")
+        paths.append(path)
+        rows = level.count()
+        if not rows:
+            break
+        if len(paths) > total:
+            raise ValueError("the hierarchy of rollups has a cycle")
+        found = _step(level.select(F.col("mat_id").alias("raw_id")), rows, edges, "raw_id")
+    Files(rollups.sparkSession, own_path).delete(own_path)
+    return read.parquet(*paths)
 
 
 def refresh_plan(rollups: DataFrame, source_marks: DataFrame, target_marks: DataFrame) -> DataFrame:
