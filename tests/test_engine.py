@@ -263,6 +263,32 @@ def test_hierarchies_are_walked_without_bounds(spark, monkeypatch, send):
         spark.conf.unset("spark.sql.cteRecursionRowLimit")
 
 
+def _sent(spark, run):
+    """Bytes of task results that the driver receives while run() works."""
+    context, none = spark.sparkContext._jsc.sc(), spark._jvm.java.util.ArrayList()
+
+    def stages():
+        context.listenerBus().waitUntilEmpty()
+        found = context.statusStore().stageList(none, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), none)
+        return {s.stageId(): s.resultSize() for s in map(found.apply, range(found.size()))}
+
+    before = stages()
+    run()
+    return sum(size for stage, size in stages().items() if stage not in before)
+
+
+def test_what_a_walk_sends_follows_its_levels(spark, tmp_path):
+    """Sixteen times the hierarchy, and the same walk down in it: the driver receives about as much."""
+    wanted = {k >> s for k in range(8, 4_001, 10) for s in range(13)}
+    sent = []
+    for n in (4_000, 64_000):
+        made, found = str(tmp_path / f"{n}"), str(tmp_path / f"{n}_found")
+        spark.range(n).select(F.col("id").alias("c_custkey"), F.when(F.col("id") < 4_000, 7).otherwise(1).alias("c_nationkey")).write.parquet(f"{made}/customer.parquet")
+        sent.append(_sent(spark, lambda: QUERIES["cascade_down"](spark, made).write.parquet(found)))  # noqa: B023  called at once
+        assert sorted(r.id for r in spark.read.parquet(found).collect()) == sorted(wanted)
+    assert 0 < sent[1] < 2 * sent[0], sent
+
+
 def test_hierarchies_that_never_end(spark):
     shape = "mat_id int, raw_id int, view_schema string, view_name string"
     ring = spark.createDataFrame([(2, 3, "s", "a"), (3, 2, "s", "b"), (2, 1, "s", "c")], shape)
